@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, packing, sharding, token_counts, topk_search
+from . import bpe_codec, fingerprints, packing, sharding, token_counts, topk_search, url_filter
 from .shared import table
 
 
@@ -44,12 +44,35 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"), "fits_chars")
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprints.compare_edits(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprints.as_string(F.col("fingerprint")).alias("fingerprint"),
+        fingerprints.as_string(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        fingerprints.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+    )
+
+
+#: The rules of the registered query.
+URL_RULES = [("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block")]
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_sharding": op3_sharding,
     "op4_bpe": op4_bpe,
     "op5_topk": op5_topk,
     "op6_token_counts": op6_token_counts,
+    "op8_fingerprints": op8_fingerprints,
+    "op10_url_filter": op10_url_filter,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -60,4 +83,11 @@ ORACLE_SQL: dict[str, str] = {
               FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
         r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op10_url_filter": """
+        WITH rules(host, path, verdict) AS (VALUES ('com', '/en/', 'block'), ('example.com', '/en/7', 'allow'), ('net', '/de/', 'allow'), ('example.net', '/de/8', 'block'), ('org', '/es/', 'block')),
+        p AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                     coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
+        f AS (SELECT p.page_id, max(struct_pack(n := length(r.host) + length(r.path), rule := r.host || r.path, verdict := r.verdict)) AS best
+              FROM p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path) GROUP BY p.page_id)
+        SELECT p.page_id, p.host, p.path, f.best.rule AS rule, coalesce(f.best.verdict, 'allow') AS verdict FROM p LEFT JOIN f USING (page_id)""",
 }
