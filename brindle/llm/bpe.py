@@ -20,7 +20,7 @@ from functools import lru_cache
 import regex
 
 #: Entries after which a cache is emptied. It holds results only, so this changes speed and never a result.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 160_000
 
 #: Below this code point no character combines with another, and the regex library agrees with the tokenizers library.
 SIMPLE = "ɐ"
@@ -173,7 +173,7 @@ class Bpe:
                     key = last[j] << 20 | token
                     fits = pairs.get(key)
                     if fits is None:
-                        if len(pairs) >= 4 * CACHE_ENTRIES:
+                        if len(pairs) >= 3 * CACHE_ENTRIES:
                             pairs.clear()
                         fits = pairs[key] = self._compatible(last[j], token, 1 << 40)
                     if not fits:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, fingerprints, packing, sharding, token_counts, topk_search, url_filter
+from . import bpe_codec, fingerprints, language_id, packing, sharding, token_counts, topk_search, toxicity, url_filter
 from .shared import table
 
 
@@ -44,6 +44,23 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"), "fits_chars")
 
 
+def id_class(n: int) -> Column:
+    """The remainder that tells training rows from held-out ones."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs, id_class(4) != 2)
+    return language_id.identify(docs, model).select("doc_id", (id_class(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), id_class(5) != 0)
+    return toxicity.score_documents(docs, model).select("doc_id", (id_class(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fingerprints.compare_edits(table(spark, sf_dir, "documents"))
     return rows.select(
@@ -71,7 +88,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": op4_bpe,
     "op5_topk": op5_topk,
     "op6_token_counts": op6_token_counts,
+    "op7_language_id": op7_language_id,
     "op8_fingerprints": op8_fingerprints,
+    "op9_toxicity": op9_toxicity,
     "op10_url_filter": op10_url_filter,
 }
 

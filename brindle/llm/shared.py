@@ -30,12 +30,12 @@ def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def map_rows(df: DataFrame, rows: Callable[[pa.RecordBatch], list[pa.Array]], schema: str, names: list[str]) -> DataFrame:
+def map_rows(df: DataFrame, rows: Callable[[pa.RecordBatch], list[pa.Array]], schema, names: list[str], most_bytes: int = 8 << 20) -> DataFrame:
     """mapInArrow by a function of one batch that returns columns. Batches are cut to pieces of a few MB first, so that long texts don't meet in one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, most_bytes):
                 yield pa.RecordBatch.from_arrays(rows(part), names=names)
 
     return df.mapInArrow(run, schema)
