@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, fingerprints, language_id, packing, sharding, token_counts, topk_search, toxicity, url_filter
+from . import bpe_codec, fingerprints, language_id, near_dup, packing, sharding, token_counts, topk_search, toxicity, url_filter
 from .shared import table
 
 
@@ -17,6 +17,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "copy_of")
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), window=4096, end_id=2)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -83,6 +87,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_dup": op1_near_dup,
     "op2_packing": op2_packing,
     "op3_sharding": op3_sharding,
     "op4_bpe": op4_bpe,

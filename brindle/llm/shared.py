@@ -14,15 +14,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Writes the rows to the folder that the cluster names in spark.checkpoint.dir, which all executors share, and reads them from there.
-
-    Later steps see the same rows in the same partitions even if an executor is lost. Only where the setting is unset,
-    as in tests on one machine, a folder is made here.
-    """
-    context = df.sparkSession.sparkContext
-    if not context.getConf().get("spark.checkpoint.dir") and context.getCheckpointDir() is None:
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir, which all executors share. Only where the setting is unset, as in tests on one machine, one is made here."""
+    context = spark.sparkContext
+    if named := context.getConf().get("spark.checkpoint.dir"):
+        return named
+    if context.getCheckpointDir() is None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="brindle-checkpoint-"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Writes the rows to the shared folder and reads them from there: later steps see the same rows in the same partitions even if an executor is lost."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
