@@ -25,6 +25,7 @@ CACHE_ENTRIES = 160_000
 #: Below this code point no character combines with another, and the regex library agrees with the tokenizers library.
 SIMPLE = "ɐ"
 
+_HEAD = 5  # symbols whose part of the table is kept
 _END = 256  # added to the last byte of a word where the vocabulary marks ends of words
 
 
@@ -130,6 +131,7 @@ class Bpe:
                 whole.add(token)
         self.automaton = SuffixAutomaton([(symbols[t], t) for t in whole])
         self.pairs: dict[int, bool] = {}
+        self.heads: dict[bytes, tuple] = {}
         self.words: dict[str, bytes] = {}
         self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+" if self.marks_ends else r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -159,8 +161,19 @@ class Bpe:
         a, pairs = self.automaton, self.pairs
         step, link, length, ends = a.next, a.link, a.length, a.ends
         last, start, count = [-1], [0], [0]
-        state = matched = 0
-        for i, c in enumerate(symbols, 1):
+        state = matched = at = 0
+        head = None
+        if len(symbols) > _HEAD:  # what stands for a word's first letters holds for all words that begin so
+            head = bytes(symbols[:_HEAD])
+            if (known := self.heads.get(head)) is not None:
+                last, start, count = known[0][:], known[1][:], known[2][:]
+                state, matched, at, head = known[3], known[4], _HEAD, None
+        for i in range(at + 1, len(symbols) + 1):
+            if head is not None and i == _HEAD + 1:
+                if len(self.heads) >= CACHE_ENTRIES // 4:
+                    self.heads.clear()
+                self.heads[head] = last[:], start[:], count[:], state, matched
+            c = symbols[i - 1]
             while (to := step.get(state << 9 | c)) is None:
                 state = link[state]
                 matched = length[state]
@@ -285,11 +298,14 @@ class Encoder:
     def __init__(self, bpe: Bpe, ids_of_chunk=None):
         self.bpe = bpe
         self.make = ids_of_chunk or bpe.ids_of_text
-        self.known, self.counts = Chunks(self.make), Chunks(self._count)
+        self.known, self.counts, self.words = Chunks(self.make), Chunks(self._count), Chunks(self._count_word)
 
     def _count(self, chunk: str) -> int:
+        return sum(map(self.words.__getitem__, self.bpe.pretokens(chunk)))
+
+    def _count_word(self, word: str) -> int:
         """From the table of counts alone."""
-        return sum(self.bpe.table(self.bpe.symbols(x))[2][-1] for x in self.bpe.pretokens(chunk))
+        return self.bpe.table(self.bpe.symbols(word))[2][-1]
 
     def _plain(self, text: str) -> bool:
         return not any(x in text for x in self.bpe.specials)
