@@ -13,6 +13,7 @@ a worker doesn't grow with the corpus.
 from __future__ import annotations
 
 import json
+import os
 import re
 from array import array
 from functools import lru_cache
@@ -290,14 +291,11 @@ def chunks_of(text: str, drops_space: bool) -> list[str]:
 
 
 class Encoder:
-    """Whole texts by chunks that are worked out once: `ids` as native unsigned 32-bit integers, `count` as a number.
+    """Whole texts by chunks that are worked out once: `ids` as native unsigned 32-bit integers, `count` as a number."""
 
-    ids_of_chunk: how ids are found, if not by the tables of `Bpe`.
-    """
-
-    def __init__(self, bpe: Bpe, ids_of_chunk=None):
+    def __init__(self, bpe: Bpe):
         self.bpe = bpe
-        self.make = ids_of_chunk or bpe.ids_of_text
+        self.make = bpe.ids_of_text
         self.known, self.counts, self.words = Chunks(self.make), Chunks(self._count), Chunks(self._count_word)
 
     def _count(self, chunk: str) -> int:
@@ -332,19 +330,10 @@ def encoder(path: str) -> Encoder:
     return Encoder(bpe(path))
 
 
-@lru_cache(maxsize=2)
-def library_encoder(path: str) -> Encoder:
-    """As `encoder`, but each new chunk's ids come from the tokenizers library, and no tables are built."""
-    library = LibraryRules(path)
-    return Encoder(library, library.ids_of_text)
-
-
-class LibraryRules:
-    """What `Encoder` needs of `Bpe`, from the tokenizers library."""
+class LibraryEncoder:
+    """As `Encoder`, but the ids of new chunks come from the tokenizers library, all new ones of a text at once, and no tables are built."""
 
     def __init__(self, path: str):
-        import os
-
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -354,7 +343,28 @@ class LibraryRules:
         self.library.no_truncation()
         self.library.no_padding()
         self.marks_ends = bool(spec["model"].get("end_of_word_suffix"))
-        self.specials = {x["content"]: x["id"] for x in spec["added_tokens"]}
+        self.specials = [x["content"] for x in spec["added_tokens"]]
+        self.known: dict[str, bytes] = {}
 
-    def ids_of_text(self, text: str) -> bytes:
-        return array("I", self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
+    def _encode(self, chunks: list[str]) -> list[bytes]:
+        return [array("I", x.ids).tobytes() for x in self.library.encode_batch_fast(chunks, add_special_tokens=False)]
+
+    def ids(self, text: str) -> bytes:
+        """As native unsigned 32-bit integers."""
+        if any(x in text for x in self.specials):
+            return self._encode([text])[0]
+        known, chunks = self.known, chunks_of(text, self.marks_ends)
+        found = list(map(known.get, chunks))
+        if None in found:
+            new = list({c for c, x in zip(chunks, found, strict=True) if x is None})
+            if len(known) + len(new) > 3 * CACHE_ENTRIES:
+                known.clear()
+            fresh = dict(zip(new, self._encode(new), strict=True))
+            found = [fresh[c] if x is None else x for c, x in zip(chunks, found, strict=True)]
+            known.update(fresh)
+        return b"".join(found)
+
+
+@lru_cache(maxsize=2)
+def library_encoder(path: str) -> LibraryEncoder:
+    return LibraryEncoder(path)
