@@ -36,7 +36,8 @@ def wilson(successes: Column, total: Column) -> tuple[Column, Column]:
     p = successes.cast("double") / n
     scale, centre = 1 + Z95 * Z95 / n, p + Z95 * Z95 / (2 * n)
     half = Z95 * F.sqrt(p * (1 - p) / n + Z95 * Z95 / (4 * n * n))
-    return F.greatest(F.lit(0.0), (centre - half) / scale), F.least(F.lit(1.0), (centre + half) / scale)
+    low, high = F.greatest(F.lit(0.0), (centre - half) / scale), F.least(F.lit(1.0), (centre + half) / scale)
+    return F.when(n.isNotNull(), low), F.when(n.isNotNull(), high)
 
 
 def mcnemar_exact(only_a: Column, only_b: Column) -> Column:
