@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import re
-
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bpe
 from .shared import map_rows, text_or_empty
 
-_spaces = re.compile(r"\s+")
+_spaces = regex.compile(r"\s+")  # as the pattern takes it, which is not as Python does
 
 
 def prefix_counts(model: bpe.Bpe, text: str) -> list[int]:
