@@ -205,3 +205,32 @@ def test_stream_goes_on_where_it_ended(spark, tmp_path):
     again = rolled().writeStream.outputMode("update").foreachBatch(lambda df, _: df.write.mode("append").parquet(str(tmp_path / "out"))).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True)
     again.start().awaitTermination()
     assert sorted(r["n"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [2, 3]
+
+
+def test_searches(spark):
+    import pandas as pd
+
+    from brindle.functions import numeric
+    from brindle.operators import search
+
+    df = spark.createDataFrame([(1, 1.0, 4.0, 3.9), (2, 1.0, 100.0, 7.0), (3, 50.0, 100.0, 60.0)], "id long, near double, far double, hint double")
+    f = lambda rows, d: 25 / d**2
+    for hint in (None, "hint"):
+        got = {r["id"]: r for r in search.farthest_passing(df, f, "near", "far", 0.5, 12, hint).collect()}
+        assert got[1]["distance"] == 4.0 and got[1]["evaluations"] == 1 and got[1]["passes"]
+        assert abs(got[2]["distance"] - 50**0.5) < 0.2 and got[2]["ratio"] >= 0.5 and got[2]["evaluations"] == 12
+        assert not got[3]["passes"] and got[3]["distance"] == 50.0
+    got = {r["id"]: r for r in search.shrinking(df, f, "near", "far", 0.5).collect()}
+    assert 6 < got[2]["distance"] < 7.08 and got[2]["passes"] and not got[3]["passes"]
+    points = spark.createDataFrame([(i, 1.0, 2.0) for i in range(20)], "id long, x double, y double")
+    a = search.refine(points, lambda r, p: (p**2).sum(1), ["x", "y"], "id", 0.5).toPandas().sort_values("id")
+    b = search.refine(points.repartition(5), lambda r, p: (p**2).sum(1), ["x", "y"], "id", 0.5).toPandas().sort_values("id")
+    assert (a["loss"] < 0.5).mean() > 0.8 and (a["loss"] < 5).all() and pd.testing.assert_frame_equal(a.reset_index(drop=True), b.reset_index(drop=True)) is None
+    m = np.array([[1, 0.1, 0], [0, 1, 0], [0, 0.1, -1.0]])
+    r = np.array(spark.createDataFrame([(m.ravel().tolist(),)], "m array<double>").select(numeric.nearest_rotation(F.col("m"))).head()[0]).reshape(3, 3)
+    assert np.allclose(r @ r.T, np.eye(3)) and np.linalg.det(r) == pytest.approx(1)
+    x = np.array([0.0, 1, 2.5, 4])
+    assert np.allclose(numeric.natural_spline(x, x**2, x), x**2) and np.allclose(numeric.natural_spline(x, 3 * x, np.array([0.3, 3.9])), [0.9, 11.7])
+    image = np.zeros((5, 6))
+    image[1:3, 2:5] = [[1, 2, 3], [4, 5, 6]]
+    assert numeric.trimmed(image).shape == (2, 3)
