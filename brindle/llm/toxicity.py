@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .shared import map_rows, text_or_empty
 
 #: Labelled rows of each class that are wanted for training, and the longest text (in bytes) among them.
-TRAIN_ROWS, TRAIN_BYTES = 1500, 16_384
+TRAIN_ROWS, TRAIN_BYTES = 3000, 16_384
 DICTIONARY = 1 << 16
 WINDOW = 64
 #: For windows of a few bytes: matches from three bytes on, the whole dictionary within reach.
@@ -93,21 +93,26 @@ def features(gain: np.ndarray) -> list[float]:
     return [float(gain.max(initial=0)), *np.log1p(counts).tolist(), float(np.log1p(len(gain)))]
 
 
+def _dictionaries(texts: list[tuple[list[str], int]]) -> tuple[bytes, bytes]:
+    split = [[t for t, y in texts if y == label] for label in (0, 1)]
+    ordinary = _content(split[0], DICTIONARY)
+    return ordinary, ordinary + _marked(split[1], split[0])  # the end of a dictionary is the cheapest to refer to
+
+
 def train(rows: list[tuple[str, int]], prior: float | None = None) -> Model:
-    """rows: texts and labels. Two thirds of them make the dictionaries, the rest the curve. Without rows of both classes the score is the share of toxic rows. prior: the share of toxic texts where the model is used, if the rows have another one."""
+    """rows: texts and labels. Two thirds of them make dictionaries by which the rest calibrate the curve; those of the model are made of all. Without rows of both classes the score is the share of toxic rows. prior: the share of toxic texts where the model is used, if the rows have another one."""
     rows = sorted({" ".join(sorted(set(_word.findall(t.lower())))[:12]): (t, y) for t, y in sorted(rows)}.values())  # one of each group of near copies, whatever the order in which executors deliver them
-    split = [[_word.findall(t.lower()) for i, (t, y) in enumerate(rows) if y == label and i % 3 != 2] for label in (0, 1)]
+    texts = [(_word.findall(t.lower()), y) for t, y in rows]
     share = sum(y for _, y in rows) / len(rows) if rows else 0.0
-    if not split[0] or not split[1]:
+    part = [x for i, x in enumerate(texts) if i % 3 != 2]
+    if len({y for _, y in part}) < 2:
         return Model(b"", b"", (float(np.log((share + 1e-3) / (1 - share + 1e-3))),))
-    ordinary = _content(split[0], DICTIONARY)
-    toxic = _marked(split[1], split[0])
-    toxic = ordinary + toxic  # the end of a dictionary is the cheapest to refer to
+    ordinary, toxic = _dictionaries(part)
     known = [(features(saved(ordinary, toxic, t)), y) for i, (t, y) in enumerate(rows) if i % 3 == 2]
     weights = _curve(np.array([x for x, _ in known]), np.array([y for _, y in known], float))
     if prior and 0 < prior < 1:
         weights = (weights[0] + float(np.log(prior / (1 - prior)) - np.log(share / (1 - share))), *weights[1:])
-    return Model(ordinary, toxic, weights)
+    return Model(*_dictionaries(texts), weights)
 
 
 def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
