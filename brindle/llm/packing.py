@@ -62,11 +62,14 @@ def pack(docs: DataFrame, vocabulary: str, window: int = 4096, end_id: int = 2,
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = cut(encoded.repartition(partitions, F.xxhash64(id_col, F.crc32("packed")))).withColumn("part", F.spark_partition_id())
 
-    shares = {r["source"]: r["n"] for r in _sources(dealt, least_share).collect()}
-    queue = F.coalesce(F.when(F.col("source").isin([s for s in shares if s is not None]), F.concat(F.lit("="), "source")), F.when(F.col("source").isNull(), F.lit("null")) if None in shares else F.lit(None), F.lit("other"))
+    sums = cut(dealt.groupBy("part", "source").agg(F.sum("n").alias("n")))  # one pass over the ids; all else follows from it
+    least = least_share * (sums.agg(F.sum("n")).head()[0] or 0)
+    large = [r["source"] for r in sums.groupBy("source").agg(F.sum("n").alias("n")).where(F.col("n") >= least).collect()]  # 1 / least_share at most
+    named, null = F.col("source").isin([s for s in large if s is not None]), F.col("source").isNull() & F.lit(None in large)
+    queue = F.when(named, F.concat(F.lit("="), "source")).when(null, "null").otherwise("other")
     dealt = dealt.withColumn("queue", queue)
     totals: dict[int, dict[str, int]] = {}
-    for r in dealt.groupBy("part", "queue").agg(F.sum("n").alias("n")).collect():  # at most 101 numbers for each partition
+    for r in sums.groupBy("part", queue.alias("queue")).agg(F.sum("n").alias("n")).collect():  # at most 101 numbers for each partition
         totals.setdefault(r["part"], {})[r["queue"]] = r["n"]
     weights = _weights(totals, targets)
     before, sent = {}, dict.fromkeys(weights, 0)
@@ -100,12 +103,6 @@ def pack(docs: DataFrame, vocabulary: str, window: int = 4096, end_id: int = 2,
     return dealt.mapInArrow(run, f"`{id_col}` {id_type}, source string, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 
-def _sources(dealt: DataFrame, least_share: float) -> DataFrame:
-    """Sources with a queue of their own: by the bound on shares, at most 1 / least_share rows."""
-    by = dealt.groupBy("source").agg(F.sum("n").alias("n"))
-    return by.join(F.broadcast(dealt.agg(F.sum("n").alias("all"))), F.col("n") >= least_share * F.col("all")).select("source", "n")
-
-
 def _weights(totals: dict[int, dict[str, int]], targets: dict[str, float] | None) -> dict[str, float]:
     """Each queue's share of a window."""
     corpus: dict[str, float] = {}
