@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -94,15 +95,21 @@ def similarity(a: np.ndarray, b: np.ndarray, weights: np.ndarray) -> float:
     return common / total if total else 1.0
 
 
+@lru_cache(maxsize=1)
+def _random_tables(samples: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Made once for each worker."""
+    rng = np.random.default_rng(seed)
+    r = rng.gamma(2, 1, (_TABLE, samples)).astype(np.float32)
+    c = (np.log(rng.gamma(2, 1, (_TABLE, samples))) - r).astype(np.float32)
+    return r, c, rng.random((_TABLE, samples), np.float32)
+
+
 class Sampler:
     """Consistent weighted samples. The random numbers of a shingle are a row of a table that its hash picks."""
 
     def __init__(self, weights: np.ndarray, samples: int = BANDS * ROWS, seed: int = 5):
-        rng = np.random.default_rng(seed)
         self.weights = weights
-        self.r = rng.gamma(2, 1, (_TABLE, samples)).astype(np.float32)
-        self.c = (np.log(rng.gamma(2, 1, (_TABLE, samples))) - self.r).astype(np.float32)
-        self.beta = rng.random((_TABLE, samples), np.float32)
+        self.r, self.c, self.beta = _random_tables(samples, seed)
 
     def samples(self, text: str) -> np.ndarray | None:
         """One 64-bit number for each sample: the shingle with the least draw, and its level. None for a text without words."""
