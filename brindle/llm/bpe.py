@@ -15,9 +15,11 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
 from array import array
 from functools import lru_cache
 
+import numpy as np
 import regex
 
 #: Entries after which a cache is emptied. It holds results only, so this changes speed and never a result.
@@ -26,6 +28,7 @@ CACHE_ENTRIES = 160_000
 #: Below this code point no character combines with another, and the regex library agrees with the tokenizers library.
 SIMPLE = "ɐ"
 
+_MARKS = frozenset(string.punctuation)
 _HEAD = 5  # symbols whose part of the table is kept
 _END = 256  # added to the last byte of a word where the vocabulary marks ends of words
 
@@ -331,7 +334,7 @@ def encoder(path: str) -> Encoder:
 
 
 class LibraryEncoder:
-    """As `Encoder`, but the ids of new chunks come from the tokenizers library, all new ones of a text at once, and no tables are built."""
+    """As `Encoder`, but new ids come from the tokenizers library, those of many texts in one call, and no tables are built."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -342,27 +345,59 @@ class LibraryEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.marks_ends = bool(spec["model"].get("end_of_word_suffix"))
+        suffix = spec["model"].get("end_of_word_suffix") or ""
+        self.marks_ends = bool(suffix)
+        vocab = spec["model"]["vocab"]
+        self.is_end = np.zeros(max(vocab.values()) + 1, bool)
+        self.is_end[[i for t, i in vocab.items() if suffix and t.endswith(suffix)]] = True
         self.specials = [x["content"] for x in spec["added_tokens"]]
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
-    def _encode(self, chunks: list[str]) -> list[bytes]:
-        return [array("I", x.ids).tobytes() for x in self.library.encode_batch_fast(chunks, add_special_tokens=False)]
-
-    def ids(self, text: str) -> bytes:
-        """As native unsigned 32-bit integers."""
-        if any(x in text for x in self.specials):
-            return self._encode([text])[0]
-        known, chunks = self.known, chunks_of(text, self.marks_ends)
-        found = list(map(known.get, chunks))
-        if None in found:
-            new = list({c for c, x in zip(chunks, found, strict=True) if x is None})
-            if len(known) + len(new) > 3 * CACHE_ENTRIES:
-                known.clear()
-            fresh = dict(zip(new, self._encode(new), strict=True))
-            found = [fresh[c] if x is None else x for c, x in zip(chunks, found, strict=True)]
-            known.update(fresh)
-        return b"".join(found)
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        return [array("I", x.ids).tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_single(self, words: list[str]) -> list[bytes]:
+        """Of words that are one pre-token each, as one text: every word ends with the one of its tokens that marks an end."""
+        ids = np.array(self.library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        ends = (4 * (np.flatnonzero(self.is_end[ids]) + 1)).tolist()
+        data, starts = ids.tobytes(), [0, *ends[:-1]]
+        return [data[a:b] for a, b in zip(starts, ends, strict=True)]
+
+    def _parts(self, chunk: str) -> tuple[str, str]:
+        """A word without case and the mark after it, if that is all the chunk is and the vocabulary drops both case and white space; a letter and a mark are never in one pre-token."""
+        if self.marks_ends and max(chunk) < SIMPLE:
+            if (low := chunk.lower()).isalpha():
+                return low, ""
+            if chunk[-1] in _MARKS and (low := chunk[:-1].lower()).isalpha():
+                return low, chunk[-1]
+        return chunk, ""
+
+    def _learn(self, chunks: list[str]) -> None:
+        parts = list(map(self._parts, chunks))
+        if len(self.words) > 3 * CACHE_ENTRIES:
+            self.words.clear()
+        words, new = self.words, {x for pair in parts for x in pair}.difference(self.words)
+        single = [x for x in new if self.marks_ends and (x.isalpha() and max(x) < SIMPLE and x == x.lower() or x in _MARKS)]
+        for at in range(0, len(single), 5000):
+            words.update(zip(single[at : at + 5000], self._encode_single(single[at : at + 5000]), strict=True))
+        rest = list(new.difference(single))
+        words.update(zip(rest, self._encode(rest), strict=True))
+        self.known.update((c, words[a] + words[b] if b else words[a]) for c, (a, b) in zip(chunks, parts, strict=True))
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Of each text, as native unsigned 32-bit integers."""
+        plain = [not any(x in t for x in self.specials) for t in texts]
+        cut = [chunks_of(t, self.marks_ends) if p else [] for t, p in zip(texts, plain, strict=True)]
+        every = set().union(*cut)
+        new = every.difference(self.known)
+        if len(self.known) + len(new) > 3 * CACHE_ENTRIES:
+            self.known.clear()
+            new = every
+        if new:
+            self._learn(list(new))
+        get = self.known.__getitem__
+        return [b"".join(map(get, c)) if p else self._encode([t])[0] for t, c, p in zip(texts, cut, plain, strict=True)]
 
 
 @lru_cache(maxsize=2)

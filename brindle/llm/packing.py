@@ -49,10 +49,9 @@ def pack(docs: DataFrame, vocabulary: str, window: int = 4096, end_id: int = 2,
     id_type = kept.schema[0].dataType.simpleString()
 
     def to_ids(batch: pa.RecordBatch) -> list[pa.Array]:
-        ids = bpe.library_encoder(vocabulary).ids
         out = []
-        for x in batch.column(2).to_pylist():
-            wide = np.append(np.frombuffer(ids(x), np.uint32), np.uint32(end_id))
+        for ids in bpe.library_encoder(vocabulary).ids(batch.column(2).to_pylist()):
+            wide = np.append(np.frombuffer(ids, np.uint32), np.uint32(end_id))
             narrow = wide.max() < 1 << 16
             out.append((b"\x02" if narrow else b"\x04") + wide.astype("<u2" if narrow else "<u4").tobytes())
         n = [(len(x) - 1) // x[0] for x in out]
