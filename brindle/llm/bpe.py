@@ -262,12 +262,12 @@ class Bpe:
 class Chunks(dict):
     """What is known of chunks of text that can be encoded by themselves. A missing one is worked out once, until the cache is emptied."""
 
-    def __init__(self, make):
+    def __init__(self, make, entries: int = CACHE_ENTRIES):
         super().__init__()
-        self.make = make
+        self.make, self.entries = make, entries
 
     def __missing__(self, chunk: str):
-        if len(self) >= CACHE_ENTRIES:
+        if len(self) >= self.entries:
             self.clear()
         self[chunk] = out = self.make(chunk)
         return out
@@ -299,7 +299,7 @@ class Encoder:
     def __init__(self, bpe: Bpe):
         self.bpe = bpe
         self.make = bpe.ids_of_text
-        self.known, self.counts, self.words = Chunks(self.make), Chunks(self._count), Chunks(self._count_word)
+        self.known, self.counts, self.words = Chunks(self.make), Chunks(self._count, 4 * CACHE_ENTRIES), Chunks(self._count_word, 4 * CACHE_ENTRIES)  # counts are small
 
     def _count(self, chunk: str) -> int:
         return sum(map(self.words.__getitem__, self.bpe.pretokens(chunk)))
