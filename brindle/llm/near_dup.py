@@ -9,12 +9,14 @@
    band. Pairs grow in proportion to the texts, however large a band is.
 4. Pairs are verified by their exact weighted Jaccard similarity, and connected components of those that pass are the
    classes. Copies of a text go through all this once.
+5. A band whose texts aren't in one class by then is open. In rounds, more and more of its texts are paired with all the
+   others of other classes, until every two texts that share a band are verified or in one class.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -25,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .graph import components
+from .graph import SALTS, components
 from .shared import cut, map_rows, pieces, text_or_empty
 
 WORDS, THRESHOLD = 5, 0.8
@@ -35,6 +37,9 @@ CELLS = 1 << CELL_BITS
 #: A shingle's weight lies between LEAST_WEIGHT (in every document) and 1 (in almost none). Were frequent ones worth next to nothing, a large group of copies would look less alike than a small one with the same edits.
 LEAST_WEIGHT = 0.75
 
+#: Texts of an open band that meet all its others in the first round; four times as many in each next one.
+PIVOTS = 8
+
 _BLOCK = 1 << 14
 _FAN = 64
 _TABLE = 1 << 15
@@ -215,6 +220,52 @@ def text_key(column: str) -> Column:
     return F.md5(text_or_empty(column).cast("binary"))
 
 
+def _salted(df: DataFrame) -> DataFrame:
+    """Every row once for each salt, so that the rows of a hot band or class needn't meet it in one task."""
+    return df.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+
+
+def _rest(texts: DataFrame, banded: DataFrame, tested: DataFrame, labels: DataFrame, sets: DataFrame, verify: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame | None:
+    """Links (a, b) between classes that `tested` pairs (a, b, ok) with their classes `labels` have left out; None if there are none.
+
+    Only bands that hold a pair which failed and whose texts are in two classes can be open. In each round about `quota`
+    texts of an open band, and the one with the most links, are its pivots: they meet all others of other classes, and
+    then leave the band. Pairs that have been verified aren't verified again. A band of n texts takes a number of rounds
+    that grows with the logarithm of n, and at most all its pairs.
+    """
+    where = lambda df, node, to: df.join(labels.select(F.col("node").alias(node), F.col("component").alias(to)), node, "left").withColumn(to, F.coalesce(to, node))
+    failed = cut(where(where(tested.where("NOT ok").select("a", "b"), "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b").distinct())
+    if not failed.limit(1).count():
+        return None
+    of = lambda x: texts.where("node IS NOT NULL").select(F.col("node").alias(x), F.col("bands").alias(f"{x}_bands"))
+    bands = failed.join(of("a"), "a").join(of("b"), "b").select(F.explode(F.array_intersect("a_bands", "b_bands")).alias("band")).distinct()
+    ok = tested.where("ok")
+    links = ok.select(F.col("a").alias("node")).union(ok.select(F.col("b").alias("node"))).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
+    members = where(banded.join(bands, "band", "left_semi").distinct(), "node", "class").join(links, "node", "left").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    members = cut(members.select("band", "node", "class", F.coalesce("links", F.lit(0)).alias("links"), "salt"))
+    sets = cut(sets.join(members.select(F.col("node").alias("id")).distinct(), "id", "left_semi"))
+    found, quota = None, PIVOTS
+    while True:
+        state = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("low"), F.max("class").alias("high"), F.max(F.struct("links", "node")).alias("most"))
+        state = state.where("low <> high").select("band", "n", F.col("most.node").alias("most"))
+        drawn = F.pmod(F.xxhash64("node", "band"), F.lit(1 << 30)) * F.col("n") < F.lit(quota << 30)
+        members = cut(members.join(_salted(state), ["band", "salt"]).select("band", "node", "class", "links", "salt", ((F.col("node") == F.col("most")) | drawn).alias("pivot")))
+        if not members.limit(1).count():
+            return found
+        pivots = _salted(members.where("pivot").select("band", F.col("node").alias("p"), F.col("class").alias("cp")))
+        met = pivots.join(members.select("band", "salt", F.col("node").alias("q"), F.col("class").alias("cq"), "pivot"), ["band", "salt"]).where("cp <> cq AND (NOT pivot OR p < q)")
+        met = met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"), F.least("cp", "cq").alias("ca"), F.greatest("cp", "cq").alias("cb")).distinct()
+        tested = cut(verify(met.join(failed, ["a", "b"], "left_anti"), sets))
+        new = tested.where("ok").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
+        failed = failed.union(tested.where("NOT ok").select("a", "b"))
+        members = members.where("NOT pivot").drop("pivot")
+        if new.limit(1).count():
+            found = new if found is None else found.union(new)
+            to = _salted(components(new).select(F.col("node").alias("class"), "component"))
+            members = members.join(to, ["class", "salt"], "left").withColumn("class", F.coalesce("component", "class")).drop("component")
+        quota *= 4
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The class of every document: documents linked, directly or through others, by a similarity of at least `threshold`.
 
@@ -225,7 +276,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     Other columns are not read. An empty table gives an empty table.
 
     Shuffles: a row of 16 bands for each document and text; the texts once, to pick those in pairs; for each pair one
-    text's elements (4 bytes a word).
+    text's elements (4 bytes a word). Open bands (see _rest) move the elements of their texts again in each round.
     """
     named = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
     spark = docs.sparkSession
@@ -255,19 +306,28 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     chosen = named.select("id", text_key("text").alias("key"), "text").join(wanted, ["id", "key"], "left_semi")
     sets = cut(map_rows(chosen.select("id", "text"), to_elements, "id long, elements binary", ["id", "elements"]))
 
-    def verify(batch: pa.RecordBatch) -> list[pa.Array]:
-        w, cell = weights.value, lambda x: np.frombuffer(x, np.uint32)
-        ok = [similarity(cell(x), cell(y), w) >= threshold for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-        return [batch.column(0), batch.column(1), pa.array(ok, pa.bool_())]
+    def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """The pairs, with a column `ok`."""
+        names = pairs.columns
+
+        def similar(batch: pa.RecordBatch) -> list[pa.Array]:
+            w, cell = weights.value, lambda x: np.frombuffer(x, np.uint32)
+            ok = [similarity(cell(x), cell(y), w) >= threshold for x, y in zip(batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist(), strict=True)]
+            return [*batch.columns[: len(names)], pa.array(ok, pa.bool_())]
+
+        with_a = pairs.join(sets.select(F.col("id").alias("a"), F.col("elements").alias("x")), "a")
+        with_b = with_a.join(sets.select(F.col("id").alias("b"), F.col("elements").alias("y")), "b").select(*names, "x", "y")
+        return map_rows(with_b, similar, "".join(f"{x} long, " for x in names) + "ok boolean", [*names, "ok"])
 
-    with_a = pairs.join(sets.select(F.col("id").alias("a"), F.col("elements").alias("x")), "a")
-    with_b = with_a.join(sets.select(F.col("id").alias("b"), F.col("elements").alias("y")), "b").select("a", "b", "x", "y")
-    links = map_rows(with_b, verify, "a long, b long, ok boolean", ["a", "b", "ok"]).where("ok").select("a", "b")
+    tested = cut(verify(pairs, sets))
+    links = tested.where("ok").select("a", "b")
 
     keyed = named.select("id", text_key("text").alias("key"))
     several = texts.select("key", "node").join(keyed.where("id IS NOT NULL"), "key").where("id <> node").select(F.col("node").alias("b"), F.col("id").alias("a"))
     shared = keyed.where("id IS NOT NULL").distinct().groupBy("id").count().where("count > 1").select(F.col("id").alias("a"))
     labels = components(links.union(several.join(shared, "a").select("a", "b")))
+    if (more := _rest(texts, banded, tested, labels, sets, verify)) is not None:
+        labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     placed = keyed.join(texts.select("key", F.col("node").alias("copy_of")), "key")
     return placed.join(labels, F.col("copy_of") == F.col("node"), "left").select(F.col("id").alias(id_col), "copy_of", F.coalesce("component", "copy_of").alias("class_id"))
 

@@ -116,6 +116,22 @@ def test_near_duplicates_against_brute_force(spark):
     assert got == brute_classes(docs)
 
 
+def test_near_duplicates_of_stars_with_a_centre_in_the_middle(spark):
+    """Copies like their original and not like each other, of two originals whose ids aren't the least."""
+    rng = random.Random(6)
+    docs = []
+    for group, (n, first) in enumerate(((60, 0), (40, 500))):
+        base = [f"g{group}w{i}" for i in range(200)]
+        for i in range(n + 1):
+            text = base[:]
+            if i != n // 2:
+                for at in rng.sample(range(10, 190, 6), 3):
+                    text[at] = f"new{group}x{i}x{at}"
+            docs.append((first + i, " ".join(text)))
+    got = {r["doc_id"]: r["class_id"] for r in near_dup.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == brute_classes(docs) == {d: d // 500 * 500 for d, _ in docs}
+
+
 def test_pairs_across_tasks(spark):
     """One band whose rows are in every task still makes one class."""
     text = " ".join(f"w{i}" for i in range(100))
