@@ -15,6 +15,7 @@ import re
 from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
+from math import lgamma
 
 import numpy as np
 import pyarrow as pa
@@ -73,14 +74,38 @@ def _content(texts: list[list[str]], size: int) -> bytes:
         return b"".join(parts)[-size:]
 
 
-def _marked(toxic: list[list[str]], ordinary: list[list[str]]) -> bytes:
-    """The words of toxic training texts that a fiftieth of those texts, and two at least, hold and that are ten times as common in them as in ordinary ones; the most frequent stand last."""
+#: Of the words that no more than chance would favour, this share at most may pass as marks of toxic texts. Training tries each level, and takes the one whose scores fit best.
+LEVELS = (1e-2, 1e-3, 1e-4, 1e-5, 1e-6)
+#: The fewest toxic texts that a mark is in, whatever their number; and how many times as common it is in them.
+LEAST_TEXTS, LEAST_RATIO = 3, 10
+
+
+def _marks(toxic: list[list[str]], ordinary: list[list[str]]) -> dict[str, tuple[int, float]]:
+    """For each word of LEAST_TEXTS toxic texts that is LEAST_RATIO times as common in them as in ordinary ones: how many toxic texts it is in, and the chance that so many of its texts are toxic if it marks nothing."""
     n, found = [max(1, len(toxic)), max(1, len(ordinary))], [Counter(), Counter()]
     for by, texts in zip(found, (toxic, ordinary), strict=True):
         for text in texts:
             by.update(set(text))
-    marked = [w for w, k in found[0].items() if k >= max(2, 0.02 * n[0]) and k / n[0] > 10 * (found[1][w] + 1) / n[1]]
-    return f" {' '.join(sorted(marked, key=lambda w: (found[0][w], w)))} ".encode("utf-8", "replace")[-DICTIONARY // 4 :]
+    share, out = n[0] / sum(n), {}
+    for w, k in found[0].items():
+        if k >= LEAST_TEXTS and k / n[0] > LEAST_RATIO * (j := found[1][w]) / n[1]:
+            i = np.arange(k, k + j + 1)
+            out[w] = k, float(np.exp(_log_factorial(k + j) - _log_factorial(i) - _log_factorial(k + j - i) + i * np.log(share) + (k + j - i) * np.log1p(-share)).sum())
+    return out
+
+
+def _log_factorial(n) -> np.ndarray:
+    return np.vectorize(lgamma, otypes=[float])(np.asarray(n) + 1.0)
+
+
+def _words(marks: dict[str, tuple[int, float]], level: float) -> bytes:
+    """The marks at a level; those of the most toxic texts stand last. Beyond the room for them, the least certain are left out."""
+    out, room = [], DICTIONARY // 4 - 2
+    for w in sorted((w for w, (_, chance) in marks.items() if chance < level), key=lambda w: (marks[w][1], w)):
+        if (room := room - len(w.encode("utf-8", "replace")) - 1) < 0:
+            break
+        out.append(w)
+    return f" {' '.join(sorted(out, key=lambda w: (marks[w][0], w)))} ".encode("utf-8", "replace")
 
 
 #: Bytes saved on a window from which on it counts; the curve weighs the counts.
@@ -93,26 +118,38 @@ def features(gain: np.ndarray) -> list[float]:
     return [float(gain.max(initial=0)), *np.log1p(counts).tolist(), float(np.log1p(len(gain)))]
 
 
-def _dictionaries(texts: list[tuple[list[str], int]]) -> tuple[bytes, bytes]:
+def _parts(texts: list[tuple[list[str], int]]) -> tuple[bytes, dict[str, tuple[int, float]]]:
+    """The ordinary dictionary and the marks of toxic texts."""
     split = [[t for t, y in texts if y == label] for label in (0, 1)]
-    ordinary = _content(split[0], DICTIONARY)
-    return ordinary, ordinary + _marked(split[1], split[0])  # the end of a dictionary is the cheapest to refer to
+    return _content(split[0], DICTIONARY), _marks(split[1], split[0])
 
 
 def train(rows: list[tuple[str, int]], prior: float | None = None) -> Model:
-    """rows: texts and labels. Two thirds of them make dictionaries by which the rest calibrate the curve; those of the model are made of all. Without rows of both classes the score is the share of toxic rows. prior: the share of toxic texts where the model is used, if the rows have another one."""
+    """rows: texts and labels. Each third of them is measured by dictionaries of the other two, once for each of LEVELS; the level whose curve fits best is taken, and its curve. The dictionaries of the model are made of all rows. Without rows of both classes the score is the share of toxic rows. prior: the share of toxic texts where the model is used, if the rows have another one."""
     rows = sorted({" ".join(sorted(set(_word.findall(t.lower())))[:12]): (t, y) for t, y in sorted(rows)}.values())  # one of each group of near copies, whatever the order in which executors deliver them
     texts = [(_word.findall(t.lower()), y) for t, y in rows]
     share = sum(y for _, y in rows) / len(rows) if rows else 0.0
-    part = [x for i, x in enumerate(texts) if i % 3 != 2]
-    if len({y for _, y in part}) < 2:
+    parts = [[x for i, x in enumerate(texts) if i % 3 != third] for third in range(3)]
+    if any(len({y for _, y in part}) < 2 for part in parts):
         return Model(b"", b"", (float(np.log((share + 1e-3) / (1 - share + 1e-3))),))
-    ordinary, toxic = _dictionaries(part)
-    known = [(features(saved(ordinary, toxic, t)), y) for i, (t, y) in enumerate(rows) if i % 3 == 2]
-    weights = _curve(np.array([x for x, _ in known]), np.array([y for _, y in known], float))
+    known: dict[float, list[list[float]]] = {level: [] for level in LEVELS}
+    for third, part in enumerate(parts):
+        ordinary, marks = _parts(part)
+        for level in LEVELS:
+            toxic = ordinary + _words(marks, level)
+            known[level] += [features(saved(ordinary, toxic, t)) for t, _ in rows[third::3]]
+    y = np.array([y for third in range(3) for _, y in rows[third::3]], float)
+    fits = []
+    for level in LEVELS:
+        x = np.array(known[level])
+        weights = _curve(x, y)
+        at = np.clip(weights[0] + x @ np.array(weights[1:]), -30, 30)
+        fits.append((float((np.log1p(np.exp(at)) - y * at).sum()), level, weights))
+    _, level, weights = min(fits)
     if prior and 0 < prior < 1:
         weights = (weights[0] + float(np.log(prior / (1 - prior)) - np.log(share / (1 - share))), *weights[1:])
-    return Model(*_dictionaries(texts), weights)
+    ordinary, marks = _parts(texts)
+    return Model(ordinary, ordinary + _words(marks, level), weights)  # the end of a dictionary is the cheapest to refer to
 
 
 def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:

@@ -45,6 +45,23 @@ def test_toxicity_held_out(spark):
     assert auc > 0.88 and rows[~bad]["predicted"].mean() < 0.05 and rows["score"].between(0, 1).all()
 
 
+def test_toxic_words_of_a_minority(spark):
+    """Words that each stand in under a fiftieth of all toxic training texts, since they are of a rarer language, are learned."""
+    rng = random.Random(8)
+
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    usual, marks = ({name: [letters(9) for _ in range(n)] for name in ("aba", "oco")} for n in (400, 12))
+
+    def text(name, bad):
+        return " ".join(rng.sample(rng.choices(usual[name], k=60) + rng.sample(marks[name] if bad else usual[name], 4), 64))
+
+    rows = [(text("aba", i % 4 == 0), int(i % 4 == 0)) for i in range(2400)] + [(text("oco", i % 4 == 0), int(i % 4 == 0)) for i in range(100)]
+    model = toxicity.train(rows)
+    texts = [text("oco", True) for _ in range(20)], [text("oco", False) for _ in range(40)]
+    recall, wrong = (np.mean([toxicity.score(model, t) >= 0.5 for t in x]) for x in texts)
+    assert recall >= 0.8 and wrong <= 0.05
+
+
 def test_toxicity_of_odd_rows(spark, odd, none):
     model = toxicity.train([(f"good words here number {i} and more of them", 0) for i in range(60)] + [(f"you worthless idiot number {i} and more of them", 1) for i in range(60)])
     rows = toxicity.score_documents(odd, model).collect()
