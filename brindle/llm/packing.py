@@ -14,22 +14,24 @@ from __future__ import annotations
 
 from collections import deque
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bpe
 from .shared import cut, map_rows, pieces, text_or_empty
 
-#: Sources with a smaller share of the tokens have one queue together, so there are at most 101 queues.
-LEAST_SHARE = 0.01
+#: So many totals of a partition and source are sent to every task; if there are more, the ids are shuffled once more to meet theirs.
+MOST_TOTALS = 1 << 20
 #: Bytes of ids that a task takes up before it serves its queues.
 BLOCK_BYTES = 32 << 20
 
 
-def pack(docs: DataFrame, vocabulary: str, window: int = 4096, end_id: int = 2, targets: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", least_share: float = LEAST_SHARE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, window: int = 4096, end_id: int = 2, targets: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", block_bytes: int = BLOCK_BYTES, most_totals: int = MOST_TOTALS) -> DataFrame:
     """Packs the tokens of all documents, each followed by end_id, into windows.
 
     Returns one row for each piece: id_col, `source`, `start` long (tokens of its document before it), `length` long,
@@ -38,12 +40,12 @@ def pack(docs: DataFrame, vocabulary: str, window: int = 4096, end_id: int = 2,
     goes on in the next one.
 
     targets: the share of tokens each source should have in every window, as far as its documents last; by default its
-    share of the corpus. A null source is a source of its own. Sources under least_share of the tokens share a queue.
-    A null or empty text is end_id alone. Repeated rows are packed each. Other columns are not read. An empty table
+    share of the corpus. A target that no source has is an error; sources without one share what the targets leave.
+    Every source has a queue of its own, and so has a null source. A null or empty text is end_id alone. Repeated rows are packed each. Other columns are not read. An empty table
     gives an empty table.
 
     One shuffle moves the ids, at two bytes each where the vocabulary allows, and they are written once to the shared
-    folder; the driver gets one number for each partition and queue.
+    folder; the driver gets one number for each partition. Each row meets the totals of its partition and source in a join.
     """
     kept = docs.select(F.col(id_col), F.col(source_col).cast("string").alias("source"), text_or_empty(text_col).alias("text"))
     id_type = kept.schema[0].dataType.simpleString()
@@ -61,32 +63,31 @@ def pack(docs: DataFrame, vocabulary: str, window: int = 4096, end_id: int = 2,
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = cut(encoded.repartition(partitions, F.xxhash64(id_col, F.crc32("packed")))).withColumn("part", F.spark_partition_id())
 
-    sums = cut(dealt.groupBy("part", "source").agg(F.sum("n").alias("n")))  # one pass over the ids; all else follows from it
-    least = least_share * (sums.agg(F.sum("n")).head()[0] or 0)
-    large = [r["source"] for r in sums.groupBy("source").agg(F.sum("n").alias("n")).where(F.col("n") >= least).collect()]  # 1 / least_share at most
-    named, null = F.col("source").isin([s for s in large if s is not None]), F.col("source").isNull() & F.lit(None in large)
-    queue = F.when(named, F.concat(F.lit("="), "source")).when(null, "null").otherwise("other")
+    queue = F.coalesce(F.concat(F.lit("="), "source"), F.lit("null"))
     dealt = dealt.withColumn("queue", queue)
-    totals: dict[int, dict[str, int]] = {}
-    for r in sums.groupBy("part", queue.alias("queue")).agg(F.sum("n").alias("n")).collect():  # at most 101 numbers for each partition
-        totals.setdefault(r["part"], {})[r["queue"]] = r["n"]
-    weights = _weights(totals, targets)
-    before, sent = {}, dict.fromkeys(weights, 0)
-    for part in sorted(totals):
-        before[part] = dict(sent)
-        for name, n in totals[part].items():
-            sent[name] += n
-    shared = docs.sparkSession.sparkContext.broadcast((weights, before))
+    sums = cut(dealt.groupBy("part", "queue").agg(F.sum("n").alias("n")))  # one pass over the ids; all else follows from it
+    earlier = F.sum("n").over(Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    totals = cut(sums.select("part", "queue", F.coalesce(earlier, F.lit(0)).alias("sent")).join(_weights(sums, targets), "queue"))
+    if totals.count() <= most_totals:
+        dealt = dealt.join(F.broadcast(totals), ["part", "queue"])
+    else:
+        dealt = dealt.join(totals, ["part", "queue"]).repartition(partitions, "part").sortWithinPartitions("part")
+    dealt = dealt.select(id_col, "source", "n", "packed", "part", "queue", "sent", "weight")
+    before, position = {}, 0
+    for r in sums.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect():  # one number for each partition
+        before[r["part"]] = position
+        position += r["n"]
+    shared = docs.sparkSession.sparkContext.broadcast(before)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = block = None
+        state, block, size, part = None, [], 0, None
         for batch in (x for b in batches for x in pieces(b)):
-            if not batch.num_rows:
-                continue
-            if state is None:
-                weights, before = shared.value
-                state, block, size = Rounds(weights, before[batch.column(4)[0].as_py()], window), [], 0
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[4] != part:
+                    if block:
+                        yield from _cut_up(state, block, window, names, types)
+                    part = row[4]
+                    state, block, size = Rounds(shared.value[part], window), [], 0
                 block.append(row)
                 size += len(row[3])
                 if size >= block_bytes:
@@ -102,47 +103,52 @@ def pack(docs: DataFrame, vocabulary: str, window: int = 4096, end_id: int = 2,
     return dealt.mapInArrow(run, f"`{id_col}` {id_type}, source string, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 
-def _weights(totals: dict[int, dict[str, int]], targets: dict[str, float] | None) -> dict[str, float]:
-    """Each queue's share of a window."""
-    corpus: dict[str, float] = {}
-    for by in totals.values():
-        for name, n in by.items():
-            corpus[name] = corpus.get(name, 0) + n
+def _weights(sums: DataFrame, targets: dict[str, float] | None) -> DataFrame:
+    """Each queue's share of a window: `queue`, `weight`."""
+    queues = sums.groupBy("queue").agg(F.sum("n").cast("double").alias("n"))
+    share = F.col("n")
     if targets:
-        named = {"=" + k: v for k, v in targets.items()}
-        rest = max(0.0, 1 - sum(named.values()))
-        others = sum(n for k, n in corpus.items() if k not in named) or 1
-        corpus = {k: named.get(k, rest * n / others) for k, n in corpus.items()}
-    total = sum(corpus.values()) or 1
-    return {k: corpus[k] / total for k in sorted(corpus)}
+        named = {"=" + k: float(v) for k, v in targets.items()}
+        found = {r["queue"] for r in queues.where(F.col("queue").isin(list(named))).select("queue").collect()}
+        if found != set(named) and queues.limit(1).count():
+            raise ValueError(f"targets that no source has: {sorted(k[1:] for k in set(named) - found)}")
+        others = queues.where(~F.col("queue").isin(list(named))).agg(F.sum("n")).head()[0] or 1
+        share = F.lit(max(0.0, 1 - sum(named.values()))) * F.col("n") / F.lit(others)
+        for k, v in named.items():
+            share = F.when(F.col("queue") == k, F.lit(v)).otherwise(share)
+    queues = queues.select("queue", share.alias("weight"))
+    total = queues.agg(F.sum("weight")).head()[0] or 1
+    return queues.select("queue", (F.col("weight") / F.lit(total)).alias("weight"))
 
 
 class Rounds:
-    """Deficit round-robin over queues. sent: tokens that each queue has sent before."""
+    """Deficit round-robin over queues. position: tokens sent before, of all queues."""
 
-    def __init__(self, weights: dict[str, float], sent: dict[str, int], window: int):
-        self.weights, self.sent, self.window = weights, dict(sent), window
-        self.position = sum(sent.values())
+    def __init__(self, position: int, window: int):
+        self.sent: dict[str, int] = {}
+        self.position, self.window = position, window
 
     def serve(self, rows: list[tuple]) -> Iterator[tuple]:
-        """All rows (id, source, n, ids, part, queue) in the order in which they are sent. Ends with empty queues; what each is owed shows in `sent` and `position`, and carries on."""
+        """All rows (id, source, n, ids, part, queue, tokens of the queue before this partition, weight) in the order in which they are sent. Ends with empty queues; what each is owed shows in `sent` and `position`, and carries on."""
         queues: dict[str, deque] = {}
         for row in rows:
             queues.setdefault(row[5], deque()).append(row)
-        credit = {k: self.weights[k] * self.position - self.sent[k] for k in queues}
-        quantum = {k: max(self.weights[k] * self.window, 1e-3) for k in queues}
-        while queues:
-            rounds = max(1, min(int(np.ceil((q[0][2] - credit[k]) / quantum[k])) for k, q in queues.items()))
-            for k in list(queues):
-                credit[k] += rounds * quantum[k]
-                q = queues[k]
-                while q and q[0][2] <= credit[k] + 1e-9:
-                    row = q.popleft()
-                    credit[k] -= row[2]
-                    self.sent[k] += row[2]
-                    yield row
-                if not q:
-                    del queues[k]
+        turns, credit, quantum = [], {}, {}
+        for i, (k, q) in enumerate(queues.items()):
+            sent, weight = self.sent.setdefault(k, q[0][6]), q[0][7]
+            credit[k], quantum[k] = weight * self.position - sent, max(weight * self.window, 1e-9)
+            turns.append((max(1, ceil((q[0][2] - credit[k]) / quantum[k])), i, k))
+        heapify(turns)  # the round in which a queue's credit covers its first document
+        while turns:
+            turn, i, k = heappop(turns)
+            q = queues[k]
+            while q and q[0][2] <= credit[k] + turn * quantum[k] + 1e-9:
+                row = q.popleft()
+                credit[k] -= row[2]
+                self.sent[k] += row[2]
+                yield row
+            if q:
+                heappush(turns, (max(turn + 1, ceil((q[0][2] - credit[k]) / quantum[k])), i, k))
 
 
 def _cut_up(state: Rounds, block: list[tuple], window: int, names: list[str], types: list) -> Iterator[pa.RecordBatch]:

@@ -112,6 +112,23 @@ def test_packing_keeps_to_the_mixture(spark):
         assert (sent - part * order["length"].cumsum()).abs().max() < 3 * 512, source  # a window, a document, and how unevenly a partition's documents fell
 
 
+def test_packing_of_many_small_sources(spark):
+    """Sources of half a percent are mixed evenly and can have targets, however their totals reach the rows."""
+    docs = spark.createDataFrame([(i, "the cat " * 20, f"s{i // 40}") for i in range(8000)], "doc_id long, text string, source string").coalesce(1)
+    for most in (1 << 20, 0):
+        even = packing.pack(docs, WORD, window=512, block_bytes=1 << 22, most_totals=most).toPandas()
+        order = even.sort_values(["sequence_id", "offset"])
+        assert (order["sequence_id"] * 512 + order["offset"]).tolist() == [0, *order["length"].cumsum()[:-1]]
+        for source in ("s0", "s77", "s199"):
+            sent = (order["length"] * (order["source"] == source)).cumsum()
+            assert (sent - order["length"].cumsum() / 200).abs().max() < 512, source
+    rows = packing.pack(docs, WORD, window=512, targets={"s7": 0.2}).toPandas().sort_values(["sequence_id", "offset"])
+    first = rows[rows["sequence_id"] < 2]  # as far as the documents of the first partition last
+    assert 0.1 < first.loc[first["source"] == "s7", "length"].sum() / first["length"].sum() < 0.3
+    with pytest.raises(ValueError):
+        packing.pack(docs, WORD, window=512, targets={"none": 0.2})
+
+
 def test_packing_query(spark):
     rows = QUERIES["op2_packing"](spark, "/root/testdata/sf0.001").collect()
     library = Tokenizer.from_file(WORD)
