@@ -24,10 +24,11 @@ class Lists:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
+        self.repeated = len(ids) > 1 and bool((self.ids[1:] == self.ids[:-1]).any())
         self.order = np.argsort(-self.vectors, axis=0, kind="stable").T.copy()  # for each dimension, rows by falling component
 
     def search(self, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
-        """The k best (score, id) for a query, ties to the smaller id, without the candidate whose id is `own`."""
+        """The k best (score, id) for a query, ties to the smaller id, without the candidate whose id is `own`. Of rows that share an id, the best counts once."""
         n = len(self.ids)
         up, down = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
         seen = np.zeros(n, bool)
@@ -50,11 +51,20 @@ class Lists:
                 if len(best) == k:
                     good = scores >= best[-1][0]
                     new, scores = new[good], scores[good]
-                if len(new) > 2 * k + 2:
+                found = self.ids[new]
+                if self.repeated and len(new):
+                    order = np.lexsort((-scores, found))
+                    order = order[np.concatenate([[True], found[order][1:] != found[order][:-1]])]
+                    found, scores = found[order], scores[order]
+                if len(found) > 2 * k + 2:
                     cut = np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1]  # one more, as the query's own may be among them
                     good = scores >= cut
-                    new, scores = new[good], scores[good]
-                best = sorted([*best, *((s, i) for s, i in zip(map(int, scores), self.ids[new].tolist(), strict=True) if i != own)], key=lambda x: (-x[0], x[1]))[:k]
+                    found, scores = found[good], scores[good]
+                most = dict(zip((i for _, i in best), (s for s, _ in best), strict=True))
+                for s, i in zip(map(int, scores), found.tolist(), strict=True):
+                    if i != own and (i not in most or s > most[i]):
+                        most[i] = s
+                best = sorted(((s, i) for i, s in most.items()), key=lambda x: (-x[0], x[1]))[:k]
             depth = end
             if depth >= n:
                 return best

@@ -64,6 +64,24 @@ def test_top_k_against_brute_force(spark, block):
     assert topk_search.top_k(rows.where("false"), rows).count() == 0
 
 
+@pytest.mark.parametrize("block", [64, 10_000])
+def test_top_k_of_repeated_ids(spark, block):
+    """Ids that stand there many times, with the same vector or several, take one place of the k."""
+    rng = np.random.default_rng(2)
+    v = rng.integers(-9, 9, (150, 6))
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(i, v[i].tolist()) for i in range(0, 150, 3) for _ in range(12)] + [(i, v[(i + 1) % 150].tolist()) for i in range(0, 150, 7)]
+    df = spark.createDataFrame(rows, "vec_id long, vector array<bigint>")
+    got = {}
+    for r in topk_search.top_k(df, df.where("vec_id IN (1, 20, 40, 101)"), 5, block_rows=block).orderBy("rank").collect():
+        got.setdefault(r["query_id"], []).append((r["score"], r["vec_id"]))
+    for q in (1, 20, 40, 101):
+        best = {}
+        for i, x in rows:
+            if i != q:
+                best[i] = max(best.get(i, -(10**9)), int(v[q] @ np.array(x)))
+        assert got[q] == sorted(((s, i) for i, s in best.items()), key=lambda x: (-x[0], x[1]))[:5]
+
+
 def test_top_k_of_huge_numbers_and_few_candidates(spark):
     rows = spark.createDataFrame([(0, [2**30, 1]), (1, [2**30, 5]), (2, [1])], "vec_id long, vector array<bigint>")
     got = topk_search.top_k(rows, rows.where("vec_id = 0")).orderBy("rank").collect()
