@@ -8,7 +8,8 @@ common if they share its k-mers, how often these occur, and their order; so the
 distance, and not only with the sets of k-mers.
 
 One hash for all bins, in place of one permutation for each sketch, makes the work for a text independent of the number
-of bins. A text with few k-mers leaves bins empty; those that are empty in both texts don't count.
+of bins. A bin that a text with few k-mers leaves without its full number of pairs borrows the least ones of the next
+bins, around the circle of bins; so short texts have tuples with an order in all bins, too.
 
 Sorting uses single longs: 40 bits of hash and 24 of place. k-mers from place 2^24 on count as being at that place.
 """
@@ -32,7 +33,7 @@ UNIT = rf"[{_ALONE}]|[^\s{_ALONE}]{{1,24}}"
 
 
 def with_fingerprint(df: DataFrame, text_col: str, to: str) -> DataFrame:
-    """Adds array<bigint> `to`: for each bin that isn't empty, the bin's number in bits 32 to 37 and 32 bits of its tuple's hash.
+    """Adds array<bigint> `to`: for each bin, the bin's number in bits 32 to 37 and 32 bits of its tuple's hash.
 
     A null text counts as empty, and has no bins. Equal texts have equal fingerprints. Every step is a column of its
     own that is used more than once, so that none is worked out again for each element of an array.
@@ -51,11 +52,16 @@ def with_fingerprint(df: DataFrame, text_col: str, to: str) -> DataFrame:
         ),
         "__least": F.expr(f"filter(__pairs, (x, i) -> i < {LEAST} OR NOT {same('x', get('__pairs', f'i - {LEAST}'))})"),
         "__firsts": F.expr(f"filter(sequence(0, size(__least)), i -> i < size(__least) AND (i = 0 OR NOT {same(get('__least', 'i'), get('__least', 'i - 1'))}))"),
-        to: F.expr(
-            "transform(transform(__firsts, (b, j) -> array_sort(transform(slice(__least, b + 1, coalesce(get(__firsts, int(j + 1)), size(__least)) - b), "
-            f"x -> struct(x & {_PLACE}L AS place, x AS pair)))), "
-            f"t -> shiftleft(shiftrightunsigned(t[0].pair, {sixth}), 32) | (xxhash64(array_join(transform(t, y -> hex({get('__kmers', 'y.place')})), ' ')) & 4294967295L))"
+        "__ring": F.expr(f"concat(__least, slice(__least, 1, {LEAST}))"),
+        "__bins": F.expr(f"transform(__firsts, b -> int(shiftright({get('__least', 'b')}, {sixth})))"),  # ascending from -BINS / 2, as longs are sorted
+        "__tuples": F.expr(
+            f"transform(transform(__firsts, b -> array_sort(transform(slice(__ring, b + 1, least({LEAST}, size(__least))), x -> struct(x & {_PLACE}L AS place, x AS pair)))), "
+            f"t -> xxhash64(array_join(transform(t, y -> hex({get('__kmers', 'y.place')})), ' ')) & 4294967295L)"
         ),
+        to: F.expr(
+            f"concat(flatten(transform(__tuples, (t, j) -> transform(sequence(coalesce({get('__bins', 'j - 1')}, {-BINS // 2 - 1}) + 1, {get('__bins', 'j')}), b -> shiftleft(bigint(b & {BINS - 1}), 32) | t))), "
+            f"IF({get('__bins', 'size(__bins) - 1')} < {BINS // 2 - 1}, transform(sequence({get('__bins', 'size(__bins) - 1')} + 1, {BINS // 2 - 1}), b -> shiftleft(bigint(b & {BINS - 1}), 32) | {get('__tuples', '0')}), array()))"
+        ).cast("array<bigint>"),
     }
     for name, value in steps.items():
         df = df.withColumn(name, value)
