@@ -15,20 +15,24 @@ from __future__ import annotations
 import json
 import os
 import re
-import string
 from array import array
 from functools import lru_cache
 
 import numpy as np
 import regex
 
-#: Entries after which a cache is emptied. It holds results only, so this changes speed and never a result.
-CACHE_ENTRIES = 160_000
+from .shared import Cache, holds
+
+#: Bytes that the results of words may take in a worker; and entries after which the smaller tables are emptied. These change speed and never a result.
+CACHE_BYTES = 120 << 20
+PAIRS, HEADS = 300_000, 30_000
 
 #: Below this code point no character combines with another, and the regex library agrees with the tokenizers library.
 SIMPLE = "ɐ"
+#: Pre-tokens, as the vocabulary files' pre-tokenizers define them (fixed values): of those that split by a pattern, and of plain byte-level ones.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+BYTE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-_MARKS = frozenset(string.punctuation)
 _HEAD = 5  # symbols whose part of the table is kept
 _END = 256  # added to the last byte of a word where the vocabulary marks ends of words
 
@@ -41,6 +45,29 @@ def byte_letters() -> list[str]:
     return [chr(b if b in plain else next(free)) for b in range(256)]
 
 
+@lru_cache(maxsize=2)
+def plain_pattern(pattern: str) -> re.Pattern:
+    """The pattern for characters below SIMPLE, as one that Python's own library takes, with its classes spelled out: it is twice as fast."""
+    of = lambda kind: "".join(f"\\u{c:04x}" for c in range(ord(SIMPLE)) if regex.fullmatch(kind, chr(c)))
+    letter, number, space = of(r"\p{L}"), of(r"\p{N}"), of(r"\s")
+    for a, b in ((r"[^\s\p{L}\p{N}]", f"[^{space}{letter}{number}]"), (r"[\p{L}]", f"[{letter}]"), (r"[\p{N}]", f"[{number}]"), (r"\p{L}", f"[{letter}]"), (r"\p{N}", f"[{number}]"), (r"\S", f"[^{space}]"), (r"\s", f"[{space}]")):
+        pattern = pattern.replace(a, b)
+    return re.compile(pattern)
+
+
+def pattern_of(spec: dict) -> str:
+    """The pre-tokens' pattern of a vocabulary file, if it is one of the two known here and text is prepared for it in the known way."""
+    pre, normal = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
+    level = {"add_prefix_space": False}
+    if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and normal is None and not spec["model"].get("end_of_word_suffix"):
+        return BYTE_PATTERN
+    parts = pre.get("pretokenizers", [])
+    known = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+    if len(parts) == 2 and parts[0].get("pattern") == {"Regex": WORD_PATTERN} and parts[0].get("behavior") == "Removed" and parts[0].get("invert") and parts[1].get("type") == "ByteLevel" and parts[1].items() >= level.items() and not parts[1].get("use_regex") and normal == known and spec["model"].get("end_of_word_suffix"):
+        return WORD_PATTERN
+    raise ValueError("the vocabulary file prepares text in a way that isn't supported")
+
+
 class SuffixAutomaton:
     """Of all substrings of the words given, which share prefixes in a trie. `ends` lists, for each state, the words that are suffixes of what it stands for, longest first."""
 
@@ -106,6 +133,7 @@ class Bpe:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, self.library = spec["model"], Tokenizer.from_file(path)
+        self.pattern = plain_pattern(pattern_of(spec))
         self.marks_ends = bool(model.get("end_of_word_suffix"))
         suffix = model.get("end_of_word_suffix") or ""
         vocab: dict[str, int] = model["vocab"]
@@ -117,6 +145,21 @@ class Bpe:
         self.text_of = {i: t for t, i in [*vocab.items(), *self.specials.items()]}
         self.joined = spec["decoder"] is None
         self.special_pattern = re.compile("|".join(re.escape(x) for x in sorted(self.specials, key=len, reverse=True))) if self.specials else None
+        self._model, self._automaton = model, None
+        self.pairs: dict[int, bool] = {}
+        self.heads: dict[bytes, tuple] = {}
+        self.words, self.tables = Cache(self.ids_of_word, CACHE_BYTES), Cache(self._table_of_word, CACHE_BYTES)
+
+    @property
+    def automaton(self) -> SuffixAutomaton:
+        """Made when it is first needed; decoding does without."""
+        if self._automaton is None:
+            self._build()
+        return self._automaton
+
+    def _build(self) -> None:
+        model, letters = self._model, byte_letters()
+        vocab, suffix = model["vocab"], model.get("end_of_word_suffix") or ""
         base = {b: vocab[c] for b, c in enumerate(letters)} | ({b + _END: vocab[c + suffix] for b, c in enumerate(letters)} if suffix else {})
         symbols: dict[int, tuple[int, ...]] = {t: (s,) for s, t in base.items()}
         self.rank, self.left, self.right = dict.fromkeys(base.values(), -1), {}, {}
@@ -133,11 +176,7 @@ class Bpe:
         for token, rank in self.rank.items():  # in the order of the merges, so parts come first
             if rank >= 0 and self.left[token] in whole and self.right[token] in whole and self._compatible(self.left[token], self.right[token], rank):
                 whole.add(token)
-        self.automaton = SuffixAutomaton([(symbols[t], t) for t in whole])
-        self.pairs: dict[int, bool] = {}
-        self.heads: dict[bytes, tuple] = {}
-        self.words: dict[str, bytes] = {}
-        self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+" if self.marks_ends else r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+        self._automaton, self._model = SuffixAutomaton([(symbols[t], t) for t in whole]), None
 
     def _compatible(self, a: int, b: int, until: int) -> bool:
         """Do the merges of rank under `until` that make a and b, side by side, leave the border between them alone?
@@ -174,7 +213,7 @@ class Bpe:
                 state, matched, at, head = known[3], known[4], _HEAD, None
         for i in range(at + 1, len(symbols) + 1):
             if head is not None and i == _HEAD + 1:
-                if len(self.heads) >= CACHE_ENTRIES // 4:
+                if len(self.heads) >= HEADS:
                     self.heads.clear()
                 self.heads[head] = last[:], start[:], count[:], state, matched
             c = symbols[i - 1]
@@ -190,7 +229,7 @@ class Bpe:
                     key = last[j] << 20 | token
                     fits = pairs.get(key)
                     if fits is None:
-                        if len(pairs) >= 3 * CACHE_ENTRIES:
+                        if len(pairs) >= PAIRS:
                             pairs.clear()
                         fits = pairs[key] = self._compatible(last[j], token, 1 << 40)
                     if not fits:
@@ -208,19 +247,21 @@ class Bpe:
         return out
 
     def ids_of_word(self, word: str) -> bytes:
-        """The ids of one pre-token, as native unsigned 32-bit integers."""
-        if (known := self.words.get(word)) is not None:
-            return known
+        """The ids of one pre-token, as native unsigned 32-bit integers, read off the table of last tokens from its end."""
         last, start, _ = self.table(self.symbols(word))
         ids, i = array("I"), len(last) - 1
         while i:
             ids.append(last[i])
             i = start[i]
         ids.reverse()
-        if len(self.words) >= CACHE_ENTRIES:
-            self.words.clear()
-        self.words[word] = out = ids.tobytes()
-        return out
+        return ids.tobytes()
+
+    def _table_of_word(self, word: str) -> bytes | array:
+        """The number of tokens of every prefix of a pre-token that ends between two characters, the empty one first. One byte each, if that is enough."""
+        count = self.table(self.symbols(word))[2]
+        if not word.isascii():
+            count = [0, *(count[i] for i in np.cumsum([len(c.encode("utf-8", "surrogatepass")) for c in word]).tolist())]
+        return bytes(count) if count[-1] < 256 else array("I", count)
 
     def pretokens(self, text: str) -> list[str]:
         """Of a text without special strings. The rules for plain letters are applied here, all others by the library."""
@@ -228,9 +269,14 @@ class Bpe:
             return []
         if max(text) < SIMPLE:
             return self.pattern.findall(text.lower() if self.marks_ends else text)
-        library = self.library
-        normal = library.normalizer.normalize_str(text) if library.normalizer else text
-        return [bytes(map(self.byte_of.__getitem__, x)).decode() for x, _ in library.pre_tokenizer.pre_tokenize_str(normal)]
+        out: list[str] = []
+        for chunk in chunks_of(text, self.marks_ends):
+            if max(chunk, default="") < SIMPLE:
+                out += self.pattern.findall(chunk.lower() if self.marks_ends else chunk)
+                continue
+            normal = self.library.normalizer.normalize_str(chunk) if self.library.normalizer else chunk
+            out += [bytes(map(self.byte_of.__getitem__, x)).decode() for x, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
+        return out
 
     def segments(self, text: str) -> list[tuple[str, int | None]]:
         """The text's parts in order, and of each the id if it is a special string."""
@@ -241,38 +287,27 @@ class Bpe:
                 at = m.end()
         return [*out, (text[at:], None)]
 
-    def ids_of_text(self, text: str) -> bytes:
-        """The ids of a whole text, as native unsigned 32-bit integers, without the help of a cache of chunks."""
-        out = []
+    def ids(self, text: str) -> bytes:
+        """The ids of a whole text, as native unsigned 32-bit integers."""
+        words, out = self.words, []
         for part, special in self.segments(text):
-            out += [array("I", [special]).tobytes()] if special is not None else map(self.ids_of_word, self.pretokens(part))
+            out += [array("I", [special]).tobytes()] if special is not None else map(words.__getitem__, self.pretokens(part))
         return b"".join(out)
 
     def decode(self, ids) -> str:
         """As the library does with skip_special_tokens=False."""
+        try:
+            out = (" " if self.joined else "").join(map(self.text_of.__getitem__, ids))
+        except KeyError as e:
+            raise ValueError(f"{e.args[0]} is no token's id") from None
         if self.joined:
-            return " ".join(map(self.text_of.__getitem__, ids))
-        out = "".join(map(self.text_of.__getitem__, ids))
+            return out
         try:
             return bytes(map(self.byte_of.__getitem__, out)).decode("utf-8", "replace")
         except KeyError:  # a special string with characters of its own
             return self.library.decode(list(ids), skip_special_tokens=False)
 
 
-class Chunks(dict):
-    """What is known of chunks of text that can be encoded by themselves. A missing one is worked out once, until the cache is emptied."""
-
-    def __init__(self, make, entries: int = CACHE_ENTRIES):
-        super().__init__()
-        self.make, self.entries = make, entries
-
-    def __missing__(self, chunk: str):
-        if len(self) >= self.entries:
-            self.clear()
-        self[chunk] = out = self.make(chunk)
-        return out
-
-
 _odd_space = re.compile(r"\s\s|^\s|\s\Z")
 _split_space = re.compile(r"(?<=\S) (?=\S)")
 
@@ -293,48 +328,14 @@ def chunks_of(text: str, drops_space: bool) -> list[str]:
     return [first, *[" " + x for x in rest]]
 
 
-class Encoder:
-    """Whole texts by chunks that are worked out once: `ids` as native unsigned 32-bit integers, `count` as a number."""
-
-    def __init__(self, bpe: Bpe):
-        self.bpe = bpe
-        self.make = bpe.ids_of_text
-        self.known, self.counts, self.words = Chunks(self.make), Chunks(self._count, 4 * CACHE_ENTRIES), Chunks(self._count_word, 4 * CACHE_ENTRIES)  # counts are small
-
-    def _count(self, chunk: str) -> int:
-        return sum(map(self.words.__getitem__, self.bpe.pretokens(chunk)))
-
-    def _count_word(self, word: str) -> int:
-        """From the table of counts alone."""
-        return self.bpe.table(self.bpe.symbols(word))[2][-1]
-
-    def _plain(self, text: str) -> bool:
-        return not any(x in text for x in self.bpe.specials)
-
-    def ids(self, text: str) -> bytes:
-        if self._plain(text):
-            return b"".join(map(self.known.__getitem__, chunks_of(text, self.bpe.marks_ends)))
-        return self.make(text)
-
-    def count(self, text: str) -> int:
-        if self._plain(text):
-            return sum(map(self.counts.__getitem__, chunks_of(text, self.bpe.marks_ends)))
-        return sum(1 if special is not None else sum(map(self.counts.__getitem__, chunks_of(part, self.bpe.marks_ends))) for part, special in self.bpe.segments(text))
-
-
 @lru_cache(maxsize=2)
 def bpe(path: str) -> Bpe:
     """One for each worker and file."""
     return Bpe(path)
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(bpe(path))
-
-
 class LibraryEncoder:
-    """As `Encoder`, but new ids come from the tokenizers library, those of many texts in one call, and no tables are built."""
+    """Ids of whole texts from the tokenizers library itself. Each pre-token of plain letters is sent to it once, those of many texts in one call; no tables are built."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -345,14 +346,14 @@ class LibraryEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.pattern = plain_pattern(pattern_of(spec))
         suffix = spec["model"].get("end_of_word_suffix") or ""
         self.marks_ends = bool(suffix)
         vocab = spec["model"]["vocab"]
         self.is_end = np.zeros(max(vocab.values()) + 1, bool)
         self.is_end[[i for t, i in vocab.items() if suffix and t.endswith(suffix)]] = True
-        self.specials = [x["content"] for x in spec["added_tokens"]]
-        self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.specials = re.compile("|".join(re.escape(x["content"]) for x in spec["added_tokens"]) or r"(?!)")
+        self.words = Cache(lambda word: self._encode([word])[0], CACHE_BYTES)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", x.ids).tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -364,42 +365,37 @@ class LibraryEncoder:
         data, starts = ids.tobytes(), [0, *ends[:-1]]
         return [data[a:b] for a, b in zip(starts, ends, strict=True)]
 
-    def _parts(self, chunk: str) -> tuple[str, str]:
-        """A word without case and the mark after it, if that is all the chunk is and the vocabulary drops both case and white space; a letter and a mark are never in one pre-token."""
-        if self.marks_ends and max(chunk) < SIMPLE:
-            if (low := chunk.lower()).isalpha():
-                return low, ""
-            if chunk[-1] in _MARKS and (low := chunk[:-1].lower()).isalpha():
-                return low, chunk[-1]
-        return chunk, ""
-
-    def _learn(self, chunks: list[str]) -> None:
-        parts = list(map(self._parts, chunks))
-        if len(self.words) > 3 * CACHE_ENTRIES:
-            self.words.clear()
-        words, new = self.words, {x for pair in parts for x in pair}.difference(self.words)
-        single = [x for x in new if self.marks_ends and (x.isalpha() and max(x) < SIMPLE and x == x.lower() or x in _MARKS)]
+    def _learn(self, new: set[str]) -> dict[str, bytes]:
+        out: dict[str, bytes] = {}
+        single = list(new) if self.marks_ends else []
         for at in range(0, len(single), 5000):
-            words.update(zip(single[at : at + 5000], self._encode_single(single[at : at + 5000]), strict=True))
+            out.update(zip(single[at : at + 5000], self._encode_single(single[at : at + 5000]), strict=True))
         rest = list(new.difference(single))
-        words.update(zip(rest, self._encode(rest), strict=True))
-        self.known.update((c, words[a] + words[b] if b else words[a]) for c, (a, b) in zip(chunks, parts, strict=True))
+        out.update(zip(rest, self._encode(rest), strict=True))
+        return out
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        """Of each text, as native unsigned 32-bit integers."""
-        plain = [not any(x in t for x in self.specials) for t in texts]
-        cut = [chunks_of(t, self.marks_ends) if p else [] for t, p in zip(texts, plain, strict=True)]
-        every = set().union(*cut)
-        new = every.difference(self.known)
-        if len(self.known) + len(new) > 3 * CACHE_ENTRIES:
-            self.known.clear()
-            new = every
-        if new:
-            self._learn(list(new))
-        get = self.known.__getitem__
-        return [b"".join(map(get, c)) if p else self._encode([t])[0] for t, c, p in zip(texts, cut, plain, strict=True)]
+        """Of each text, as native unsigned 32-bit integers. A text with special strings or with letters that aren't plain goes to the library whole."""
+        plain = [bool(t) and max(t) < SIMPLE and not self.specials.search(t) for t in texts]
+        words = [self.pattern.findall(t.lower() if self.marks_ends else t) if p else [] for t, p in zip(texts, plain, strict=True)]
+        cache = self.words
+        new = set().union(*words).difference(cache)
+        found = {w: x for w in new if (x := cache.old.get(w)) is not None}
+        found |= self._learn(new.difference(found))
+        for w, x in found.items():
+            cache.put(w, x)
+        whole = iter(self._encode([t for t, p in zip(texts, plain, strict=True) if not p]))
+        return [b"".join(map(cache.__getitem__, w)) if p else next(whole) for w, p in zip(words, plain, strict=True)]
 
 
 @lru_cache(maxsize=2)
 def library_encoder(path: str) -> LibraryEncoder:
     return LibraryEncoder(path)
+
+
+def _release() -> None:
+    bpe.cache_clear()
+    library_encoder.cache_clear()
+
+
+holds("bpe", _release)

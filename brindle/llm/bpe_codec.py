@@ -23,21 +23,28 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
     kept = docs.select(F.col(id_col), text_or_empty(text_col).alias("text"))
 
     def rows(batch: pa.RecordBatch) -> list[pa.Array]:
-        ids = bpe.encoder(vocabulary).ids
+        ids = bpe.bpe(vocabulary).ids
         return [batch.column(0), pa.array([ids(x) for x in batch.column(1).to_pylist()], pa.binary())]
 
-    return map_rows(kept, rows, f"`{id_col}` {kept.schema[0].dataType.simpleString()}, ids binary", [id_col, "ids"])
+    return map_rows(kept, rows, f"`{id_col}` {kept.schema[0].dataType.simpleString()}, ids binary", [id_col, "ids"], owner="bpe")
+
+
+def _numbers(ids: bytes) -> array:
+    if len(ids) % 4:
+        raise ValueError(f"{len(ids)} bytes aren't whole 32-bit ids")
+    return array("I", ids)
 
 
 def decode(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """Adds `text`: what the ids stand for, special strings included. Null ids count as none, and give an empty text.
 
-    Returns id_col, ids_col and `text`. Other columns are not read.
+    Returns id_col, `ids` and `text`. Other columns are not read. Ids that are no token's, and bytes that aren't whole
+    32-bit numbers, are an error. Repeated rows are decoded each; an empty table gives an empty table.
     """
     kept = encoded.select(F.col(id_col), F.coalesce(F.col(ids_col), F.lit(b"")).alias("ids"))
 
     def rows(batch: pa.RecordBatch) -> list[pa.Array]:
         to_text = bpe.bpe(vocabulary).decode
-        return [batch.column(0), batch.column(1), pa.array([to_text(array("I", x)) for x in batch.column(1).to_pylist()], pa.string())]
+        return [batch.column(0), batch.column(1), pa.array([to_text(_numbers(x)) for x in batch.column(1).to_pylist()], pa.string())]
 
-    return map_rows(kept, rows, f"`{id_col}` {kept.schema[0].dataType.simpleString()}, ids binary, text string", [id_col, "ids", "text"])
+    return map_rows(kept, rows, f"`{id_col}` {kept.schema[0].dataType.simpleString()}, ids binary, text string", [id_col, "ids", "text"], owner="bpe")

@@ -44,8 +44,8 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), budget=1024)
-    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"), "fits_chars")
+    counts = token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), budgets=(1024,))
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"), F.col("fits_chars")[0].alias("fits_chars"))
 
 
 def id_class(n: int) -> Column:

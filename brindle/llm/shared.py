@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -34,10 +36,57 @@ def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def map_rows(df: DataFrame, rows: Callable[[pa.RecordBatch], list[pa.Array]], schema, names: list[str], most_bytes: int = 8 << 20) -> DataFrame:
-    """mapInArrow by a function of one batch that returns columns. Batches are cut to pieces of a few MB first, so that long texts don't meet in one."""
+class Cache(dict):
+    """Results by string that can be made again. They are held in two generations of half of most_bytes each; when the young one is full it becomes the old one, and what is used again moves back. So memory is bounded, and what is frequent stays."""
+
+    def __init__(self, make: Callable | None, most_bytes: int):
+        super().__init__()
+        self.make, self.old, self.half, self.room = make, {}, most_bytes // 2, most_bytes // 2
+
+    def __missing__(self, key: str):
+        value = self.old.get(key)
+        self.put(key, value := self.make(key) if value is None else value)
+        return value
+
+    def put(self, key: str, value) -> None:
+        self.room -= 260 + len(key) + len(value) * getattr(value, "itemsize", 1)  # with Python's objects and the dictionary's places
+        if self.room < 0:
+            self.old, self.room = dict(self), self.half
+            self.clear()
+        self[key] = value
+
+
+_releases: dict[str, Callable[[], None]] = {}
+_holder = ""
+
+
+def holds(owner: str, release: Callable[[], None]) -> None:
+    """Registers how to give back what an operator keeps in a Python worker between tasks."""
+    _releases[owner] = release
+
+
+def claim(owner: str) -> None:
+    """Called in a worker as a task of an operator begins. Spark uses workers again, for other operators too; what those have kept is given back then, so that a worker never holds the caches of two."""
+    global _holder
+    if owner != _holder:
+        for name, release in _releases.items():
+            if name != owner:
+                release()
+        if _holder:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):  # another C library: it keeps what it has
+                pass
+        _holder = owner
+
+
+def map_rows(df: DataFrame, rows: Callable[[pa.RecordBatch], list[pa.Array]], schema, names: list[str], most_bytes: int = 8 << 20, owner: str = "none") -> DataFrame:
+    """mapInArrow by a function of one batch that returns columns. Batches are cut to pieces of a few MB first, so that long texts don't meet in one. owner: see `claim`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim(owner)
         for batch in batches:
             for part in pieces(batch, most_bytes):
                 yield pa.RecordBatch.from_arrays(rows(part), names=names)
@@ -46,6 +95,10 @@ def map_rows(df: DataFrame, rows: Callable[[pa.RecordBatch], list[pa.Array]], sc
 
 
 def pieces(batch: pa.RecordBatch, most_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    n = max(1, min(batch.num_rows, int(batch.num_rows * most_bytes / max(1, batch.nbytes))))
-    for at in range(0, batch.num_rows, n):
-        yield batch.slice(at, n)
+    """Halves a batch until each part has at most most_bytes, or one row."""
+    if batch.num_rows > 1 and batch.nbytes > most_bytes:
+        half = batch.num_rows // 2
+        yield from pieces(batch.slice(0, half), most_bytes)
+        yield from pieces(batch.slice(half), most_bytes)
+    elif batch.num_rows:
+        yield batch

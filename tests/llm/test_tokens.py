@@ -23,13 +23,13 @@ def odd_texts(n, seed):
 
 @pytest.mark.parametrize("path", [WORD, BYTE])
 def test_ids_counts_and_decoding_equal_the_library(path):
-    library, encoder = Tokenizer.from_file(path), bpe.encoder(path)
+    library, model = Tokenizer.from_file(path), bpe.bpe(path)
     texts = odd_texts(1500, 1) + pq.read_table("/root/testdata/sf0.001/documents.parquet")["text"].to_pylist()[:60]
     for text, other in zip(texts, bpe.library_encoder(path).ids(texts), strict=True):
         want = library.encode(text, add_special_tokens=False).ids
-        assert array("I", encoder.ids(text)).tolist() == want == array("I", other).tolist(), text
-        assert encoder.count(text) == len(want), text
-        assert encoder.bpe.decode(want) == library.decode(want, skip_special_tokens=False), text
+        assert array("I", model.ids(text)).tolist() == want == array("I", other).tolist(), text
+        assert token_counts.Counted(model, text).total == len(want), text
+        assert model.decode(want) == library.decode(want, skip_special_tokens=False), text
 
 
 def test_every_prefix_is_counted_exactly():
@@ -40,13 +40,44 @@ def test_every_prefix_is_counted_exactly():
         assert counts == [len(library.encode(text[:i], add_special_tokens=False).ids) for i in range(len(text) + 1)], text
 
 
+def test_counts_of_cuts():
+    """Truncation at any character is answered from the stored tables; within a special string there is no answer."""
+    library, model = Tokenizer.from_file(BYTE), bpe.bpe(BYTE)
+    for text in odd_texts(150, 4) + ["x" * 3000 + " and  more"]:
+        counted, inside = token_counts.Counted(model, text), {i for m in model.special_pattern.finditer(text) for i in range(m.start() + 1, m.end())}
+        for i in (0, 1, 2, 3, 5, 8, 13, len(text) // 2, len(text) - 1, len(text), len(text) + 5):
+            if 0 <= i:
+                assert counted.prefix(i) == (None if i in inside else len(library.encode(text[:i], add_special_tokens=False).ids)), (text, i)
+
+
+def test_other_preparations_are_refused(tmp_path):
+    import json
+
+    spec = json.load(open(BYTE))
+    for pre, normal in (({"type": "Whitespace"}, None), (spec["pre_tokenizer"], {"type": "NFKC"}), (None, None)):
+        (tmp_path / "x.json").write_text(json.dumps(spec | {"pre_tokenizer": pre, "normalizer": normal}))
+        with pytest.raises(ValueError):
+            bpe.Bpe(str(tmp_path / "x.json"))
+
+
+def test_caches_keep_to_their_bytes_and_results(monkeypatch):
+    """With room for a few words only, results are the same, and what is kept stays small."""
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 4000)
+    texts = odd_texts(200, 5)
+    library = Tokenizer.from_file(WORD)
+    one, other = bpe.Bpe(WORD), bpe.LibraryEncoder(WORD)
+    for text, ids in zip(texts, other.ids(texts), strict=True):
+        assert one.ids(text) == ids == array("I", library.encode(text, add_special_tokens=False).ids).tobytes()
+    assert len(one.words) + len(one.words.old) < 20 and len(other.words) + len(other.words.old) < 20
+
+
 @pytest.mark.parametrize("budget", [0, 1, 3, 7])
 def test_longest_prefix_within_a_budget(budget):
-    library, counter = Tokenizer.from_file(BYTE), bpe.encoder(BYTE)
+    library, model = Tokenizer.from_file(BYTE), bpe.bpe(BYTE)
     for text in odd_texts(120, 3):
-        fits = [i for i in range(len(text) + 1) if len(library.encode(text[:i], add_special_tokens=False).ids) <= budget and not any(m.start() < i < m.end() for m in counter.bpe.special_pattern.finditer(text))]
-        special = [m.start() for m in counter.bpe.special_pattern.finditer(text)]
-        got = token_counts.longest_prefix(counter, text, budget) if counter.count(text) > budget else len(text)
+        fits = [i for i in range(len(text) + 1) if len(library.encode(text[:i], add_special_tokens=False).ids) <= budget and not any(m.start() < i < m.end() for m in model.special_pattern.finditer(text))]
+        special = [m.start() for m in model.special_pattern.finditer(text)]
+        got = token_counts.longest_prefix(model, text, budget)
         if not special:
             assert got == max(fits), text
         assert got in fits, text
@@ -60,9 +91,9 @@ def test_odd_rows(spark, odd, none):
     for r in rows:
         want = library.encode(texts[r["doc_id"]], add_special_tokens=False).ids
         assert array("I", bytes(r["ids"])).tolist() == want and r["text"] == library.decode(want, skip_special_tokens=False)
-    counts = {r["doc_id"]: r for r in token_counts.count_tokens(odd, BYTE, 5).collect()}
-    assert counts[0]["n_tokens"] == counts[0]["n_bytes"] == counts[0]["fits_chars"] == 0
-    assert bpe_codec.encode(none, WORD).count() == 0 and token_counts.count_tokens(none, BYTE, 5).count() == 0
+    counts = {r["doc_id"]: r for r in token_counts.count_tokens(odd, BYTE, (5, 2), (0, 3)).collect()}
+    assert counts[0]["n_tokens"] == counts[0]["n_bytes"] == 0 and counts[0]["fits_chars"] == counts[0]["cut_tokens"] == [0, 0]
+    assert bpe_codec.encode(none, WORD).count() == 0 and token_counts.count_tokens(none, BYTE, (5,)).count() == 0
 
 
 def check_packing(docs, rows, window, library):
@@ -122,11 +153,38 @@ def test_packing_of_many_small_sources(spark):
         for source in ("s0", "s77", "s199"):
             sent = (order["length"] * (order["source"] == source)).cumsum()
             assert (sent - order["length"].cumsum() / 200).abs().max() < 512, source
-    rows = packing.pack(docs, WORD, window=512, targets={"s7": 0.2}).toPandas().sort_values(["sequence_id", "offset"])
-    first = rows[rows["sequence_id"] < 2]  # as far as the documents of the first partition last
-    assert 0.1 < first.loc[first["source"] == "s7", "length"].sum() / first["length"].sum() < 0.3
-    with pytest.raises(ValueError):
-        packing.pack(docs, WORD, window=512, targets={"none": 0.2})
+    for bad in ({"none": 0.2}, {"s7": -0.1}, {"s7": 0.7, "s8": 0.7}):
+        with pytest.raises(ValueError):
+            packing.pack(docs, WORD, window=512, targets=bad)
+
+
+@pytest.mark.parametrize(("block", "parts"), [(1 << 25, 1), (30_000, 1), (30_000, 4)])
+def test_packing_keeps_to_targets_until_a_source_ends(spark, block, parts):
+    """Half and half of a corpus of one part in ten, over several blocks and partitions: each window but the last one of the scarce source has both halves, and what is left of the other follows."""
+    docs = spark.createDataFrame([(i, "the cat " * 20, "a" if i % 10 == 3 else "b") for i in range(8000)], "doc_id long, text string, source string").repartition(parts)
+    rows = packing.pack(docs, WORD, window=512, targets={"a": 0.5, "b": 0.5}, block_bytes=block).toPandas()
+    share = rows.assign(a=rows["length"] * (rows["source"] == "a")).groupby("sequence_id")[["a", "length"]].sum()
+    mixed = 800 * 41 * 2 // 512
+    part = share["a"] / share["length"]
+    assert len(rows["doc_id"].unique()) == 8000 and rows["length"].sum() == 8000 * 41 and (share["length"].iloc[:-1] == 512).all()
+    assert (part.iloc[: mixed - 1] - 0.5).abs().max() <= 41 * 3 / 512 and (part.iloc[mixed + 1 :] == 0).all()
+
+
+def test_packing_sends_long_documents_in_stretches(spark):
+    """Between the windows of a document of many windows those of other sources are sent, and windows don't depend on how rows arrive."""
+    rows = [(0, "the cat " * 6000, "long")] + [(i, "the cat " * 30, "short") for i in range(1, 200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1)
+    found = [packing.pack(docs, WORD, window=512).toPandas().sort_values(["sequence_id", "offset"]) for _ in range(2)]
+    assert found[0].drop(columns="ids").equals(found[1].drop(columns="ids")) or found[0].reset_index(drop=True).equals(found[1].reset_index(drop=True))
+    for source, n in (("long", 12001), ("short", 199 * 61)):
+        sent = (found[0]["length"] * (found[0]["source"] == source)).cumsum()
+        assert (sent - found[0]["length"].cumsum() * n / (12001 + 199 * 61)).abs().max() < 2.5 * 512
+
+
+def test_packing_of_other_id_types(spark):
+    docs = spark.createDataFrame([(1.5, "the cat", "a"), (None, None, None), (1.5, "the cat", "a")], "doc_id double, text string, source string")
+    rows = packing.pack(docs, WORD, window=4).collect()
+    assert {r["doc_id"] for r in rows} == {1.5, None} and sum(r["length"] for r in rows) == 7
 
 
 def test_packing_query(spark):
