@@ -16,7 +16,8 @@ import json
 import os
 import re
 from array import array
-from functools import lru_cache
+from collections.abc import Iterator
+from functools import cached_property, lru_cache
 
 import numpy as np
 import regex
@@ -24,8 +25,8 @@ import regex
 from .shared import Cache, holds
 
 #: Bytes that the results of words may take in a worker; and entries after which the smaller tables are emptied. These change speed and never a result.
-CACHE_BYTES = 120 << 20
-PAIRS, HEADS = 300_000, 30_000
+CACHE_BYTES = 80 << 20
+PAIRS, HEADS = 200_000, 30_000
 
 #: Below this code point no character combines with another, and the regex library agrees with the tokenizers library.
 SIMPLE = "ɐ"
@@ -55,6 +56,16 @@ def plain_pattern(pattern: str) -> re.Pattern:
     return re.compile(pattern)
 
 
+def is_plain(text: str) -> bool:
+    """Are all characters below SIMPLE?"""
+    if text.isascii():
+        return True
+    try:
+        return bool(text.encode("latin-1"))  # much faster than looking for the largest one
+    except UnicodeEncodeError:
+        return max(text) < SIMPLE
+
+
 def pattern_of(spec: dict) -> str:
     """The pre-tokens' pattern of a vocabulary file, if it is one of the two known here and text is prepared for it in the known way."""
     pre, normal = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
@@ -128,11 +139,9 @@ class Bpe:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        model, self.library = spec["model"], Tokenizer.from_file(path)
+        model, self.path = spec["model"], path
         self.pattern = plain_pattern(pattern_of(spec))
         self.marks_ends = bool(model.get("end_of_word_suffix"))
         suffix = model.get("end_of_word_suffix") or ""
@@ -144,6 +153,7 @@ class Bpe:
             raise ValueError("added tokens that strip or need whole words aren't supported")
         self.text_of = {i: t for t, i in [*vocab.items(), *self.specials.items()]}
         self.joined = spec["decoder"] is None
+        self.normalizes = bool(spec["normalizer"])
         self.special_pattern = re.compile("|".join(re.escape(x) for x in sorted(self.specials, key=len, reverse=True))) if self.specials else None
         self._model, self._automaton = model, None
         self.pairs: dict[int, bool] = {}
@@ -157,6 +167,13 @@ class Bpe:
             self._build()
         return self._automaton
 
+    @cached_property
+    def library(self):
+        """For letters that aren't plain."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def _build(self) -> None:
         model, letters = self._model, byte_letters()
         vocab, suffix = model["vocab"], model.get("end_of_word_suffix") or ""
@@ -265,16 +282,14 @@ class Bpe:
 
     def pretokens(self, text: str) -> list[str]:
         """Of a text without special strings. The rules for plain letters are applied here, all others by the library."""
-        if not text:
-            return []
-        if max(text) < SIMPLE:
+        if is_plain(text):
             return self.pattern.findall(text.lower() if self.marks_ends else text)
         out: list[str] = []
         for chunk in chunks_of(text, self.marks_ends):
-            if max(chunk, default="") < SIMPLE:
+            if is_plain(chunk):
                 out += self.pattern.findall(chunk.lower() if self.marks_ends else chunk)
                 continue
-            normal = self.library.normalizer.normalize_str(chunk) if self.library.normalizer else chunk
+            normal = self.library.normalizer.normalize_str(chunk) if self.normalizes else chunk
             out += [bytes(map(self.byte_of.__getitem__, x)).decode() for x, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
         return out
 
@@ -352,38 +367,32 @@ class LibraryEncoder:
         vocab = spec["model"]["vocab"]
         self.is_end = np.zeros(max(vocab.values()) + 1, bool)
         self.is_end[[i for t, i in vocab.items() if suffix and t.endswith(suffix)]] = True
+        self.model, self.letters = Tokenizer(self.library.model), dict(enumerate(byte_letters()))
         self.specials = re.compile("|".join(re.escape(x["content"]) for x in spec["added_tokens"]) or r"(?!)")
-        self.words = Cache(lambda word: self._encode([word])[0], CACHE_BYTES)
+        self.words = Cache(lambda word: next(self._learn([word]))[1], CACHE_BYTES)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", x.ids).tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_single(self, words: list[str]) -> list[bytes]:
-        """Of words that are one pre-token each, as one text: every word ends with the one of its tokens that marks an end."""
-        ids = np.array(self.library.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
-        ends = (4 * (np.flatnonzero(self.is_end[ids]) + 1)).tolist()
-        data, starts = ids.tobytes(), [0, *ends[:-1]]
-        return [data[a:b] for a, b in zip(starts, ends, strict=True)]
-
-    def _learn(self, new: set[str]) -> dict[str, bytes]:
-        out: dict[str, bytes] = {}
-        single = list(new) if self.marks_ends else []
-        for at in range(0, len(single), 5000):
-            out.update(zip(single[at : at + 5000], self._encode_single(single[at : at + 5000]), strict=True))
-        rest = list(new.difference(single))
-        out.update(zip(rest, self._encode(rest), strict=True))
-        return out
+    def _learn(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Of words that are one pre-token each. They go to the library's model past the preparation of text, which is done."""
+        for at in range(0, len(words), 5000):
+            some = words[at : at + 5000]
+            letters = [w if w.isascii() and w.isalpha() else w.encode().decode("latin-1").translate(self.letters) for w in some]
+            if not self.marks_ends:
+                yield from zip(some, (array("I", x.ids).tobytes() for x in self.model.encode_batch_fast([[w] for w in letters], is_pretokenized=True, add_special_tokens=False)), strict=True)
+                continue
+            ids = np.array(self.model.encode_batch_fast([letters], is_pretokenized=True, add_special_tokens=False)[0].ids, np.uint32)
+            ends = (4 * (np.flatnonzero(self.is_end[ids]) + 1)).tolist()  # every word ends with the one of its tokens that marks an end
+            data = ids.tobytes()
+            yield from zip(some, (data[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)), strict=True)
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Of each text, as native unsigned 32-bit integers. A text with special strings or with letters that aren't plain goes to the library whole."""
-        plain = [bool(t) and max(t) < SIMPLE and not self.specials.search(t) for t in texts]
+        plain = [is_plain(t) and not self.specials.search(t) for t in texts]
         words = [self.pattern.findall(t.lower() if self.marks_ends else t) if p else [] for t, p in zip(texts, plain, strict=True)]
         cache = self.words
-        new = set().union(*words).difference(cache)
-        found = {w: x for w in new if (x := cache.old.get(w)) is not None}
-        found |= self._learn(new.difference(found))
-        for w, x in found.items():
-            cache.put(w, x)
+        cache.add(dict(self._learn(list(set().union(*words).difference(cache)))))
         whole = iter(self._encode([t for t, p in zip(texts, plain, strict=True) if not p]))
         return [b"".join(map(cache.__getitem__, w)) if p else next(whole) for w, p in zip(words, plain, strict=True)]
 

@@ -12,10 +12,17 @@ from . import bpe
 from .shared import map_rows, text_or_empty
 
 
-def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _numbers(ids: bytes) -> array:
+    if len(ids) % 4:
+        raise ValueError(f"{len(ids)} bytes aren't whole 32-bit ids")
+    return array("I", ids)
+
+
+def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
     """Ids of every whole text.
 
-    Returns id_col and `ids` binary: the ids as little-endian unsigned 32-bit integers. A null or empty text has no ids.
+    Returns id_col and `ids` binary: the ids as little-endian unsigned 32-bit integers; with `decoded` also `text`: what
+    these ids decode to, as `decode` has it, in the same pass. A null or empty text has no ids.
     There is no shuffle and no limit to a text's length; rows that repeat are encoded each, rows with a null id too;
     columns other than the two named are not read. An empty table gives an empty table.
     vocabulary: the path of a tokenizers file whose model is byte-level BPE, there on every executor.
@@ -23,16 +30,12 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
     kept = docs.select(F.col(id_col), text_or_empty(text_col).alias("text"))
 
     def rows(batch: pa.RecordBatch) -> list[pa.Array]:
-        ids = bpe.bpe(vocabulary).ids
-        return [batch.column(0), pa.array([ids(x) for x in batch.column(1).to_pylist()], pa.binary())]
+        model = bpe.bpe(vocabulary)
+        ids = [model.ids(x) for x in batch.column(1).to_pylist()]
+        return [batch.column(0), pa.array(ids, pa.binary()), *([pa.array([model.decode(_numbers(x)) for x in ids], pa.string())] if decoded else [])]
 
-    return map_rows(kept, rows, f"`{id_col}` {kept.schema[0].dataType.simpleString()}, ids binary", [id_col, "ids"], owner="bpe")
-
-
-def _numbers(ids: bytes) -> array:
-    if len(ids) % 4:
-        raise ValueError(f"{len(ids)} bytes aren't whole 32-bit ids")
-    return array("I", ids)
+    schema, names = f"`{id_col}` {kept.schema[0].dataType.simpleString()}, ids binary", [id_col, "ids"]
+    return map_rows(kept, rows, schema + ", text string" * decoded, names + ["text"] * decoded, most_bytes=2 << 20, owner="bpe")
 
 
 def decode(encoded: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

@@ -68,7 +68,7 @@ def pack(docs: DataFrame, vocabulary: str, window: int = 4096, end_id: int = 2,
 
         claim("bpe")
         task, number, before = TaskContext.get().partitionId(), Counter(), Counter()
-        for batch in (x for b in batches for x in pieces(b)):
+        for batch in (x for b in batches for x in pieces(b, 2 << 20)):
             packed, n, parts, starts = [], [], [], []
             for source, ids in zip(batch.column(1).to_pylist(), bpe.library_encoder(vocabulary).ids(batch.column(2).to_pylist()), strict=True):
                 wide = np.append(np.frombuffer(ids, np.uint32), np.uint32(end_id))

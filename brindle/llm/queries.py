@@ -34,7 +34,7 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary("word_bpe_49k.json")
-    both = bpe_codec.decode(bpe_codec.encode(table(spark, sf_dir, "documents"), path), path)
+    both = bpe_codec.encode(table(spark, sf_dir, "documents"), path, decoded=True)
     return both.select("doc_id", F.expr("bigint(octet_length(ids) div 4)").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 

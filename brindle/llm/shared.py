@@ -6,6 +6,7 @@ import ctypes
 import gc
 import tempfile
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,23 +38,25 @@ def text_or_empty(column: str) -> Column:
 
 
 class Cache(dict):
-    """Results by string that can be made again. They are held in two generations of half of most_bytes each; when the young one is full it becomes the old one, and what is used again moves back. So memory is bounded, and what is frequent stays."""
+    """Results by string that can be made again, of at most most_bytes. When it is full, the older half is dropped; what is frequent is soon back."""
 
-    def __init__(self, make: Callable | None, most_bytes: int):
+    def __init__(self, make: Callable, most_bytes: int):
         super().__init__()
-        self.make, self.old, self.half, self.room = make, {}, most_bytes // 2, most_bytes // 2
+        self.make, self.most, self.used = make, most_bytes, 0
 
     def __missing__(self, key: str):
-        value = self.old.get(key)
-        self.put(key, value := self.make(key) if value is None else value)
+        value = self.make(key)
+        self.add({key: value})
         return value
 
-    def put(self, key: str, value) -> None:
-        self.room -= 260 + len(key) + len(value) * getattr(value, "itemsize", 1)  # with Python's objects and the dictionary's places
-        if self.room < 0:
-            self.old, self.room = dict(self), self.half
-            self.clear()
-        self[key] = value
+    def add(self, found: dict) -> None:
+        size = 260 * len(found) + sum(map(len, found)) + sum(len(x) * getattr(x, "itemsize", 1) for x in found.values())  # with Python's objects and the dictionary's places
+        if self.used + size > self.most:
+            for key in list(islice(self, len(self) // 2)):
+                del self[key]
+            self.used //= 2
+        self.used += size
+        self.update(found)
 
 
 _releases: dict[str, Callable[[], None]] = {}

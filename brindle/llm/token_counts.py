@@ -136,4 +136,4 @@ def count_tokens(docs: DataFrame, vocabulary: str, budgets: tuple[int, ...] = ()
         return [batch.column(0), pa.array(sizes, pa.int64()), pa.array(totals, pa.int64()), pa.array(fits, longs), pa.array(parts, longs)]
 
     schema = f"`{id_col}` {kept.schema[0].dataType.simpleString()}, n_bytes long, n_tokens long, fits_chars array<bigint>, cut_tokens array<bigint>"
-    return map_rows(kept, rows, schema, [id_col, "n_bytes", "n_tokens", "fits_chars", "cut_tokens"], owner="bpe")
+    return map_rows(kept, rows, schema, [id_col, "n_bytes", "n_tokens", "fits_chars", "cut_tokens"], most_bytes=2 << 20, owner="bpe")

@@ -62,11 +62,58 @@ def test_toxic_words_of_a_minority(spark):
     assert recall >= 0.8 and wrong <= 0.05
 
 
+def _labelled(n=90):
+    rng = random.Random(3)
+    usual, marks = [f"w{i}ord" for i in range(300)], [f"bad{i}ness" for i in range(8)]
+    return [(" ".join(rng.sample(usual, 40) + (rng.sample(marks, 3) if i % 3 == 0 else []) + [f"unique{i}x"]), int(i % 3 == 0)) for i in range(n)]
+
+
+def test_each_dictionary_is_trained_on_its_own_class(monkeypatch):
+    """zstandard's trainer gets windows of ordinary texts for the one, and only parts of toxic texts for the other; and it finds the words that mark them."""
+    seen, real = [], toxicity.zstandard.train_dictionary
+    monkeypatch.setattr(toxicity.zstandard, "train_dictionary", lambda size, parts, **how: seen.append((size, list(parts))) or real(size, parts, **how))
+    rows = [(toxicity.windows(t), y) for t, y in _labelled()]
+    ordinary, toxic, chosen = toxicity.dictionaries(rows)
+    own = [b" ".join(x for w, y in rows if y == label for x in w) for label in (0, 1)]
+    assert {size for size, _ in seen} == {toxicity.ORDINARY, toxicity.FIRST, toxicity.TOXIC}
+    for size, parts in seen:
+        assert parts and all(x.strip() in own[size != toxicity.ORDINARY] for x in parts)
+    assert sorted(x for w, y in rows if not y for x in w) == sorted(next(parts for size, parts in seen if size == toxicity.ORDINARY))
+    assert len(chosen) >= 6 and all(x.startswith(b" bad") for x in chosen) and all(x in toxic for x in chosen) and b"bad" not in ordinary
+
+
+def test_score_against_a_plain_computation():
+    """Window lengths by compressors made anew, their differences counted and weighed by hand."""
+    import math
+
+    import zstandard
+
+    model = toxicity.train(_labelled())
+    pack = lambda d: zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=zstandard.ZstdCompressionParameters(**toxicity.PARAMETERS))
+    for text in [t for t, _ in _labelled(12)] + ["", "one", "bad1ness bad2ness " * 40, "x" * 9000]:
+        parts = toxicity.windows(text)
+        assert b"".join(parts).split() == text.lower().encode().split()
+        gain = [len(pack(model.ordinary).compress(p)) - len(pack(model.ordinary + model.toxic).compress(p)) for p in parts]
+        x = [max([0, *gain]), *(math.log1p(sum(g >= t for g in gain)) for t in toxicity.THRESHOLDS), math.log1p(len(gain))]
+        at = model.weights[0] + sum(a * b for a, b in zip(model.weights[1:], x, strict=True))
+        assert abs(toxicity.score(model, text) - 1 / (1 + math.exp(-max(-30, min(30, at))))) < 1e-9
+    rows = _labelled(360)
+    model = toxicity.train(rows[:300])
+    assert np.mean([(toxicity.score(model, t) > 0.5) == y for t, y in rows[300:]]) > 0.9
+
+
+def test_near_copies_of_one_label_count_once():
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(text, 0), (text + " end", 0), (text + " other", 1), ("short", 1), ("short", 1), ("", 0)]
+    assert toxicity.distinct(rows) == [("", 0), ("short", 1), (text, 0), (text + " other", 1)]
+
+
 def test_toxicity_of_odd_rows(spark, odd, none):
     model = toxicity.train([(f"good words here number {i} and more of them", 0) for i in range(60)] + [(f"you worthless idiot number {i} and more of them", 1) for i in range(60)])
     rows = toxicity.score_documents(odd, model).collect()
     assert len(rows) == odd.count() and all(0 <= r["score"] <= 1 for r in rows)
     assert toxicity.score_documents(none, model).count() == 0
+    assert toxicity.score_documents(odd, model, keep=("text", "score")).columns == ["doc_id", "text", "score", "windows"]
     assert toxicity.score(toxicity.train([]), "x") < 0.01
     assert toxicity.score(toxicity.train([("a", 0)]), "x") < 0.01
     labels = spark.createDataFrame([(2, 1), (3, None), (None, 1)], "doc_id long, toxic int")
