@@ -15,6 +15,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -22,13 +23,11 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import SALTS, components
-from .shared import cut, map_rows, pieces, text_or_empty
+from .shared import claim, cut, holds, join_spread, map_rows, pieces, text_or_empty
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 16, 4
@@ -43,34 +42,59 @@ PIVOTS = 8
 _BLOCK = 1 << 14
 _FAN = 64
 _TABLE = 1 << 15
-_CACHE = 400_000
-_marks = regex.compile(r"[^\p{L}\p{N}]+")
-
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
 
-class _WordHashes(dict):
-    """A word's hash without case and marks; 0 if nothing is left."""
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= _CACHE:
-            self.clear()
-        bare = _marks.sub("", word.lower())
-        self[word] = out = xxhash.xxh64_intdigest(bare.encode("utf-8", "replace")) | 1 if bare else 0
-        return out
+_CHUNK = 1 << 20
+_space = re.compile(r"\s")
 
 
-_hashes = _WordHashes()
+@lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """Of each code point: 2 for letters and numbers, 1 for white space, 0 for marks."""
+    return np.fromiter((2 * chr(c).isalnum() + chr(c).isspace() for c in range(0x110000)), np.uint8, 0x110000)
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(32))
+@lru_cache(maxsize=1)
+def _powers() -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.cumprod(np.full(1 << 16, 0x9E3779B97F4A7C15, np.uint64))
+
+
+def _words(text: str) -> np.ndarray:
+    codes = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
+    kind = _kinds()[codes]
+    kept = np.flatnonzero(kind == 2)
+    if not len(kept):
+        return np.zeros(0, np.uint64)
+    word = np.cumsum(kind == 1, dtype=np.int32)[kept]
+    starts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+    place = np.arange(len(kept)) - np.repeat(starts, np.diff(np.append(starts, len(kept))))
+    letters = codes[kept].astype(np.uint64) + np.uint64(1)
+    letters *= np.uint64(0xD6E8FEB86659FD93)
+    letters ^= letters >> np.uint64(32)
+    letters *= _powers()[place & 0xFFFF]
+    return _mix(np.add.reduceat(letters, starts))
+
+
+def words(text: str) -> np.ndarray:
+    """A 64-bit hash for each word: what is between white space, without case and marks; what is marks only is none. Long texts go chunk by chunk."""
+    if len(text) <= _CHUNK:
+        return _words(text)
+    out, at = [], 0
+    while at < len(text):
+        end = m.start() if (m := _space.search(text, at + _CHUNK)) else len(text)
+        out.append(_words(text[at:end]))
+        at = end
+    return np.concatenate(out)
 
 
 def shingles(text: str) -> np.ndarray:
     """A 64-bit hash for each shingle of WORDS words in order; a shorter text is one shingle, one without words has none. Case and marks don't count."""
-    w = np.fromiter(map(_hashes.__getitem__, text.split()), np.uint64)
-    w = w[w != 0]
+    w = words(text)
     n = min(len(w), WORDS)
     if not n:
         return w
@@ -101,36 +125,50 @@ def similarity(a: np.ndarray, b: np.ndarray, weights: np.ndarray) -> float:
 
 
 @lru_cache(maxsize=1)
-def _random_tables(samples: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Made once for each worker."""
+def _random_tables(samples: int, seed: int) -> tuple[np.ndarray, ...]:
+    """r, 1 / r, c and beta, made once for each worker (32 MB)."""
     rng = np.random.default_rng(seed)
     r = rng.gamma(2, 1, (_TABLE, samples)).astype(np.float32)
     c = (np.log(rng.gamma(2, 1, (_TABLE, samples))) - r).astype(np.float32)
-    return r, c, rng.random((_TABLE, samples), np.float32)
+    return r, 1 / r, c, rng.random((_TABLE, samples), np.float32)
+
+
+def _release() -> None:
+    for x in (_kinds, _powers, _random_tables):
+        x.cache_clear()
+
+
+holds("near_dup", _release)
 
 
 class Sampler:
     """Consistent weighted samples. The random numbers of a shingle are a row of a table that its hash picks."""
 
     def __init__(self, weights: np.ndarray, samples: int = BANDS * ROWS, seed: int = 5):
-        self.weights = weights
-        self.r, self.c, self.beta = _random_tables(samples, seed)
+        self.weights, self.tables = weights, _random_tables(samples, seed)
 
     def samples(self, text: str) -> np.ndarray | None:
         """One 64-bit number for each sample: the shingle with the least draw, and its level. None for a text without words."""
         h, tf = np.unique(shingles(text), return_counts=True)
         if not len(h):
             return None
+        r, parts, c, beta = self.tables
         log = np.log(tf * self.weights[h & np.uint64(CELLS - 1)]).astype(np.float32)[:, None]
+        rows = (h >> np.uint64(40)).astype(np.int64) & (_TABLE - 1)
         best = level = which = None
-        for at in range(0, len(h), 4096):
-            row = (h[at : at + 4096] >> np.uint64(40)).astype(np.int64) & (_TABLE - 1)
-            r, beta = self.r[row], self.beta[row]
-            t = np.floor(log[at : at + 4096] / r + beta)
-            draw = self.c[row] - r * (t - beta)
-            least = draw.argmin(0)
-            column = np.arange(draw.shape[1])
-            found = draw[least, column], t[least, column], h[at : at + 4096][least]
+        for at in range(0, len(h), 512):
+            row = rows[at : at + 512]
+            b = beta[row]
+            t = parts[row]
+            t *= log[at : at + 512]
+            t += b
+            np.floor(t, out=t)
+            b -= t
+            b *= r[row]
+            b += c[row]  # the draw: c - r (t - beta)
+            least = b.argmin(0)
+            column = np.arange(b.shape[1])
+            found = b[least, column], t[least, column], h[at : at + 512][least]
             if best is None:
                 best, level, which = found
             else:
@@ -164,8 +202,9 @@ def frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        claim("near_dup")
         table, n = np.zeros(CELLS, np.int64), 0
-        for batch in (x for b in batches for x in pieces(b)):
+        for batch in (x for b in batches for x in pieces(b, 2 << 20)):
             for text in batch.column(0).to_pylist():
                 table[np.unique(shingles(text) & np.uint64(CELLS - 1)).astype(np.int64)] += 1
                 n += 1
@@ -288,8 +327,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
         sampler = samplers.get(0) or samplers.setdefault(0, Sampler(weights.value))
         return [batch.column(0), batch.column(1), pa.array([sampler.bands(x) for x in batch.column(2).to_pylist()], pa.list_(pa.int64()))]
 
-    sampled = map_rows(named.select("id", text_key("text").alias("key"), "text"), sample, "id long, key string, bands array<bigint>", ["id", "key", "bands"])
-    texts = cut(sampled.groupBy("key").agg(F.min("id").alias("node"), F.first("bands").alias("bands")))
+    sampled = map_rows(named.select("id", text_key("text").alias("key"), "text"), sample, "id long, key string, bands array<bigint>", ["id", "key", "bands"], most_bytes=2 << 20, owner="near_dup")
+    texts = cut(sampled.groupBy("key").agg(F.min("id").alias("node"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("copies")))
 
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     banded = texts.where("node IS NOT NULL").select(F.explode("bands").alias("band"), "node")
@@ -304,7 +343,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     nodes = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
     wanted = texts.select(F.col("node").alias("id"), "key").join(nodes, "id", "left_semi")
     chosen = named.select("id", text_key("text").alias("key"), "text").join(wanted, ["id", "key"], "left_semi")
-    sets = cut(map_rows(chosen.select("id", "text"), to_elements, "id long, elements binary", ["id", "elements"]))
+    sets = cut(map_rows(chosen.select("id", "text"), to_elements, "id long, elements binary", ["id", "elements"], most_bytes=2 << 20, owner="near_dup"))
 
     def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """The pairs, with a column `ok`."""
@@ -315,21 +354,26 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
             ok = [similarity(cell(x), cell(y), w) >= threshold for x, y in zip(batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist(), strict=True)]
             return [*batch.columns[: len(names)], pa.array(ok, pa.bool_())]
 
-        with_a = pairs.join(sets.select(F.col("id").alias("a"), F.col("elements").alias("x")), "a")
-        with_b = with_a.join(sets.select(F.col("id").alias("b"), F.col("elements").alias("y")), "b").select(*names, "x", "y")
-        return map_rows(with_b, similar, "".join(f"{x} long, " for x in names) + "ok boolean", [*names, "ok"])
+        of = lambda x: pairs.groupBy(x).agg(F.count(F.lit(1)).alias("n"))
+        with_a = join_spread(pairs, sets.select(F.col("id").alias("a"), F.col("elements").alias("x")), "a", of("a"))
+        with_b = join_spread(with_a, sets.select(F.col("id").alias("b"), F.col("elements").alias("y")), "b", of("b")).select(*names, "x", "y")
+        return map_rows(with_b, similar, "".join(f"{x} long, " for x in names) + "ok boolean", [*names, "ok"], owner="near_dup")
 
     tested = cut(verify(pairs, sets))
     links = tested.where("ok").select("a", "b")
 
     keyed = named.select("id", text_key("text").alias("key"))
-    several = texts.select("key", "node").join(keyed.where("id IS NOT NULL"), "key").where("id <> node").select(F.col("node").alias("b"), F.col("id").alias("a"))
-    shared = keyed.where("id IS NOT NULL").distinct().groupBy("id").count().where("count > 1").select(F.col("id").alias("a"))
-    labels = components(links.union(several.join(shared, "a").select("a", "b")))
+    copies = texts.select("key", F.col("copies").alias("n"))
+    ties = links
+    shared = cut(keyed.where("id IS NOT NULL").groupBy("id").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high").select("id"))
+    if shared.limit(1).count():
+        several = join_spread(keyed.join(shared, "id", "left_semi"), texts.select("key", "node"), "key", copies).where("id <> node")
+        ties = ties.union(several.select(F.col("node").alias("b"), F.col("id").alias("a")))
+    labels = components(ties)
     if (more := _rest(texts, banded, tested, labels, sets, verify)) is not None:
         labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
-    placed = keyed.join(texts.select("key", F.col("node").alias("copy_of")), "key")
-    return placed.join(labels, F.col("copy_of") == F.col("node"), "left").select(F.col("id").alias(id_col), "copy_of", F.coalesce("component", "copy_of").alias("class_id"))
+    named_texts = texts.select("key", F.col("node").alias("copy_of")).join(labels, F.col("copy_of") == F.col("node"), "left").select("key", "copy_of", F.coalesce("component", "copy_of").alias("class_id"))
+    return join_spread(keyed, named_texts, "key", copies).select(F.col("id").alias(id_col), "copy_of", "class_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
