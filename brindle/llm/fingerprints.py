@@ -1,7 +1,8 @@
 """Order MinHash of documents, in DataFrame functions only.
 
-A text is a sequence of units: runs of visible characters, cut after 24, and single characters of scripts written without
-blanks. A k-mer is k neighbouring units. Each k-mer is numbered by its occurrence in the text, and the hash of k-mer and
+A text is a sequence of units: runs of visible characters, and single characters of scripts written without blanks. Runs
+of over 24 characters are cut where their content says so, so that a change within one leaves its other parts as they
+are. A k-mer is k neighbouring units. Each k-mer is numbered by its occurrence in the text, and the hash of k-mer and
 number puts the pair into one of the bins and gives its rank there. From each bin the least pairs are taken, put back
 into the order in which they stand in the text, and their k-mers are hashed as a tuple. Two texts have a bin's tuple in
 common if they share its k-mers, how often these occur, and their order; so the share of common bins falls with the edit
@@ -11,7 +12,7 @@ One hash for all bins, in place of one permutation for each sketch, makes the wo
 of bins. A bin that a text with few k-mers leaves without its full number of pairs borrows the least ones of the next
 bins, around the circle of bins; so short texts have tuples with an order in all bins, too.
 
-Sorting uses single longs: 40 bits of hash and 24 of place. k-mers from place 2^24 on count as being at that place.
+Sorting uses single longs: 33 bits of hash and 31 of place, which is more than the places that a string can have.
 """
 
 from __future__ import annotations
@@ -25,11 +26,13 @@ K = 3
 BINS = 64
 LEAST = 2
 
-_PLACE = (1 << 24) - 1
+_BITS = 31
+_PLACE = (1 << _BITS) - 1
 _HASH = ~_PLACE
-#: Units: one character of CJK, Hangul, Thai, Lao, Khmer or Myanmar script, or up to 24 other visible ones.
+#: Units: one character of CJK, Hangul, Thai, Lao, Khmer or Myanmar script; the rest of a run of other visible ones, if it is up to 24; else its beginning up to one of the characters after which runs are cut (about a quarter of those of encoded data), 8 at least and 63 at most.
 _ALONE = r"฀-໿က-႟ក-៿⺀-鿿가-힯"
-UNIT = rf"[{_ALONE}]|[^\s{_ALONE}]{{1,24}}"
+_RUN = rf"[^\s{_ALONE}]"
+UNIT = rf"[{_ALONE}]|{_RUN}{{1,24}}(?!{_RUN})|{_RUN}{{7,62}}?[aeiouAEIOU0369/+.,;=&]|{_RUN}{{1,63}}"
 
 
 def with_fingerprint(df: DataFrame, text_col: str, to: str) -> DataFrame:
@@ -44,11 +47,11 @@ def with_fingerprint(df: DataFrame, text_col: str, to: str) -> DataFrame:
     steps = {
         "__units": F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(UNIT), F.lit(0)),
         "__kmers": F.expr(f"IF(size(__units) = 0, array(), transform(sequence(0, greatest(0, size(__units) - {K})), i -> xxhash64({', '.join(get('__units', f'i + {j}') for j in range(K))})))").cast("array<bigint>"),
-        "__sorted": F.expr(f"sort_array(transform(__kmers, (x, i) -> (x & {_HASH}L) | bigint(least(i, {_PLACE}, size(__kmers)))))"),
-        "__starts": F.expr(f"filter(sequence(0, size(__sorted)), i -> i < size(__sorted) AND (i = 0 OR shiftright({get('__sorted', 'i')}, 24) <> shiftright({get('__sorted', 'i - 1')}, 24)))"),
+        "__sorted": F.expr(f"sort_array(transform(__kmers, (x, i) -> (x & {_HASH}L) | bigint(i)))"),
+        "__starts": F.expr(f"filter(sequence(0, size(__sorted)), i -> i < size(__sorted) AND (i = 0 OR shiftright({get('__sorted', 'i')}, {_BITS}) <> shiftright({get('__sorted', 'i - 1')}, {_BITS})))"),
         "__pairs": F.expr(
-            f"sort_array(IF(size(__starts) = size(__sorted), transform(__sorted, x -> (xxhash64(shiftright(x, 24), 0) & {_HASH}L) | (x & {_PLACE}L)), "
-            f"flatten(transform(__starts, (b, j) -> transform(slice(__sorted, b + 1, coalesce({get('__starts', 'j + 1')}, size(__sorted)) - b), (x, o) -> (xxhash64(shiftright(x, 24), o) & {_HASH}L) | (x & {_PLACE}L))))))"
+            f"sort_array(IF(size(__starts) = size(__sorted), transform(__sorted, x -> (xxhash64(shiftright(x, {_BITS}), 0) & {_HASH}L) | (x & {_PLACE}L)), "
+            f"flatten(transform(__starts, (b, j) -> transform(slice(__sorted, b + 1, coalesce({get('__starts', 'j + 1')}, size(__sorted)) - b), (x, o) -> (xxhash64(shiftright(x, {_BITS}), o) & {_HASH}L) | (x & {_PLACE}L))))))"
         ),
         "__least": F.expr(f"filter(__pairs, (x, i) -> i < {LEAST} OR NOT {same('x', get('__pairs', f'i - {LEAST}'))})"),
         "__firsts": F.expr(f"filter(sequence(0, size(__least)), i -> i < size(__least) AND (i = 0 OR NOT {same(get('__least', 'i'), get('__least', 'i - 1'))}))"),

@@ -15,17 +15,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import map_rows, pieces, text_or_empty
+from .shared import claim, holds, map_rows, pieces, text_or_empty
 
 #: Labelled rows of each language that are wanted for training.
 TRAIN_ROWS = 3000
 #: Trigrams are counted by a hash of so many values, so a model has this many numbers for each language.
 BUCKETS = 1 << 16
-MOST_LANGUAGES = 512
 #: What one more language has to gain, in nats: a fixed part and a part of each trigram. Neighbouring trigrams overlap, so they aren't three independent draws.
 PENALTY, PENALTY_SHARE = 20.0, 0.1
 
 _CHUNK = 1 << 20
+_HELD = 64  # languages whose counts a task holds at a time
 
 
 @lru_cache(maxsize=1)
@@ -34,6 +34,9 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
+holds("language_id", _letters.cache_clear)
+
+
 def letters_of(text: str) -> np.ndarray:
     """The text in lower case as code points: its letters, with one blank for each run of other characters and at both ends. Empty without letters."""
     codes = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
@@ -74,35 +77,43 @@ def fit(docs: DataFrame, allowed: Column, text_col: str = "text", lang_col: str
     """Learns from rows with a language for which `allowed`, a condition on id_col, holds.
 
     About train_rows rows of each language are drawn by the hash of the id (all, if there are fewer); their whole texts
-    are counted on the executors. The driver gets at most BUCKETS numbers for each of at most MOST_LANGUAGES languages.
-    Rows with a null language, text or id teach nothing.
+    are counted on the executors. The driver gets at most BUCKETS numbers for each language, and the model takes 256 KB a
+    language; there is no limit to how many there are. Rows with a null language, text or id teach nothing.
     """
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull() & allowed).select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MOST_LANGUAGES + 1).collect()}
-    if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"over {MOST_LANGUAGES} languages")
-    keep = F.lit(False)
-    for lang, n in counts.items():
-        keep = keep | ((F.col("lang") == lang) & (F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, train_rows / n))))
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    languages = tuple(sorted(r["lang"] for r in counts.select("lang").collect()))
+    share = counts.select("lang", F.least(F.lit(1.0), F.lit(float(train_rows)) / F.col("n")).alias("share"))  # a row for each language, as the model has
+    chosen = known.join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 30)) < F.col("share") * (1 << 30))
 
     def count(batches):
+        claim("language_id")
         totals: dict[str, np.ndarray] = {}
-        for batch in (x for b in batches for x in pieces(b)):
+        for batch in (x for b in batches for x in pieces(b, 1 << 20)):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if lang not in totals and len(totals) == _HELD:
+                    yield from map(_counts, totals.items())
+                    totals = {}
                 h, n = trigrams(text)
                 totals.setdefault(lang, np.zeros(BUCKETS, np.int64))
                 np.add.at(totals[lang], h, n.astype(np.int64))
-        for lang, n in totals.items():
-            h = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(h), pa.string()), pa.array(h, pa.int32()), pa.array(n[h], pa.int64())], names=["lang", "hash", "n"])
+        yield from map(_counts, totals.items())
+
+    table = np.zeros((BUCKETS, len(languages)), np.float32)
+    found = chosen.select("lang", "text").mapInArrow(count, "lang string, hash int, n long").groupBy("lang", "hash").agg(F.sum("n").alias("n")).toArrow()
+    column = {x: i for i, x in enumerate(languages)}
+    for part in found.to_batches(max_chunksize=1 << 16):
+        table[part.column(1).to_numpy(), [column[x] for x in part.column(0).to_pylist()]] = part.column(2).to_numpy()
+    seen, sums = table.any(axis=1), table.sum(0, dtype=np.float64)
+    table += np.float32(0.1)
+    table /= (sums + 0.1 * BUCKETS).astype(np.float32)
+    return Model(languages, table, seen)
+
 
-    languages = tuple(sorted(counts))
-    table = np.zeros((BUCKETS, len(languages)))
-    found = known.where(keep).select("lang", "text").mapInArrow(count, "lang string, hash int, n long").groupBy("lang", "hash").agg(F.sum("n").alias("n"))
-    for r in found.toLocalIterator():
-        table[r["hash"], languages.index(r["lang"])] = r["n"]
-    chances = (table + 0.1) / (table.sum(0) + 0.1 * BUCKETS)
-    return Model(languages, chances.astype(np.float32), table.sum(1) > 0)
+def _counts(item: tuple[str, np.ndarray]) -> pa.RecordBatch:
+    lang, n = item
+    h = np.flatnonzero(n)
+    return pa.RecordBatch.from_arrays([pa.array([lang] * len(h), pa.string()), pa.array(h, pa.int32()), pa.array(n[h], pa.int64())], names=["lang", "hash", "n"])
 
 
 def mixtures(chances: np.ndarray, counts: np.ndarray, sizes: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, np.ndarray]:
@@ -154,10 +165,11 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     the share of trigrams that training has seen in any language. A null text, one without letters, and every text
     where the model has no language, is `und` with score 0, no languages and known 0. Of equal proportions the first
     language in the order of strings wins. Repeated rows are judged each. No shuffle. An empty table gives an empty
-    table.
+    table. A column in `keep` that has the name of a result is left out.
     """
+    keep = tuple(c for c in keep if c not in (id_col, "lang_pred", "score", "languages", "known"))
     kept = docs.select(F.col(id_col), text_or_empty(text_col).alias("__text"), *[F.col(c) for c in keep])
-    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.chances, model.seen))  # at most MOST_LANGUAGES * 256 KB
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.chances, model.seen))  # 256 KB a language
 
     def rows(batch: pa.RecordBatch) -> list[pa.Array]:
         languages, table, seen = shared.value
@@ -184,4 +196,5 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
     names = [id_col, *keep, "lang_pred", "score", "languages", "known"]
     schema = docs.select(F.col(id_col), *[F.col(c) for c in keep], F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"), F.array().cast("array<string>").alias("languages"), F.lit(0.0).alias("known")).schema
-    return map_rows(kept, rows, schema, names, most_bytes=1 << 20)
+    most = max(1 << 12, (2 << 20) // max(4, len(model.languages)))  # a trigram takes some numbers for each language
+    return map_rows(kept, rows, schema, names, most_bytes=most, owner="language_id")

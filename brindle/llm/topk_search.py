@@ -1,8 +1,10 @@
 """Exact top-k search by inner product with Fagin's threshold algorithm.
 
-Candidates are dealt into blocks, and each block holds one sorted list for each dimension. A query walks its lists from
-the end that its own component favours, scores every candidate the first time it is seen, and stops when the best score
-that an unseen candidate could have is below its kth result. Blocks and query groups meet in tasks of bounded size.
+Candidates are dealt into blocks. Each block is turned to its principal axes, which leaves inner products as they are and
+gathers most of a vector in few components, and holds one sorted list for each axis. A query walks the lists from the end
+that its own component favours, always those whose bound falls most; it scores every candidate, exactly and in whole
+numbers, the first time it is seen, and stops when the best score that an unseen candidate could have is below its kth
+result. Blocks and query groups meet in tasks of bounded size.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 
 BLOCK_ROWS = 16_384
 QUERY_ROWS = 16_384
+_WALKED = 8  # lists that are walked at a time
 
 
 class Lists:
@@ -25,54 +28,77 @@ class Lists:
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
         self.repeated = len(ids) > 1 and bool((self.ids[1:] == self.ids[:-1]).any())
-        self.order = np.argsort(-self.vectors, axis=0, kind="stable").T.copy()  # for each dimension, rows by falling component
+        self.axes = np.linalg.eigh(self.vectors.T @ self.vectors)[1][:, ::-1] if vectors.dtype == np.float64 and vectors.size else None
+        turned = self.vectors @ self.axes if self.axes is not None else self.vectors
+        self.order = np.argsort(-turned, axis=0, kind="stable").T.copy()  # for each axis, rows by falling component
+        self.sorted = np.take_along_axis(turned, self.order.T, axis=0).T.copy()
+        if self.axes is not None:
+            squares = turned**2
+            self.rest = np.sqrt(squares[:, ::-1].cumsum(axis=1)[:, ::-1].max(axis=0, initial=0))  # the greatest length that the components from each axis on have
+            self.length = float(np.sqrt(squares.sum(axis=1)).max(initial=0))
+        self.seen = 0
 
     def search(self, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
-        """The k best (score, id) for a query, ties to the smaller id, without the candidate whose id is `own`. Of rows that share an id, the best counts once."""
+        """The k best (score, id) for a query, ties to the smaller id, without the candidate whose id is `own`. Of rows that share an id, the best counts once. `seen` is then the number of candidates that were scored."""
         n = len(self.ids)
-        up, down = np.flatnonzero(query > 0), np.flatnonzero(query < 0)
+        turned = query if self.axes is None else query @ self.axes
+        margin = 0 if self.axes is None else 1e-9 * (1 + float(np.linalg.norm(query)) * self.length)  # far above what turning rounds
+        lists = np.flatnonzero(turned)
+        if not len(lists):  # all scores are 0
+            self.seen = n
+            return [(0, i) for i in dict.fromkeys(self.ids[self.ids != own].tolist())][:k]
+        weight, up = turned[lists], turned[lists] > 0
+        depth, step = np.zeros(len(lists), np.int64), np.full(len(lists), 16)
+        at = lambda d: weight * self.sorted[lists, np.where(up, d, n - 1 - d)]  # noqa: E731  the most that a list adds from a depth on
         seen = np.zeros(n, bool)
         best: list[tuple[int, int]] = []
-        depth = 0
         while True:
-            step = max(16, depth)
-            end = min(n, depth + step)
-            if len(up) + len(down) == 0 or (end - depth) * (len(up) + len(down)) >= 8 * n:
-                new = np.flatnonzero(~seen)  # the lists would name almost every row by now
-                end = n
-            else:
-                ids = np.concatenate([self.order[up, depth:end].ravel(), self.order[down, n - end : n - depth].ravel()])
-                mark = np.zeros(n, bool)
-                mark[ids] = True
-                new = np.flatnonzero(mark & ~seen)
-            seen[new] = True
-            if len(new):
-                scores = self.vectors[new] @ query
-                if len(best) == k:
-                    good = scores >= best[-1][0]
-                    new, scores = new[good], scores[good]
-                found = self.ids[new]
-                if self.repeated and len(new):
-                    order = np.lexsort((-scores, found))
-                    order = order[np.concatenate([[True], found[order][1:] != found[order][:-1]])]
-                    found, scores = found[order], scores[order]
-                if len(found) > 2 * k + 2:
-                    cut = np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1]  # one more, as the query's own may be among them
-                    good = scores >= cut
-                    found, scores = found[good], scores[good]
-                most = dict(zip((i for _, i in best), (s for s, _ in best), strict=True))
-                for s, i in zip(map(int, scores), found.tolist(), strict=True):
-                    if i != own and (i not in most or s > most[i]):
-                        most[i] = s
-                best = sorted(((s, i) for i, s in most.items()), key=lambda x: (-x[0], x[1]))[:k]
-            depth = end
-            if depth >= n:
+            ahead = np.minimum(depth + step, n - 1)
+            fall = np.where(depth < n, at(np.minimum(depth, n - 1)) - at(ahead), -1)
+            mark = np.zeros(n, bool)
+            for j in np.argsort(-fall / step, kind="stable")[:_WALKED].tolist():
+                low, high = int(depth[j]), min(n, int(depth[j] + step[j]))
+                mark[self.order[lists[j], low:high] if up[j] else self.order[lists[j], n - high : n - low]] = True
+                depth[j], step[j] = high, 2 * step[j]
+            new = np.flatnonzero(mark & ~seen)
+            seen |= mark
+            best = self._better(best, new, query, own, k)
+            self.seen = int(seen.sum())
+            if self.seen == n or (depth >= n).any():
                 return best
             if len(best) == k:
-                bound = self.vectors[self.order[up, depth - 1], up] @ query[up] + self.vectors[self.order[down, n - depth], down] @ query[down]
-                if bound < best[-1][0]:
+                bounds = at(depth)
+                bound = bounds.sum()
+                if self.axes is not None:  # lists that haven't been walked, from some axis on, by length
+                    last = int(lists[depth > 0].max()) + 1
+                    if last < len(turned):
+                        bound = min(bound, bounds[lists < last].sum() + float(np.linalg.norm(turned[last:])) * self.rest[last])
+                if bound + margin < best[-1][0]:
                     return best
 
+    def _better(self, best: list[tuple[int, int]], new: np.ndarray, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
+        """The k best of those so far and the rows `new`."""
+        if not len(new):
+            return best
+        scores = self.vectors[new] @ query
+        if len(best) == k:
+            good = scores >= best[-1][0]
+            new, scores = new[good], scores[good]
+        found = self.ids[new]
+        if self.repeated and len(new):
+            order = np.lexsort((-scores, found))
+            order = order[np.concatenate([[True], found[order][1:] != found[order][:-1]])]
+            found, scores = found[order], scores[order]
+        if len(found) > 2 * k + 2:
+            cut = np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1]  # one more, as the query's own may be among them
+            good = scores >= cut
+            found, scores = found[good], scores[good]
+        most = dict(zip((i for _, i in best), (s for s, _ in best), strict=True))
+        for s, i in zip(map(int, scores), found.tolist(), strict=True):
+            if i != own and (i not in most or s > most[i]):
+                most[i] = s
+        return sorted(((s, i) for i, s in most.items()), key=lambda x: (-x[0], x[1]))[:k]
+
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
     """Rows of whole numbers, shorter ones filled with zeros. Sums stay exact: as doubles while they are under 2^53, else as Python's integers."""

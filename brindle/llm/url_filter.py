@@ -3,7 +3,8 @@
 The first filter holds the listed keys. Keys of the corpus that it takes for listed by mistake are found by one scan of
 the corpus's complete key universe and held by a second filter; listed keys that the second one takes for mistakes are
 held by a third, and so on until a level makes no mistake. A lookup goes down the levels until one says no, and the
-number of that level tells whether the key is listed. For keys of the universe this is exact, and it needs no join.
+number of that level tells whether the key is listed. For keys of the universe this is exact, and it needs no join;
+only building a cascade joins, with the listed keys, the few keys that the first filter lets through.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .shared import cut
 
-#: 64-bit words of the largest filter that becomes part of a plan (4 MB): some two million listed keys.
+#: 64-bit words of one filter (4 MB): some two million listed keys. Longer lists are cut into parts by a hash, each with a cascade of its own.
 MOST_WORDS = 1 << 19
 
 
@@ -56,12 +57,28 @@ class Cascade:
         return out
 
 
+@dataclass
+class Parts:
+    """Cascades of the keys of each remainder of a hash."""
+
+    cascades: list[Cascade]
+
+    def member(self, key: Column) -> Column:
+        """Is the key listed? Exact for every key of the universe."""
+        out = F.lit(False)
+        for i, cascade in enumerate(self.cascades):
+            out = F.when(_part(key, len(self.cascades)) == i, cascade.member(key)).otherwise(out)
+        return out
+
+
+def _part(key: Column, parts: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(-1)), F.lit(parts))
+
+
 def _filled(keys: DataFrame, n: int, chance: float, number: int) -> Level:
     """A filter of n keys that is wrong about others with the given chance. Its words, O(n), come to the driver."""
-    hashes = max(1, round(math.log2(1 / chance)))
-    bits = 64 * max(1, math.ceil(max(1, n) * hashes / math.log(2) / 64))
-    if bits // 64 > MOST_WORDS:
-        raise ValueError(f"{n} keys need a filter of over {MOST_WORDS} words")
+    hashes = _hashes(chance)
+    bits = 64 * _words(n, hashes)
     level = Level(1_000_003 * number, hashes, bits, [0] * (bits // 64))
     at = keys.select(F.explode(F.array(*positions(F.col("key"), level))).alias("at"))
     for word, value in at.groupBy(F.expr("at div 64").alias("word")).agg(F.bit_or(_one_shifted(F.col("at"))).alias("value")).collect():
@@ -69,19 +86,40 @@ def _filled(keys: DataFrame, n: int, chance: float, number: int) -> Level:
     return level
 
 
-def build(listed: DataFrame, universe: DataFrame) -> Cascade:
+def _hashes(chance: float) -> int:
+    return max(1, round(math.log2(1 / chance)))
+
+
+def _words(n: int, hashes: int) -> int:
+    return max(1, math.ceil(max(1, n) * hashes / math.log(2) / 64))
+
+
+def build(listed: DataFrame, universe: DataFrame) -> Cascade | Parts:
     """listed, universe: `key` string; repeated and null keys don't matter. The universe may hold listed keys, and need not be distinct.
 
     The first filter's rate of mistakes is set so that about as many keys pass by mistake as are listed; with one half
     for all others, a cascade takes O(n log(universe / n)) bits for n listed keys, whatever the size of the corpus. The
-    universe is read twice (to count and to test its keys) and never shuffled as a whole.
+    universe is read twice (to count and to test its keys) and never shuffled as a whole. A list too long for a filter of
+    MOST_WORDS is cut into parts, and the universe is read once more for each. The words become part of the plan of
+    whatever asks `member`: some bytes for each listed key.
     """
     listed = cut(listed.where("key IS NOT NULL").distinct())
     n = listed.count()
     if n == 0:
         return Cascade([])
     size = universe.agg(F.approx_count_distinct("key")).head()[0]
-    levels = [_filled(listed, n, min(0.5, n * math.sqrt(0.5) / max(size, 1)), 1)]
+    chance = min(0.5, n * math.sqrt(0.5) / max(size, 1))
+    if (parts := -(-_words(n, _hashes(chance)) // MOST_WORDS)) > 1:
+        parts += 1 + parts // 8  # parts aren't quite even
+        return Parts([_cascade(listed.where(_part(F.col("key"), parts) == i), universe.where(_part(F.col("key"), parts) == i), chance) for i in range(parts)])
+    return _cascade(listed, universe, chance)
+
+
+def _cascade(listed: DataFrame, universe: DataFrame, chance: float) -> Cascade:
+    n = listed.count()
+    if n == 0:
+        return Cascade([])
+    levels = [_filled(listed, n, chance, 1)]
     wrong = cut(universe.where(F.col("key").isNotNull() & levels[0].holds(F.col("key"))).distinct().join(listed, "key", "left_anti"))
     held, others = wrong, listed
     while (n := held.count()) > 0:
@@ -116,7 +154,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id
     no special case. A key may have one verdict only.
 
     One cascade tells which candidate keys are rules, over all candidate keys of all pages; a second one tells, among
-    the rules, those to block. Neither uses a join or a shuffle of the pages. The rules are on the driver to begin with.
+    the rules, those to block. Pages are neither joined nor shuffled. The rules are on the driver to begin with.
     """
     spark: SparkSession = pages.sparkSession
     verdicts = dict(rules)
@@ -128,7 +166,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id
     labels = max(k.partition("/")[0].count(".") + 1 for k in verdicts)
     lengths = sorted({len(k) - k.index("/") for k in verdicts})
     keys = candidates(F.col("host"), F.col("path"), labels, lengths)
-    both = spark.createDataFrame(list(verdicts.items()), "key string, verdict string")
+    both = spark.range(1).select(F.inline(F.array(*(F.struct(F.lit(k).alias("key"), F.lit(v).alias("verdict")) for k, v in verdicts.items()))))
     ruled = build(both.select("key"), split.select(F.explode(keys).alias("key")))
     blocked = build(both.where("verdict = 'block'").select("key"), both.select("key"))
     fitting = F.filter(keys, lambda key: ruled.member(key) & (F.col("host") != ""))

@@ -30,6 +30,17 @@ def test_language_mixtures(spark, odd, none):
     assert language_id.identify(odd, language_id.fit(none, F.lit(True))).where("lang_pred <> 'und'").count() == 0
 
 
+def test_many_languages(spark):
+    """More labels than any table holds by chance: every one is learned."""
+    rng = random.Random(2)
+    words = lambda i: [f"{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + rng.randrange(26))}{i % 7}q" for _ in range(4)]
+    rows = [(i * 3 + j, f"l{i}", " ".join(rng.choices(w, k=30))) for i in range(600) for w in [words(i)] for j in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = language_id.fit(docs, F.lit(True))
+    assert len(model.languages) == 600
+    assert language_id.identify(docs.where("doc_id % 97 = 0"), model, keep=("lang", "score")).where("lang = lang_pred").count() >= 15
+
+
 def test_long_text_is_counted_in_chunks():
     text = "abcdefg " * 20_000
     h, n = language_id.trigrams(text)
@@ -214,6 +225,48 @@ def test_near_duplicates_of_odd_rows(spark, odd, none):
     assert near_dup.classes(none).count() == 0 and near_dup.keep_one(none).count() == 0
 
 
+def test_samples_collide_as_often_as_texts_are_alike():
+    """The share of common samples is the weighted Jaccard similarity, up to what 64 x 40 draws allow."""
+    rng = np.random.default_rng(6)
+    weights = rng.uniform(near_dup.LEAST_WEIGHT, 1, near_dup.CELLS).astype(np.float32)
+    sampler, found, wanted = near_dup.Sampler(weights), [], []
+    for i in range(40):
+        words = [f"{i}w{j}" for j in range(300)]
+        other = words[:]
+        for at in rng.choice(300, 8, replace=False):
+            other[at] = f"new{at}"
+        a, b = " ".join(words), " ".join(other)
+        found.append((sampler.samples(a) == sampler.samples(b)).mean())
+        wanted.append(near_dup.similarity(near_dup.elements(a), near_dup.elements(b), weights))
+    assert abs(np.mean(found) - np.mean(wanted)) < 0.03
+
+
+def test_words_of_long_texts_are_those_of_their_chunks(monkeypatch):
+    text = " ".join(f"Wörd{i}, {i}" for i in range(4000)) + "  --  " + "x" * 3000
+    whole = near_dup.words(text)
+    monkeypatch.setattr(near_dup, "_CHUNK", 1000)
+    assert (near_dup.words(text) == whole).all() and len(whole) == 8001
+    assert (near_dup.words("Don't  STOP!") == near_dup.words("dont stop -")).all() and len(near_dup.words(" -- ")) == 0
+
+
+def test_recall_of_near_duplicates_on_a_table(spark):
+    """Of all pairs of documents that are alike, found by comparing every pair that has a shingle in common: those that are in one class. By the operator's weights, and by plain Jaccard similarity, of which the weights lose a little."""
+    docs = [(r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    got = {r["doc_id"]: r["class_id"] for r in near_dup.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    counts = np.zeros(near_dup.CELLS, np.int64)
+    sets, by = {}, {}
+    for d, t in docs:
+        counts[np.unique(near_dup.shingles(t) & np.uint64(near_dup.CELLS - 1)).astype(np.int64)] += 1
+        sets[d] = near_dup.elements(t)
+        for x in sets[d].tolist():
+            by.setdefault(x, []).append(d)
+    weights, pairs = near_dup.weights_of(counts, len(docs)), {(a, b) for ids in by.values() for i, b in enumerate(ids) for a in ids[:i]}
+    ones = np.ones_like(weights)
+    for w, least in ((weights, 0.999), (ones, 0.95)):
+        alike = [(a, b) for a, b in pairs if near_dup.similarity(sets[a], sets[b], w) >= 0.8]
+        assert len(alike) > 100 and np.mean([got[a] == got[b] for a, b in alike]) >= least
+
+
 def test_frequencies_add_up_over_many_tasks(spark, monkeypatch):
     monkeypatch.setattr(near_dup, "_FAN", 3)
     docs = spark.createDataFrame([(f"one two three four five {i}",) for i in range(50)], "text string").repartition(11)

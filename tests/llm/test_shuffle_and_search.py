@@ -1,10 +1,13 @@
 """Sharding, exact top-k, URL rules and fingerprints against brute force."""
 
 import hashlib
+import re
+import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from brindle.llm import fingerprints, sharding, topk_search, url_filter
@@ -187,3 +190,110 @@ def test_edited_hash_of_query(spark):
     want = {a: hashlib.sha256((texts[a][: len(texts[a]) - len(texts[a]) // 2] + texts[b][: len(texts[a]) // 2]).encode()).hexdigest() for a, b in zip(order, order[1:] + order[:1], strict=True)}
     assert {r["doc_id"]: r["edited_sha256"] for r in rows} == want and len(rows) == len(texts)
     assert all(0 <= r["near_next"] <= 1 and 0 <= r["near_edited"] <= 1 for r in rows)
+
+
+def spark_hash(*parts):
+    """Spark's xxhash64, as a signed long: each part's hash is the seed of the next."""
+    seed = 42
+    for x in parts:
+        seed = xxhash.xxh64_intdigest(x.encode() if isinstance(x, str) else x, seed=seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def plain_fingerprint(text):
+    """Order MinHash step by step: numbered k-mers, the two least pairs of each bin (or of the next ones), in text order."""
+    units = re.findall(fingerprints.UNIT, text, re.ASCII)
+    if not units:
+        return []
+    kmers = [spark_hash(*units[i : i + 3]) for i in range(max(1, len(units) - 2))]
+    nth, pairs = Counter(), []
+    for place, k in enumerate(kmers):
+        short = k >> 31
+        pairs.append((spark_hash((short).to_bytes(8, "little", signed=True), nth[short].to_bytes(4, "little")) >> 31, place))
+        nth[short] += 1
+    pairs.sort()
+    least, of_bin = [], Counter()
+    for pair in pairs:
+        if of_bin[pair[0] >> 27] < 2:
+            of_bin[pair[0] >> 27] += 1
+            least.append(pair)
+    out, bins = {}, [h >> 27 for h, _ in least]
+    for b in range(-32, 32):
+        first = next((i for i, x in enumerate(bins) if x >= b), 0)
+        chosen = sorted({least[(first + j) % len(least)][1] for j in range(2)})
+        out[b] = (b & 63) << 32 | spark_hash(" ".join(f"{kmers[p] & (1 << 64) - 1:X}" for p in chosen)) & 0xFFFFFFFF
+    return [out[b] for b in range(-32, 32)]
+
+
+def test_fingerprints_of_the_query_against_plain_order_minhash(spark, odd):
+    rows = {r["doc_id"]: r for r in QUERIES["op8_fingerprints"](spark, SMALL).collect()}
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    order = sorted(texts, reverse=True)
+    like = lambda a, b: 1.0 if not a and not b else len(set(a) & set(b)) / 64
+    for a, b in list(zip(order, order[1:] + order[:1], strict=True))[:60]:
+        n = len(texts[a])
+        one, edited, other = (plain_fingerprint(x) for x in (texts[a], texts[a][: n - n // 2] + texts[b][: n // 2], texts[b]))
+        assert rows[a]["fingerprint"] == "".join(f"{x:010X}" for x in one) and rows[a]["edited_fingerprint"] == "".join(f"{x:010X}" for x in edited)
+        assert rows[a]["near_edited"] == pytest.approx(like(one, edited)) and rows[a]["near_next"] == pytest.approx(like(one, other)) and rows[a]["n_chars"] == n
+    strange = ["the the the the the the the", "x" * 5000, "中文没有空格的文字 and more", "a b", "a", "word " * 900]
+    got = fingerprints.fingerprints(spark.createDataFrame(list(enumerate(strange)), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["fingerprint"] for r in got} == {i: plain_fingerprint(x) for i, x in enumerate(strange)}
+
+
+def test_a_letter_more_changes_little_of_a_long_run(spark):
+    """Data without blanks is cut by its content, so an insertion leaves most units as they are."""
+    import base64
+
+    data = base64.b64encode(np.random.default_rng(9).bytes(9000)).decode()
+    df = spark.createDataFrame([(data, data[:50] + "x" + data[50:])], "a string, b string")
+    df = fingerprints.with_fingerprint(fingerprints.with_fingerprint(df, "a", "f"), "b", "g")
+    assert df.select(fingerprints.likeness(F.col("f"), F.col("g"))).head()[0] > 0.9
+
+
+def test_places_beyond_any_text():
+    assert fingerprints._PLACE >= 2**31 - 1
+
+
+def test_bound_stops_the_search_where_vectors_have_a_structure():
+    """Vectors near a plane of few dimensions, turned at random: a few percent of the rows are scored. Without any structure nearly all are; results are right in both cases."""
+    rng = np.random.default_rng(4)
+    turn = np.linalg.qr(rng.normal(size=(64, 64)))[0]
+    shares = {}
+    for name, spread in (("structured", 0.5 ** np.arange(64)), ("even", np.ones(64))):
+        v = np.floor(256 * (rng.normal(size=(6000, 64)) * spread) @ turn)
+        lists, seen = topk_search.Lists(np.arange(6000), v), []
+        for q in range(0, 6000, 300):
+            got = lists.search(v[q], q, 5)
+            scores = v @ v[q]
+            assert got == sorted(((int(scores[i]), i) for i in range(6000) if i != q), key=lambda x: (-x[0], x[1]))[:5]
+            seen.append(lists.seen / 6000)
+        shares[name] = np.mean(seen)
+    assert shares["structured"] < 0.2
+
+
+def test_long_lists_are_cut_into_parts(spark, monkeypatch):
+    """Beyond the words of one filter, the list is held by cascades of its parts, and membership stays exact."""
+    monkeypatch.setattr(url_filter, "MOST_WORDS", 16)
+    universe = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("key"))
+    is_listed = F.substring("key", 2, 9).cast("int") % 7 == 0
+    parts = url_filter.build(universe.where(is_listed), universe)
+    assert len(parts.cascades) > 1 and all(len(level.words) <= 16 for c in parts.cascades for level in c.levels[:1])
+    assert universe.where(parts.member(F.col("key")) != is_listed).count() == 0
+
+
+def test_judging_keeps_clashing_names_apart(spark):
+    df = spark.createDataFrame([(1, "http://a.com/en/", "r", "v", "p")], "page_id long, url string, rule string, verdict string, path string")
+    assert url_filter.judge(df, [("com/en/", "block")]).collect() == [(1, "a.com", "/en/", "com/en/", "block")]
+
+
+def test_sharding_query(spark):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    rows = QUERIES["op3_sharding"](spark, SMALL).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(docs)
+    by = {}
+    for r in rows:
+        text = (docs[r["doc_id"]] or "").encode()
+        assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(text) + 8, zlib.crc32(text), "rows", None)
+        by.setdefault(r["shard"], []).append(r["slot"])
+    sizes = [len(by.get(i, ())) for i in range(24)]
+    assert set(by) <= set(range(24)) and max(sizes) - min(sizes) <= 1 and all(sorted(x) == list(range(len(x))) for x in by.values())
