@@ -164,7 +164,23 @@ def ball_offset(u: Column, v: Column, w: Column, radius: float) -> Vec:
     return r * flat * F.cos(turn), r * flat * F.sin(turn), r * z
 
 
-def clip_planes(distance: Column, radius: Column) -> tuple[Column, Column]:
-    """Near and far planes about a ball at a distance."""
-    near = F.greatest(F.lit(0.01), distance - 2 * radius)
-    return near, F.greatest(near + 1, distance + 2 * radius)
+def clip_planes(extent: Column, near_min: float, near_ratio: float, far_ratio: float, radius: Column | None = None, distance: Column | None = None) -> tuple[Column, Column]:
+    """Near and far planes by the extent of what is about a camera. The far plane is ten times as far as the near one at least; with a scene's radius and distance it lies behind the scene instead."""
+    near = F.greatest(F.lit(near_min), extent * near_ratio)
+    if radius is None or distance is None:
+        return near, F.greatest(near * 10, extent * far_ratio)
+    return near, F.greatest(radius * far_ratio, distance + 2 * radius)
+
+
+def composed(a: tuple[Column, ...], b: tuple[Column, ...]) -> tuple[Column, ...]:
+    """The unit quaternion (w, x, y, z) of rotation b followed by a."""
+    aw, ax, ay, az = a
+    bw, bx, by, bz = b
+    out = aw * bw - ax * bx - ay * by - az * bz, aw * bx + bw * ax + ay * bz - az * by, aw * by + bw * ay + az * bx - ax * bz, aw * bz + bw * az + ax * by - ay * bx
+    length = F.sqrt(sum((x * x for x in out), F.lit(0.0)))
+    return tuple(x / F.nullif(length, F.lit(0.0)) for x in out)
+
+
+def decoded_scale(log_scale: Column, root: float = 1.0) -> Column:
+    """A scale from its logarithm, which is taken between -30 and 30."""
+    return root * F.exp(F.greatest(F.lit(-30.0), F.least(F.lit(30.0), log_scale)))

@@ -9,27 +9,6 @@ from pyspark.sql import functions as F
 Z95 = 1.96
 
 
-def summary12(x: Column, prefix: str = "") -> list[Column]:
-    """The twelve-number summary of x as aggregates: count, mean, median, population deviation, least, quartiles and tails, most, and a 95 % interval of the mean.
-
-    Nulls don't count. Without values the count is 0 and all else null; with one value there is no interval.
-    """
-    n, mean, half = F.count(x), F.avg(x), F.stddev_samp(x) / F.sqrt(F.nullif(F.count(x).cast("double"), F.lit(0.0))) * Z95
-    several = F.when(n > 1, half)
-    named = {
-        "count": n,
-        "mean": mean,
-        "median": F.median(x),
-        "stddev": F.stddev_pop(x),
-        "min": F.min(x),
-        **{f"p{p}": F.percentile(x, p / 100) for p in (10, 25, 75, 90, 95)},
-        "max": F.max(x),
-        "ci_low": mean - several,
-        "ci_high": mean + several,
-    }
-    return [v.alias(prefix + k) for k, v in named.items()]
-
-
 def wilson(successes: Column, total: Column) -> tuple[Column, Column]:
     """The ends of Wilson's 95 % score interval; null for a total of 0."""
     n = F.nullif(total.cast("double"), F.lit(0.0))

@@ -35,10 +35,22 @@ def cell(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, r"\|", r"\\|"), r"\r?\n", " ")
 
 
-def seed64(*parts: Column) -> Column:
-    """The first eight bytes of the SHA-256 of the parts, as a non-negative decimal."""
-    return F.conv(F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 16), 16, 10).cast("decimal(20,0)")
+def json_string(text: Column) -> Column:
+    """A text as a string in JSON, with no more escapes than it needs."""
+    short = {8: "b", 9: "t", 10: "n", 12: "f", 13: "r"}
+    out = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    for code in range(32):
+        out = F.replace(out, F.lit(chr(code)), F.lit("\\" + short[code] if code in short else f"\\u{code:04x}"))
+    return F.concat(F.lit('"'), out, F.lit('"'))
+
+
+def seed64(base: Column, *names: Column) -> Column:
+    """The first eight bytes of the SHA-256 of the JSON list [base, name, ...], as a non-negative decimal. base is a whole number. Different lists have different texts, whatever the names hold."""
+    payload = F.concat(F.lit("["), F.concat_ws(", ", base.cast("string"), *map(json_string, names)), F.lit("]"))
+    return F.conv(F.substring(F.sha2(payload, 256), 1, 16), 16, 10).cast("decimal(20,0)")
 
 
 def label(prefix: str, number: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
+    """A number with zeros before it, up to a width; longer numbers stay whole."""
+    digits = number.cast("string")
+    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0")))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.stats import mcnemar_exact, ratio, summary12, wilson
+from ..functions.stats import mcnemar_exact, ratio, wilson
+from .quantiles import summary, with_quantiles
 
 
 def pair(a: DataFrame, b: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -38,8 +39,8 @@ def contingency(pairs: DataFrame, a_pass: Column, b_pass: Column, groups: list[s
 def delta_summary(pairs: DataFrame, a: Column, b: Column, tolerance: float = 1e-12, groups: list[str] | None = None) -> DataFrame:
     """The summary of b - a over pairs that have both, and how often b is higher, level within the tolerance, or lower."""
     d = F.col("__d")
-    rows = pairs.withColumn("__d", b - a)
-    return rows.groupBy(*(groups or [])).agg(*summary12(d), F.count_if(d > tolerance).alias("higher"), F.count_if(F.abs(d) <= tolerance).alias("level"), F.count_if(d < -tolerance).alias("lower"))
+    counts = F.count_if(d > tolerance).alias("higher"), F.count_if(F.abs(d) <= tolerance).alias("level"), F.count_if(d < -tolerance).alias("lower")
+    return summary(pairs.withColumn("__d", b - a), groups or [], d, *counts)
 
 
 def rates(passes: Column, candidates: Column, seconds: Column) -> dict[str, Column]:
@@ -47,6 +48,10 @@ def rates(passes: Column, candidates: Column, seconds: Column) -> dict[str, Colu
     return {"per_thousand": ratio(passes * 1000, candidates), "per_hour": ratio(passes * 3600, seconds), "seconds_per_pass": ratio(seconds, passes)}
 
 
-def pooled(df: DataFrame, group: str, strategy: str, *aggregates: Column) -> DataFrame:
-    """Aggregates for each (group, strategy), and for each strategy over the raw rows of all groups (group null). Pooled percentiles come from rows, not from averages."""
-    return df.groupingSets([[group, strategy], [strategy]], group, strategy).agg(*aggregates)
+def pooled(df: DataFrame, group: str, strategy: str, aggregates: list[Column], points: dict[str, tuple[Column, float]] | None = None) -> DataFrame:
+    """Aggregates, and quantiles, for each (group, strategy), and for each strategy over the raw rows of all groups (group null). Pooled quantiles come from rows, not from averages."""
+    out = []
+    for keys in ([group, strategy], [strategy]):
+        by = df.groupBy(*keys).agg(*aggregates)
+        out.append(with_quantiles(by, df, keys, points) if points else by)
+    return out[0].unionByName(out[1], allowMissingColumns=True)

@@ -20,13 +20,21 @@ def progress(local: Column, count: Column, smooth: bool = False) -> Column:
 
 
 def zoom(low: Column, high: Column, t: Column) -> Column:
-    """Even in the logarithm, with exact ends."""
-    return F.when(t <= 0, low).when(t >= 1, high).otherwise(low * F.pow(high / low, t))
+    """Even steps from low to high, with exact ends."""
+    return F.when(t <= 0, low).when(t >= 1, high).otherwise(low + (high - low) * t)
 
 
-def crossfade(local: Column, lens_index: Column, length: int) -> Column:
-    """The share of the new lens in the first frames after a change; 1 elsewhere."""
-    return F.when((lens_index > 0) & (local < length), (local + 1) / F.lit(float(length + 1))).otherwise(F.lit(1.0))
+def not_rising(schedule: DataFrame, value: str = "zoom", order: str = "frame_index") -> DataFrame:
+    """Frames whose value isn't above that of the frame before; a schedule of zooms has none. Schedules are small: one task orders them."""
+    before = F.lag(value).over(Window.partitionBy(F.lit(1)).orderBy(order))
+    return schedule.withColumn("before", before).where(F.col(value) <= F.col("before")).select(order, "before", value)
+
+
+def crossfade(local: Column, lens_index: Column, length: int, hard: bool = False) -> Column:
+    """The share of the new lens in the first `length` frames after a change, from 0 to 1; 1 elsewhere, and everywhere if the change is hard or takes one frame."""
+    if hard or length <= 1:
+        return F.lit(1.0)
+    return F.when((lens_index > 0) & (local < length), local / F.lit(float(length - 1))).otherwise(F.lit(1.0))
 
 
 def jump_frame(position: Column, count: Column) -> Column:
@@ -34,18 +42,34 @@ def jump_frame(position: Column, count: Column) -> Column:
     return F.rint(position * (count - 1)).cast("long")
 
 
-def with_jump(t: Column, index: Column, count: Column, strength: Column, position: Column) -> Column:
-    """Progress that jumps by `strength` at a frame and loses it again evenly until the end."""
+def jump_progress(local: Column, count: Column, strength: Column, position: Column, transition: int) -> Column:
+    """How much of a lens's exposure jump is in force: none before its frame, then evenly more over `transition` frames (or those that are left), then all. No strength, no jump."""
     at = jump_frame(position, count)
-    left = F.greatest(count - 1 - at, F.lit(1))
-    gain = F.when(index < at, 0.0).otherwise(strength * (count - 1 - index) / left)
-    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), t + gain))
+    ramp = F.lit(1.0) if transition == 0 else F.least(F.lit(1.0), (local - at + 1) / F.least(F.lit(transition), count - at))
+    return F.when((strength == 0) | (local < at), 0.0).otherwise(ramp)
+
+
+def jump_state(progress: Column, strength: Column, most_ev: float, noise: Column | None = None, noise_per_ev: float = 0.0) -> dict[str, Column]:
+    """What a jump in progress does: its exposure in stops, the part applied, the gain, and, with a deviation of noise, the noise that goes with the gain."""
+    applied = strength * most_ev * progress
+    out = {"jump_ev": strength * most_ev, "applied_ev": applied, "gain": F.pow(F.lit(2.0), applied), "applied": (progress > 0) & (strength != 0)}
+    return out | ({"noise_std": noise * F.greatest(F.lit(0.0), 1 + applied * noise_per_ev)} if noise is not None else {})
+
+
+def guarded(original: Column, values: Column, least: float = 0.04, share: float = 0.6) -> Column:
+    """A sequence in which each value keeps a least distance from the (changed) one before it: `least`, or a share of the distance between the originals, in their direction (if they are equal in that of the values, else upwards). A fold, as each depends on the last result."""
+    pairs = F.arrays_zip(original.alias("o"), values.alias("v"))
+    start = F.struct(F.array().cast("array<double>").alias("out"), F.lit(None).cast("double").alias("before"))
 
+    def step(acc, p):
+        last = F.element_at(acc["out"], -1)
+        wanted, found = p["o"] - acc["before"], p["v"] - last
+        way = F.when(wanted != 0, F.signum(wanted)).when(found != 0, F.signum(found)).otherwise(F.lit(1.0))
+        most = F.greatest(F.lit(least), F.abs(wanted) * share)
+        value = F.when(acc["before"].isNull(), p["v"]).when(found * way < most, last + way * most).otherwise(p["v"])
+        return F.struct(F.concat(acc["out"], F.array(value)).alias("out"), p["o"].alias("before"))
 
-def guarded(values: Column, most: float) -> Column:
-    """A sequence in which no value is further than `most` from the (changed) one before it: a fold, as each depends on the last result."""
-    start = F.array().cast("array<double>")
-    return F.aggregate(values, start, lambda out, v: F.concat(out, F.array(F.when(F.size(out) == 0, v).otherwise(F.greatest(F.element_at(out, -1) - most, F.least(F.element_at(out, -1) + most, v))))))
+    return F.aggregate(pairs, start, step, lambda acc: acc["out"])
 
 
 def first_fitting(fits, steps: int = 12) -> Column:

@@ -24,11 +24,21 @@ def attempted(df: DataFrame, order: list[Column], scored: Column, qualified: Col
     return rows.where((before_scored < budget) & (before_qualified < k))
 
 
-def outcome(tried: DataFrame, k: int, budget: int, groups: list[str] | None = None) -> DataFrame:
-    """Why the search stopped. Enough results come first, then the end of the candidates, then that of the budget."""
-    by = tried.groupBy(*(groups or [])).agg(F.count(F.lit(1)).alias("attempted"), F.max("running_scored").alias("scored"), F.max("running_qualified").alias("qualified"))
-    reason = F.when(F.col("qualified") >= k, "threshold_complete").when(F.col("scored") < budget, "candidate_pool_exhausted").otherwise("score_budget_exhausted")
-    return by.withColumn("reason", reason).withColumn("fallback", F.col("qualified") < k)
+def outcome(tried: DataFrame, k: int, budget: int, groups: list[str] | None = None, pool: DataFrame | None = None) -> DataFrame:
+    """Why the search stopped. Enough results come first, then the end of the candidates, then that of the budget.
+
+    pool: all candidates, of which `tried` are those that were looked at; it tells whether the last of them was the last
+    of all, whatever the budget. Without it, a search that used up its budget counts as ended by it.
+    """
+    keys = groups or []
+    by = tried.groupBy(*keys).agg(F.count(F.lit(1)).alias("attempted"), F.max("running_scored").alias("scored"), F.max("running_qualified").alias("qualified"))
+    ended = F.col("scored") < budget
+    if pool is not None:
+        sizes = pool.groupBy(*keys).agg(F.count(F.lit(1)).alias("__pool"))
+        by = by.join(sizes, keys) if keys else by.join(F.broadcast(sizes), F.lit(True))
+        ended = F.col("attempted") >= F.col("__pool")
+    reason = F.when(F.col("qualified") >= k, "threshold_complete").when(ended, "candidate_pool_exhausted").otherwise("score_budget_exhausted")
+    return by.withColumn("reason", reason).withColumn("fallback", F.col("qualified") < k).drop("__pool")
 
 
 def accept_until(df: DataFrame, order: list[Column], accept: Column, k: int, groups: list[str] | None = None) -> DataFrame:

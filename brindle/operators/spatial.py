@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import finite
+from .quantiles import quantiles, with_quantiles
 
 XYZ = ("x", "y", "z")
 
@@ -71,6 +72,11 @@ def nearest(df: DataFrame, id_col: str, k: int = 1, cell: float | None = None) -
     return done.select(F.col("id").alias(id_col), "neighbour", "distance", "rank")
 
 
+def strided(df: DataFrame, number: str, most: int) -> DataFrame:
+    """Every ceil(n / most)-th row from the first, by a column that numbers all rows from 0."""
+    return df.where(F.col(number) % max(1, -(-df.count() // most)) == 0)
+
+
 def voxels(df: DataFrame, size: float) -> DataFrame:
     """Occupied cells and how many points each holds."""
     return df.select(*cells(size)).groupBy("cx", "cy", "cz").agg(F.count(F.lit(1)).alias("points"))
@@ -105,17 +111,40 @@ def reject_counts(df: DataFrame, alpha: Column, least_alpha: float, low: list[fl
     return df.agg(F.count_if(~good).alias("nonfinite"), F.count_if(clear).alias("low_opacity"), F.count_if(good & ~clear & ~box).alias("outlier"), F.count_if((good & ~clear & box) if filtering else good).alias("effective"))
 
 
-def robust_bounds(df: DataFrame, low: float = 0.01, high: float = 0.99) -> DataFrame:
-    """Median centre, exact quantile bounds of each axis, and the radius of the ball about the centre that holds the box's corners. With no more than four points between the bounds, the box of all points."""
-    inner = df.agg(F.count(F.lit(1)).alias("n"), *[F.percentile(c, p).alias(f"q{c}_{s}") for c in XYZ for p, s in ((low, "low"), (high, "high"))], *[F.min(c).alias(f"m{c}_low") for c in XYZ], *[F.max(c).alias(f"m{c}_high") for c in XYZ], *[F.median(c).alias(f"{c}_centre") for c in XYZ])
-    box = F.lit(True)
-    for c in XYZ:
-        box = box & F.col(c).between(F.col(f"q{c}_low"), F.col(f"q{c}_high"))
-    kept = df.join(F.broadcast(inner), F.lit(True)).agg(F.count_if(box).alias("kept"))
-    one = inner.join(F.broadcast(kept), F.lit(True))
-    pick = lambda c, s: F.when(F.col("kept") < F.least(F.lit(4), F.col("n")), F.col(f"m{c}_{s}")).otherwise(F.col(f"q{c}_{s}"))
-    out = one.select("n", "kept", *[F.col(f"{c}_centre") for c in XYZ], *[pick(c, s).alias(f"{c}_{s}") for c in XYZ for s in ("low", "high")])
-    reach = [F.greatest(F.abs(F.col(f"{c}_high") - F.col(f"{c}_centre")), F.abs(F.col(f"{c}_low") - F.col(f"{c}_centre"))) for c in XYZ]
-    return out.withColumn("radius", F.greatest(F.sqrt(sum((r * r for r in reach), F.lit(0.0))), F.lit(1.1920928955078125e-07)))
-
+def robust_bounds(df: DataFrame, low: float = 0.01, high: float = 0.99, scales: tuple[Column, Column, Column] | None = None, sigmas: float = 3.0, most_scale: float = 0.99) -> DataFrame:
+    """Where a cloud of points lies, far ones aside: one row.
 
+    `n` points; `<axis>_low` and `_high`: exact quantiles, the bounds of points that count; `kept` of them lie within all
+    bounds. If that are fewer than four (or than n), the bounds are those of all points. Over the points kept:
+    `<axis>_centre`: the median; `<axis>_cap`: a quantile of the scales, which larger ones are cut to; `<axis>_min` and
+    `_max`: the low quantile of points less `sigmas` scales and the high one of points and `sigmas` scales; `radius` from
+    the centre to the farthest corner of that box. Without scales points have no extent.
+    """
+    wide = dict(zip(XYZ, scales or (F.lit(0.0),) * 3, strict=True))
+    df = df.select(*(F.col(c).cast("double").alias(c) for c in XYZ), *(v.alias(f"s{c}") for c, v in wide.items()))
+    at = {c: F.col(c) for c in XYZ}
+    first = with_quantiles(df.agg(F.count(F.lit(1)).alias("n"), *[f(c).alias(f"{s}{c}") for c in XYZ for s, f in (("least_", F.min), ("most_", F.max))]), df, [], {f"{c}_{s}": (at[c], p) for c in XYZ for s, p in (("low", low), ("high", high))}).head()
+    box = {c: (first[f"{c}_low"], first[f"{c}_high"]) for c in XYZ}
+    if not first["n"]:
+        raise ValueError("there are no points")
+    within_box = lambda: all_of([F.col(c).between(*box[c]) for c in XYZ])
+    kept = df.where(within_box()).count()
+    if kept < min(4, first["n"]):
+        box, kept = {c: (first[f"least_{c}"], first[f"most_{c}"]) for c in XYZ}, first["n"]
+    rows = df.where(within_box())
+    size = {c: F.col(f"s{c}") for c in XYZ}
+    middle = quantiles(rows, [], {f"{c}_centre": (at[c], 0.5) for c in XYZ} | {f"{c}_cap": (size[c], most_scale) for c in XYZ}).head()
+    reach = {c: sigmas * F.least(F.col(f"s{c}"), F.lit(middle[f"{c}_cap"])) for c in XYZ}
+    ends = quantiles(rows, [], {f"{c}_min": (F.col(c) - reach[c], low) for c in XYZ} | {f"{c}_max": (F.col(c) + reach[c], high) for c in XYZ})
+    fixed = {"n": first["n"], "kept": kept} | {f"{c}_{s}": box[c][i] for c in XYZ for i, s in enumerate(("low", "high"))} | {k: middle[k] for c in XYZ for k in (f"{c}_centre", f"{c}_cap")}
+    corner = [F.greatest(F.abs(F.col(f"{c}_max") - middle[f"{c}_centre"]), F.abs(F.col(f"{c}_min") - middle[f"{c}_centre"])) for c in XYZ]
+    radius = F.greatest(F.sqrt(sum((r * r for r in corner), F.lit(0.0))), F.lit(1.1920928955078125e-07))
+    return ends.select(*(F.lit(v).alias(k) for k, v in fixed.items()), *ends.columns, radius.alias("radius"))
+
+
+def all_of(conditions: list[Column]) -> Column:
+    """All of them."""
+    out = F.lit(True)
+    for c in conditions:
+        out = out & c
+    return out

@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.stats import ratio, summary12, wilson
-from ..operators import paired, ranking
+from ..functions.stats import ratio, wilson
+from ..operators import paired, quantiles, ranking
 from ..session import table
 from . import query
 
@@ -22,7 +22,7 @@ def summary_sql(x: str, digits: int = 6) -> str:
 
 @query(f"SELECT l_returnflag, {summary_sql('l_extendedprice', 4)} FROM lineitem GROUP BY l_returnflag")
 def describe12_by_group(spark, sf):
-    return rounded(table(spark, sf, "lineitem").groupBy("l_returnflag").agg(*summary12(F.col("l_extendedprice"))), 4)
+    return rounded(quantiles.summary(table(spark, sf, "lineitem"), ["l_returnflag"], F.col("l_extendedprice")), 4)
 
 
 WILSON = """round(({k} / n::DOUBLE + 3.8416 / (2 * n) - 1.96 * sqrt({k} / n::DOUBLE * (1 - {k} / n::DOUBLE) / n + 3.8416 / (4 * n::DOUBLE * n))) / (1 + 3.8416 / n), 6) AS {low},
@@ -76,14 +76,17 @@ def paired_delta_stats(spark, sf):
     return rounded(paired.delta_summary(_passes(spark, sf), mean("a"), mean("b")))
 
 
-@query("""SELECT l_linestatus, l_returnflag, count(*) AS candidates, count(*) FILTER (round(l_discount * 100) > 5) AS passes, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS seconds, round(avg(l_discount), 6) AS mean_score, round(median(l_discount), 6) AS median_score,
+@query("""SELECT l_linestatus, l_returnflag, count(*) AS candidates, count(*) FILTER (round(l_discount * 100) > 5) AS passes, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS seconds, round(avg(l_discount), 6) AS mean_score, round(median(l_discount), 6) AS median_score, round(min(l_discount), 6) AS least_score, round(max(l_discount), 6) AS most_score, round(quantile_cont(l_discount, 0.9), 6) AS p90_score,
     round(avg(l_discount) FILTER (round(l_discount * 100) > 5), 6) AS passing_score, round(count(*) FILTER (round(l_discount * 100) > 5) * 1000.0::DOUBLE / count(*), 6) AS per_thousand,
     round(count(*) FILTER (round(l_discount * 100) > 5) * 3600.0::DOUBLE / sum(l_quantity), 6) AS per_hour, round(sum(l_quantity) / nullif(count(*) FILTER (round(l_discount * 100) > 5), 0), 6) AS seconds_per_pass FROM lineitem GROUP BY 1, 2""")
 def strategy_metrics(spark, sf):
     ok = F.round(F.col("l_discount") * 100) > 5
-    by = table(spark, sf, "lineitem").groupBy("l_linestatus", "l_returnflag").agg(
-        F.count(F.lit(1)).alias("candidates"), F.count_if(ok).alias("passes"), F.sum(F.col("l_quantity").cast("long")).alias("seconds"), F.round(F.avg("l_discount"), 6).alias("mean_score"), F.round(F.median("l_discount"), 6).alias("median_score"), F.round(F.avg(F.when(ok, F.col("l_discount"))), 6).alias("passing_score")
+    rows, score = table(spark, sf, "lineitem"), F.col("l_discount")
+    by = rows.groupBy("l_linestatus", "l_returnflag").agg(
+        F.count(F.lit(1)).alias("candidates"), F.count_if(ok).alias("passes"), F.sum(F.col("l_quantity").cast("long")).alias("seconds"), F.round(F.avg(score), 6).alias("mean_score"), F.round(F.min(score), 6).alias("least_score"), F.round(F.max(score), 6).alias("most_score"), F.round(F.avg(F.when(ok, score)), 6).alias("passing_score")
     )
+    by = quantiles.with_quantiles(by, rows, ["l_linestatus", "l_returnflag"], {"median_score": (score, 0.5), "p90_score": (score, 0.9)})
+    by = by.withColumns({c: F.round(c, 6) for c in ("median_score", "p90_score")})
     extra = paired.rates(F.col("passes"), F.col("candidates"), F.col("seconds"))
     return by.select("*", *[F.round(v, 6).alias(k) for k, v in extra.items()])
 
@@ -91,7 +94,8 @@ def strategy_metrics(spark, sf):
 @query("""SELECT l_linestatus, l_returnflag, count(*) AS n, round(avg(l_quantity), 6) AS mean, round(median(l_quantity), 6) AS median, round(quantile_cont(l_quantity, 0.9), 6) AS p90 FROM lineitem GROUP BY GROUPING SETS ((l_linestatus, l_returnflag), (l_returnflag))""")
 def micro_rollup(spark, sf):
     q = F.col("l_quantity")
-    return paired.pooled(table(spark, sf, "lineitem"), "l_linestatus", "l_returnflag", F.count(F.lit(1)).alias("n"), F.round(F.avg(q), 6).alias("mean"), F.round(F.median(q), 6).alias("median"), F.round(F.percentile(q, 0.9), 6).alias("p90"))
+    rows = paired.pooled(table(spark, sf, "lineitem"), "l_linestatus", "l_returnflag", [F.count(F.lit(1)).alias("n"), F.round(F.avg(q), 6).alias("mean")], {"median": (q, 0.5), "p90": (q, 0.9)})
+    return rows.withColumns({c: F.round(c, 6) for c in ("median", "p90")})
 
 
 @query("""SELECT r.l_linestatus, round(r.q / nullif(a.q, 0), 6) AS speed_ratio FROM (SELECT l_linestatus, sum(l_quantity) AS q FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1) r JOIN (SELECT l_linestatus, sum(l_quantity) AS q FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1) a USING (l_linestatus)""")

@@ -76,9 +76,9 @@ def _tried(spark, sf):
     return selection.attempted(table(spark, sf, "events"), [F.col("event_id")], scored, scored & (F.col("value") > 60), 5, 20, ["user_id"])
 
 
-@query(f"""WITH {TRIED} SELECT user_id, count(*) AS attempted, CAST(max(rs) AS BIGINT) AS scored, CAST(max(rq) AS BIGINT) AS qualified, CASE WHEN max(rq) >= 5 THEN 'threshold_complete' WHEN max(rs) < 20 THEN 'candidate_pool_exhausted' ELSE 'score_budget_exhausted' END AS reason, max(rq) < 5 AS fallback FROM t GROUP BY 1""")
+@query(f"""WITH {TRIED}, n AS (SELECT user_id, count(*) AS pool FROM events GROUP BY 1) SELECT user_id, count(*) AS attempted, CAST(max(rs) AS BIGINT) AS scored, CAST(max(rq) AS BIGINT) AS qualified, CASE WHEN max(rq) >= 5 THEN 'threshold_complete' WHEN count(*) >= any_value(pool) THEN 'candidate_pool_exhausted' ELSE 'score_budget_exhausted' END AS reason, max(rq) < 5 AS fallback FROM t JOIN n USING (user_id) GROUP BY 1""")
 def early_stop_budget(spark, sf):
-    return selection.outcome(_tried(spark, sf), 5, 20, ["user_id"])
+    return selection.outcome(_tried(spark, sf), 5, 20, ["user_id"], table(spark, sf, "events"))
 
 
 @query(f"""WITH {TRIED} SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS rank FROM t WHERE scored QUALIFY rank <= 5""")
@@ -108,8 +108,16 @@ def bottomk_sample(spark, sf):
     return ranking.sample_k(table(spark, sf, "documents"), F.col("doc_id"), 100, seed=3).select("doc_id", "lang", "source")
 
 
-@query("""SELECT page_id, trim(regexp_replace(url, '[^A-Za-z0-9._-]+', '_', 'g'), '._') AS label, CASE WHEN url = 'https://www' THEN 'root' WHEN starts_with(url, 'https://www/') THEN 'root' || substr(url, 12) ELSE url END AS rebased, 'page_' || lpad(page_id::VARCHAR, 6, '0') AS number FROM pages""")
+@query("""SELECT page_id, trim(regexp_replace(url, '[^A-Za-z0-9._-]+', '_', 'g'), '._') AS label, CASE WHEN url = 'https://www' THEN 'root' WHEN starts_with(url, 'https://www/') THEN 'root' || substr(url, 12) ELSE url END AS rebased, 'page_' || CASE WHEN length(page_id::VARCHAR) >= 3 THEN page_id::VARCHAR ELSE lpad(page_id::VARCHAR, 3, '0') END AS number FROM pages""")
 def path_rebase(spark, sf):
     from ..functions.text import label, rebase
 
-    return table(spark, sf, "pages").select("page_id", slug(F.col("url")).alias("label"), rebase(F.col("url"), "https://www", "root").alias("rebased"), label("page_", F.col("page_id"), 6).alias("number"))
+    return table(spark, sf, "pages").select("page_id", slug(F.col("url")).alias("label"), rebase(F.col("url"), "https://www", "root").alias("rebased"), label("page_", F.col("page_id"), 3).alias("number"))
+
+
+@query("""SELECT page_id, CAST(('0x' || substr(sha256('[7, ' || to_json(url)::VARCHAR || ', "a|' || page_id || '"]'), 1, 16)) AS UBIGINT)::DECIMAL(20,0) AS seed FROM pages""")
+def derived_seeds(spark, sf):
+    """A seed for each scene and camera, from the JSON list of what names them."""
+    from ..functions.text import seed64
+
+    return table(spark, sf, "pages").select("page_id", seed64(F.lit(7), F.col("url"), F.concat(F.lit("a|"), F.col("page_id").cast("string"))).alias("seed"))

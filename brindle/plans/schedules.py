@@ -18,19 +18,20 @@ def _lenses(spark):
 
 
 @query(f"""WITH {LENS_SQL}, t AS (SELECT *, CASE WHEN n > 1 THEN local / (n - 1)::DOUBLE ELSE 0 END AS t0 FROM f), u AS (SELECT *, CASE WHEN t0 <= 0 THEN 0.0 WHEN t0 >= 1 THEN 1.0 ELSE t0 * t0 * (3 - 2 * t0) END AS t FROM t)
-    SELECT start + local AS frame_index, lens_index, round(t, 9) AS progress, round(CASE WHEN t <= 0 THEN lo WHEN t >= 1 THEN hi ELSE lo * pow(hi / lo, t) END, 9) AS zoom, round(CASE WHEN lens_index > 0 AND local < 3 THEN (local + 1) / 4.0::DOUBLE ELSE 1.0 END, 9) AS blend FROM u""")
+    SELECT start + local AS frame_index, lens_index, round(t, 9) AS progress, round(CASE WHEN t <= 0 THEN lo WHEN t >= 1 THEN hi ELSE lo + (hi - lo) * t END, 9) AS zoom, round(CASE WHEN lens_index > 0 AND local < 3 THEN local / 2.0::DOUBLE ELSE 1.0 END, 9) AS blend FROM u""")
 def zoom_schedule(spark, sf):
     rows = schedule.frames(_lenses(spark)).withColumn("t", schedule.progress(F.col("local"), F.col("frame_count"), smooth=True))
     return rows.select("frame_index", "lens_index", F.round("t", 9).alias("progress"), F.round(schedule.zoom(F.col("zoom_min"), F.col("zoom_max"), F.col("t")), 9).alias("zoom"), F.round(schedule.crossfade(F.col("local"), F.col("lens_index"), 3), 9).alias("blend"))
 
 
-@query(f"""WITH {LENS_SQL}, j AS (SELECT *, round_even(position * (n - 1), 0)::BIGINT AS jump FROM f)
-    SELECT start + local AS frame_index, jump AS jump_frame, round(greatest(0, least(1, local / (n - 1)::DOUBLE + CASE WHEN local < jump THEN 0 ELSE strength * (n - 1 - local) / greatest(n - 1 - jump, 1) END)), 9) AS progress FROM j""")
+@query(f"""WITH {LENS_SQL}, j AS (SELECT *, round_even(position * (n - 1), 0)::BIGINT AS jump FROM f), q AS (SELECT *, CASE WHEN local < jump THEN 0.0::DOUBLE ELSE least(1.0, (local - jump + 1) / least(4, n - jump)::DOUBLE) END AS progress FROM j)
+    SELECT start + local AS frame_index, jump AS jump_frame, round(progress, 9) AS progress, round(strength * 2, 9) AS jump_ev, round(strength * 2 * progress, 9) AS applied_ev, round(pow(2, strength * 2 * progress), 9) AS gain, round(0.02 * greatest(0, 1 + strength * 2 * progress * 0.5), 9) AS noise_std, progress > 0 AS applied FROM q""")
 def temporal_jump(spark, sf):
     rows = schedule.frames(_lenses(spark))
-    t = schedule.progress(F.col("local"), F.col("frame_count"))
-    moved = schedule.with_jump(t, F.col("local"), F.col("frame_count"), F.col("strength"), F.col("position"))
-    return rows.select("frame_index", schedule.jump_frame(F.col("position"), F.col("frame_count")).alias("jump_frame"), F.round(moved, 9).alias("progress"))
+    progress = schedule.jump_progress(F.col("local"), F.col("frame_count"), F.col("strength"), F.col("position"), 4)
+    state = schedule.jump_state(progress, F.col("strength"), 2.0, F.lit(0.02), 0.5)
+    numbers = {"progress": progress, **{k: v for k, v in state.items() if k != "applied"}}
+    return rows.select("frame_index", schedule.jump_frame(F.col("position"), F.col("frame_count")).alias("jump_frame"), *(F.round(v, 9).alias(k) for k, v in numbers.items()), state["applied"].alias("applied"))
 
 
 @query(f"WITH {LENS_SQL} SELECT lens_index, start AS first_frame, start + n - 1 AS last_frame, start + round_even(position * (n - 1), 0)::BIGINT AS jump_at FROM s")
@@ -67,19 +68,39 @@ def adjacent_rows(spark, sf):
     return table(spark, sf, "conversations").select("conv_id", "turn", "role", F.lag("role").over(w).alias("before"), F.lead("role").over(w).alias("after"))
 
 
-@query("""WITH RECURSIVE v AS (SELECT p_brand, p_size::DOUBLE AS x, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS i FROM part), g AS (SELECT p_brand, i, x AS y FROM v WHERE i = 1 UNION ALL SELECT v.p_brand, v.i, greatest(g.y - 5, least(g.y + 5, v.x)) FROM g JOIN v ON v.p_brand = g.p_brand AND v.i = g.i + 1)
-    SELECT p_brand, i AS place, y AS value FROM g""")
+@query("""WITH RECURSIVE v AS (SELECT p_brand, p_size::DOUBLE AS o, (p_size + p_partkey % 9)::DOUBLE AS x, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS i FROM part), w AS (SELECT *, o - lag(o) OVER (PARTITION BY p_brand ORDER BY i) AS d FROM v),
+    g AS (SELECT p_brand, i, x AS y FROM w WHERE i = 1 UNION ALL SELECT w.p_brand, w.i, CASE WHEN (w.x - g.y) * CASE WHEN d <> 0 THEN sign(d) WHEN w.x <> g.y THEN sign(w.x - g.y) ELSE 1 END < greatest(0.04, abs(d) * 0.6)
+        THEN g.y + CASE WHEN d <> 0 THEN sign(d) WHEN w.x <> g.y THEN sign(w.x - g.y) ELSE 1 END * greatest(0.04, abs(d) * 0.6) ELSE w.x END FROM g JOIN w ON w.p_brand = g.p_brand AND w.i = g.i + 1)
+    SELECT p_brand, i AS place, round(y, 6) AS value FROM g""")
 def exposure_guard_fold(spark, sf):
-    """Sizes of a brand's parts stand for exposures of neighbouring lenses."""
-    seq = F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", F.col("p_size").cast("double").alias("x")))), lambda r: r["x"])
-    by = table(spark, sf, "part").groupBy("p_brand").agg(seq.alias("v")).select("p_brand", schedule.guarded(F.col("v"), 5.0).alias("g"))
-    return by.select("p_brand", F.posexplode("g").alias("place", "value")).withColumn("place", (F.col("place") + 1).cast("long"))
+    """Sizes of a brand's parts stand for exposures of neighbouring lenses, before and after a perturbation."""
+    entry = F.struct("p_partkey", F.col("p_size").cast("double").alias("o"), (F.col("p_size") + F.col("p_partkey") % 9).cast("double").alias("x"))
+    by = table(spark, sf, "part").groupBy("p_brand").agg(F.array_sort(F.collect_list(entry)).alias("v"))
+    by = by.select("p_brand", schedule.guarded(F.transform("v", lambda r: r["o"]), F.transform("v", lambda r: r["x"])).alias("g"))
+    return by.select("p_brand", F.posexplode("g").alias("place", "value")).select("p_brand", (F.col("place") + 1).cast("long").alias("place"), F.round("value", 6).alias("value"))
 
 
-@query("""WITH c AS (SELECT vec_id, abs(embedding[1]::DOUBLE) * 2 AS r0, abs(embedding[2]::DOUBLE) * 2 AS g0, abs(embedding[3]::DOUBLE) * 2 AS b0 FROM embeddings), e AS (SELECT vec_id, ((r0 * 1.189207115002721 * 1.1 - 0.01 - 0.18) * 1.2 + 0.18) AS r, ((g0 * 1.189207115002721 - 0.01 - 0.18) * 1.2 + 0.18) AS g, ((b0 * 1.189207115002721 * 0.9 - 0.01 - 0.18) * 1.2 + 0.18) AS b FROM c),
+@query("""WITH c AS (SELECT vec_id, abs(embedding[1]::DOUBLE) * 2 AS r0, abs(embedding[2]::DOUBLE) * 2 AS g0, abs(embedding[3]::DOUBLE) * 2 AS b0 FROM embeddings), e AS (SELECT vec_id, ((r0 * 1.189207115002721 * 0.75 * 1.1 + 0.01 - 0.18) * 1.2 + 0.18) AS r, ((g0 * 1.189207115002721 * 0.75 + 0.01 - 0.18) * 1.2 + 0.18) AS g, ((b0 * 1.189207115002721 * 0.75 * 0.9 + 0.01 - 0.18) * 1.2 + 0.18) AS b FROM c),
     l AS (SELECT *, 0.2126 * r + 0.7152 * g + 0.0722 * b AS y FROM e), s AS (SELECT vec_id, y + (r - y) * 1.3 AS r, y + (g - y) * 1.3 AS g, y + (b - y) * 1.3 AS b FROM l)
-    SELECT vec_id, """ + ", ".join(f"round(greatest(0, CASE WHEN {c} > 0.8 THEN 0.8 + 0.2 * (1 - exp(-({c} - 0.8) / 0.2)) ELSE {c} END), 6) AS {c}" for c in "rgb") + " FROM s")
+    SELECT vec_id, """ + ", ".join(f"round(CASE WHEN {c} > 0.8 THEN 0.8 + 0.2 * (1 - exp(-({c} - 0.8) / 0.2)) ELSE greatest(0, {c}) END, 6) AS {c}" for c in "rgb") + " FROM s")
 def color_pipeline(spark, sf):
     rgb = tuple(F.abs(F.get("embedding", F.lit(i)).cast("double")) * 2 for i in range(3))
-    out = colour.develop(rgb, exposure=0.25, balance=(1.1, 1.0, 0.9), black=0.01, contrast=1.2, saturation=1.3)
+    out = colour.develop(rgb, exposure=0.25, balance=(1.1, 1.0, 0.9), black=0.01, contrast=1.2, saturation=1.3, gain=0.75)
     return table(spark, sf, "embeddings").select("vec_id", *[F.round(x, 6).alias(c) for x, c in zip(out, "rgb", strict=True)])
+
+
+@query("""WITH e AS (SELECT vec_id, unnest(generate_series(0, 63)) AS i, embedding FROM embeddings), v AS (SELECT vec_id, i, abs(embedding[i + 1]::DOUBLE) * 4 AS x, (i % 8) * 2.0 / 7 - 1 AS ax, floor(i / 8) * 2.0 / 7 - 1 AS ay FROM e)
+    SELECT vec_id, i::INT AS pixel, round(greatest(0, least(1, pow(greatest(0, least(1, x)), 1 / 2.2) * greatest(0, least(1, 1 - 0.3 * (ax * ax + ay * ay) / 2)) + 0.01)), 6) AS value FROM v""")
+def encoded_pixels(spark, sf):
+    """Vectors as images of 8 by 8: gamma, falloff to the corners and a constant in place of noise."""
+    pixels = table(spark, sf, "embeddings").select("vec_id", F.posexplode("embedding").alias("pixel", "v"))
+    light = colour.falloff(F.col("pixel") % 8, F.floor(F.col("pixel") / 8), 8, 8, 0.3)
+    return pixels.select("vec_id", "pixel", F.round(colour.finish(F.abs(F.col("v").cast("double")) * 4, 2.2, light, F.lit(0.01)), 6).alias("value"))
+
+
+@query(f"WITH {LENS_SQL} SELECT count(*) AS n FROM (SELECT lo + (hi - lo) * CASE WHEN n > 1 THEN local / (n - 1)::DOUBLE ELSE 0 END AS z, lag(lo + (hi - lo) * CASE WHEN n > 1 THEN local / (n - 1)::DOUBLE ELSE 0 END) OVER (ORDER BY start + local) AS b FROM f) WHERE z <= b")
+def zoom_not_rising(spark, sf):
+    """A schedule whose zoom rises throughout has no such frames."""
+    rows = schedule.frames(_lenses(spark))
+    rows = rows.withColumn("zoom", schedule.zoom(F.col("zoom_min"), F.col("zoom_max"), schedule.progress(F.col("local"), F.col("frame_count"))))
+    return schedule.not_rising(rows).agg(F.count(F.lit(1)).alias("n"))

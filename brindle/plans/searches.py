@@ -40,8 +40,15 @@ def refined_poses(spark, sf):
     return search.refine(rows, lambda r, p: ((p - 0.25) ** 2).sum(1), ["x", "y"], "vec_id", 0.1)
 
 
-@query("""WITH v AS (SELECT vec_id, list_transform(embedding[1:32], lambda x: x::DOUBLE) AS a, list_transform(embedding[33:64], lambda x: x::DOUBLE) AS b FROM embeddings), m AS (SELECT *, list_avg(a) AS ma, list_avg(b) AS mb, list_avg(list_transform(a, lambda x: x * x)) AS aa, list_avg(list_transform(b, lambda x: x * x)) AS bb, list_avg(list_transform(list_zip(a, b), lambda z: z[1] * z[2])) AS ab FROM v)
-    SELECT vec_id, round((2 * ma * mb + 0.0001) * (2 * (ab - ma * mb) + 0.0009) / ((ma * ma + mb * mb + 0.0001) * (aa - ma * ma + bb - mb * mb + 0.0009)), 6) AS ssim FROM m""")
+_K = ", ".join(f"({i - 5}, exp(-{(i - 5) ** 2} / 4.5::DOUBLE))" for i in range(11))
+
+
+@query(f"""WITH k0(o, w) AS (VALUES {_K}), k AS (SELECT o, w / (SELECT sum(w) FROM k0) AS w FROM k0), m AS (SELECT k.o, t.x, CASE WHEN abs(t.x + o) > 7 THEN 14 - abs(t.x + o) ELSE abs(t.x + o) END AS s, w FROM k, range(8) t(x)),
+    v AS (SELECT vec_id, i % 8 AS x, i // 8 AS y, abs(embedding[i + 1]::DOUBLE) AS a, abs(embedding[64 - i]::DOUBLE) AS b FROM embeddings, range(64) r(i)),
+    h AS (SELECT vec_id, m.x, v.y, sum(w * a) AS a, sum(w * b) AS b, sum(w * a * a) AS aa, sum(w * b * b) AS bb, sum(w * a * b) AS ab FROM v JOIN m ON m.s = v.x GROUP BY ALL),
+    g AS (SELECT vec_id, h.x, m.x AS y, sum(w * a) AS a, sum(w * b) AS b, sum(w * aa) AS aa, sum(w * bb) AS bb, sum(w * ab) AS ab FROM h JOIN m ON m.s = h.y GROUP BY ALL)
+    SELECT vec_id, round(greatest(-1, least(1, avg((2 * a * b + 0.0001) * (2 * (ab - a * b) + 0.0009) / ((a * a + b * b + 0.0001) * (aa - a * a + bb - b * b + 0.0009))))), 6) AS ssim FROM g GROUP BY 1""")
 def structural_similarity(spark, sf):
-    half = lambda i: F.transform(F.slice("embedding", i, 32), lambda x: x.cast("double"))
-    return table(spark, sf, "embeddings").select("vec_id", F.round(numeric.structural_similarity(half(1), half(33)), 6).alias("ssim"))
+    """Each vector as an image of 8 by 8, against itself upside down."""
+    image = F.transform("embedding", lambda x: F.abs(x.cast("double")))
+    return table(spark, sf, "embeddings").select("vec_id", F.round(numeric.structural_similarity(image, F.reverse(image), 8), 6).alias("ssim"))

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bind, colour, geometry
 from ..operators import raster, spatial
+from ..operators.quantiles import with_quantiles
 from ..session import table
 from . import query
 
@@ -19,24 +20,58 @@ def _xyz():
     return F.col("x"), F.col("y"), F.col("z")
 
 
-@query(f"""WITH {P}, q AS (SELECT count(*) AS n, {", ".join(f"median({c}) AS {c}_centre, quantile_cont({c}, 0.01) AS {c}_low, quantile_cont({c}, 0.99) AS {c}_high" for c in "xyz")} FROM p),
-    k AS (SELECT count(*) FILTER (x BETWEEN x_low AND x_high AND y BETWEEN y_low AND y_high AND z BETWEEN z_low AND z_high) AS kept FROM p, q)
-    SELECT n, kept, {", ".join(f"round({c}_centre, 6) AS {c}_centre" for c in "xyz")}, {", ".join(f"round({c}_{s}, 6) AS {c}_{s}" for c in "xyz" for s in ("low", "high"))},
-    round(sqrt({" + ".join(f"pow(greatest(abs({c}_high - {c}_centre), abs({c}_low - {c}_centre)), 2)" for c in "xyz")}), 6) AS radius FROM q, k""")
+@query(f"""WITH {P}, sized AS (SELECT p.*, {", ".join(f"exp(greatest(-30, least(30, embedding[{5 + i}]::DOUBLE * 4))) * 0.05 AS s{c}" for i, c in enumerate("xyz"))} FROM p JOIN embeddings USING (vec_id)),
+    q AS (SELECT count(*) AS n, {", ".join(f"quantile_cont({c}, 0.01) AS {c}_low, quantile_cont({c}, 0.99) AS {c}_high" for c in "xyz")} FROM sized),
+    r AS (SELECT sized.* FROM sized, q WHERE x BETWEEN x_low AND x_high AND y BETWEEN y_low AND y_high AND z BETWEEN z_low AND z_high),
+    m AS (SELECT count(*) AS kept, {", ".join(f"median({c}) AS {c}_centre, quantile_cont(s{c}, 0.9) AS {c}_cap" for c in "xyz")} FROM r),
+    e AS (SELECT {", ".join(f"quantile_cont({c} - 3 * least(s{c}, {c}_cap), 0.01) AS {c}_min, quantile_cont({c} + 3 * least(s{c}, {c}_cap), 0.99) AS {c}_max" for c in "xyz")} FROM r, m)
+    SELECT n, kept, {", ".join(f"round({c}_{s}, 6) AS {c}_{s}" for c in "xyz" for s in ("low", "high", "centre", "cap", "min", "max"))},
+    round(sqrt({" + ".join(f"pow(greatest(abs({c}_max - {c}_centre), abs({c}_min - {c}_centre)), 2)" for c in "xyz")}), 6) AS radius FROM q, m, e""")
 def robust_bounds(spark, sf):
-    df = spatial.robust_bounds(_points(spark, sf))
+    at = lambda i: F.get("embedding", F.lit(i)).cast("double")
+    rows = table(spark, sf, "embeddings").select(*(at(i).alias(c) for i, c in enumerate("xyz")), *(at(4 + i).alias(f"l{c}") for i, c in enumerate("xyz")))
+    df = spatial.robust_bounds(rows, scales=tuple(geometry.decoded_scale(F.col(f"l{c}") * 4, 0.05) for c in "xyz"), most_scale=0.9)
     return df.withColumns({c: F.round(c, 6) for c in df.columns if c not in ("n", "kept")})
 
 
+@query("""WITH o AS (SELECT label, CASE WHEN label % 2 = 0 THEN embedding[1]::DOUBLE ELSE abs(embedding[1]::DOUBLE) END AS raw FROM embeddings), s AS (SELECT label, NOT (min(raw) >= 0 AND max(raw) <= 1) AS is_logit FROM o GROUP BY 1)
+    SELECT o.label, any_value(is_logit) AS is_logit, round(avg(CASE WHEN is_logit THEN 1 / (1 + exp(-raw)) ELSE greatest(0, least(1, raw)) END), 6) AS opacity FROM o JOIN s USING (label) GROUP BY 1""")
+def opacity_storage(spark, sf):
+    """Each scene's opacities are logits unless all of them lie between 0 and 1."""
+    first = F.get("embedding", F.lit(0)).cast("double")
+    rows = table(spark, sf, "embeddings").select("label", F.when(F.col("label") % 2 == 0, first).otherwise(F.abs(first)).alias("raw"))
+    stored = rows.groupBy("label").agg(colour.is_logit(F.min("raw"), F.max("raw")).alias("is_logit"))
+    value = F.when(F.col("is_logit"), colour.opacity(F.col("raw"), True)).otherwise(colour.opacity(F.col("raw"), False))
+    return rows.join(stored, "label").groupBy("label").agg(F.first("is_logit").alias("is_logit"), F.round(F.avg(value), 6).alias("opacity"))
+
+
+@query("""WITH q AS (SELECT vec_id, list_transform(embedding[1:4], lambda x: x::DOUBLE) AS q FROM embeddings), n AS (SELECT vec_id, list_transform(q, lambda x: x / sqrt(list_sum(list_transform(q, lambda y: y * y)))) AS q FROM q)
+    SELECT vec_id, round(0.6 * q[1] - 0.8 * q[4], 6) AS w, round(0.6 * q[2] - 0.8 * q[3], 6) AS x, round(0.6 * q[3] + 0.8 * q[2], 6) AS y, round(0.6 * q[4] + 0.8 * q[1], 6) AS z FROM n""")
+def composed_rotations(spark, sf):
+    """A root rotation about z before each point's own."""
+    at = lambda i: F.get("embedding", F.lit(i)).cast("double")
+    out = geometry.composed((F.lit(0.6), F.lit(0.0), F.lit(0.0), F.lit(0.8)), tuple(at(i) for i in range(4)))
+    return table(spark, sf, "embeddings").select("vec_id", *(F.round(v, 6).alias(c) for v, c in zip(out, "wxyz", strict=True)))
+
+
+@query(f"WITH {P} SELECT vec_id, round(greatest(0.01, abs(x) * 0.5), 6) AS near, round(greatest(greatest(0.01, abs(x) * 0.5) * 10, abs(x) * 40), 6) AS far, round(greatest(abs(y) * 40, abs(z) + 2 * abs(y)), 6) AS far_global FROM p")
+def clipping_planes(spark, sf):
+    near, far = geometry.clip_planes(F.abs("x"), 0.01, 0.5, 40.0)
+    _, behind = geometry.clip_planes(F.abs("x"), 0.01, 0.5, 40.0, F.abs("y"), F.abs("z"))
+    return _points(spark, sf).select("vec_id", F.round(near, 6).alias("near"), F.round(far, 6).alias("far"), F.round(behind, 6).alias("far_global"))
+
+
 @query(f"""WITH {P} SELECT count(*) FILTER (NOT isfinite(x + y + z + a)) AS nonfinite, count(*) FILTER (abs(a) < 0.05) AS low_opacity, count(*) FILTER (abs(a) >= 0.05 AND NOT (abs(x) <= 0.2 AND abs(y) <= 0.2 AND abs(z) <= 0.2)) AS outlier, count(*) FILTER (abs(a) >= 0.05 AND abs(x) <= 0.2 AND abs(y) <= 0.2 AND abs(z) <= 0.2) AS effective FROM p""")
 def reject_breakdown(spark, sf):
     return spatial.reject_counts(_points(spark, sf), F.abs("a"), 0.05, [-0.2] * 3, [0.2] * 3, True)
 
 
-@query(f"WITH {P} SELECT count(*) AS n, round(avg(x), 6) AS mean_x, round(median(y), 6) AS median_y FROM p WHERE vec_id % 3 = 0")
+@query(f"WITH {P}, n AS (SELECT count(*) AS n FROM p) SELECT count(*) AS n, round(avg(x), 6) AS mean_x, round(median(y), 6) AS median_y FROM p, n WHERE vec_id % greatest(1, CAST(ceil(n.n / 300.0) AS BIGINT)) = 0")
 def stride_sample_stats(spark, sf):
-    """A sampling operator: every third row from the first."""
-    return _points(spark, sf).where(F.col("vec_id") % 3 == 0).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("x"), 6).alias("mean_x"), F.round(F.median("y"), 6).alias("median_y"))
+    """A sampling operator: every row at a stride that leaves 300 at most."""
+    rows = spatial.strided(_points(spark, sf), "vec_id", 300)
+    out = with_quantiles(rows.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("x"), 6).alias("mean_x")), rows, [], {"median_y": (F.col("y"), 0.5)})
+    return out.withColumn("median_y", F.round("median_y", 6))
 
 
 DIST = "sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z))"

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brindle.functions import bind, geometry, stats, text
-from brindle.operators import ledger, ranking, raster, schedule, selection, spatial
+from brindle.operators import ledger, quantiles, ranking, raster, schedule, selection, spatial
 from brindle.sources import documents, jsonl, ply, writers
 from brindle.streaming import ledger as streams
 
@@ -24,7 +24,7 @@ def test_mcnemar_and_wilson(spark):
 
 def test_summary_of_nothing_and_one(spark):
     df = spark.createDataFrame([(1, None), (2, 5.0), (3, 1.0), (3, 2.0)], "k int, x double")
-    by = {r["k"]: r for r in df.groupBy("k").agg(*stats.summary12(F.col("x"))).collect()}
+    by = {r["k"]: r for r in quantiles.summary(df, ["k"], F.col("x")).collect()}
     assert by[1]["count"] == 0 and by[1]["mean"] is None
     assert by[2]["ci_low"] is None and by[2]["p90"] == 5.0
     assert by[3]["ci_high"] - by[3]["mean"] == pytest.approx(1.96 * math.sqrt(0.5) / math.sqrt(2))
@@ -128,8 +128,131 @@ def test_rotations(spark):
 
 
 def test_schedule_helpers(spark):
-    r = one(spark, schedule.guarded(F.array(*map(F.lit, (0.0, 9.0, 9.0, -9.0))), 5.0), schedule.first_fitting(lambda s: s < 0.3), schedule.first_fitting(lambda s: s < 0))
-    assert list(r) == [[0.0, 5.0, 9.0, 4.0], 0.25, 0.0]
+    numbers = lambda *v: F.array(*map(F.lit, v))
+    r = one(spark, schedule.guarded(numbers(0.0, 1.0, 1.0, 0.5), numbers(0.0, 0.1, 0.61, 0.6)), schedule.first_fitting(lambda s: s < 0.3), schedule.first_fitting(lambda s: s < 0))
+    assert r[0] == pytest.approx([0.0, 0.6, 0.64, 0.34]) and list(r[1:]) == [0.25, 0.0]
+
+
+def test_zoom_and_crossfade_golden(spark):
+    """Even steps with exact ends; a crossfade goes from 0 to 1 and takes no frame if it is hard or one frame long."""
+    lit = lambda v: F.lit(v)
+    r = one(spark, *[schedule.zoom(lit(1.0), lit(2.0), lit(t)) for t in (0.0, 0.5, 1.0)], *[schedule.crossfade(lit(i), lit(1), 5) for i in (0, 2, 4, 5)], schedule.crossfade(lit(0), lit(0), 5), schedule.crossfade(lit(0), lit(1), 1), schedule.crossfade(lit(0), lit(1), 5, hard=True))
+    assert list(r) == [1.0, 1.5, 2.0, 0.0, 0.5, 1.0, 1.0, 1.0, 1.0, 1.0]
+    frames = spark.createDataFrame([(0, 1.0), (1, 1.5), (2, 1.5), (3, 1.4)], "frame_index int, zoom double")
+    assert [x["frame_index"] for x in schedule.not_rising(frames).orderBy("frame_index").collect()] == [2, 3]
+
+
+def test_exposure_jump_golden(spark):
+    """Nothing before the jump's frame, then a ramp over the frames of the transition or those that are left."""
+    def progress(i, n=10, strength=0.5, position=0.5, transition=4):
+        return schedule.jump_progress(F.lit(i), F.lit(n), F.lit(strength), F.lit(position), transition)
+
+    r = one(spark, *[progress(i) for i in (3, 4, 5, 7, 9)], progress(9, position=1.0), progress(9, strength=0.0), progress(4, transition=0), progress(3, transition=0))
+    assert list(r) == [0.0, 0.25, 0.5, 1.0, 1.0, 1.0, 0.0, 1.0, 0.0]
+    state = schedule.jump_state(F.lit(0.5), F.lit(-0.5), 2.0, F.lit(0.1), 0.4)
+    r = one(spark, *state.values())
+    assert r[0] == -1.0 and r[1] == -0.5 and r[2] == pytest.approx(2**-0.5) and r[3] is True and r[4] == pytest.approx(0.1 * 0.8)
+
+
+def test_development_adds_black_and_clips(spark):
+    from brindle.functions import colour
+
+    r = one(spark, *colour.develop((F.lit(0.2), F.lit(-0.5), F.lit(3.0)), black=0.1, soft=False), *colour.develop((F.lit(0.2),) * 3, gain=2.0), colour.falloff(F.lit(0), F.lit(0), 5, 5, 0.5), colour.falloff(F.lit(2), F.lit(2), 5, 5, 0.5), colour.finish(F.lit(4.0), 2.2, F.lit(0.5), F.lit(0.0)))
+    assert list(r[:3]) == pytest.approx([0.3, 0.0, 1.0]) and list(r[3:6]) == pytest.approx([0.4] * 3) and list(r[6:]) == pytest.approx([0.5, 1.0, 0.5])
+
+
+def test_names_and_seeds_golden(spark):
+    import hashlib
+
+    names = [("scene", "cam"), ('a|b"c\\d', "x\ny\x01\x1fü"), ("a", "b|c"), ("a|b", "c")]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(names)], "i int, a string, b string")
+    got = [int(r[0]) for r in df.orderBy("i").select(text.seed64(F.lit(42), F.col("a"), F.col("b"))).collect()]
+    assert got == [int.from_bytes(hashlib.sha256(json.dumps([42, a, b], ensure_ascii=False).encode()).digest()[:8], "big") for a, b in names] and len(set(got)) == 4
+    assert list(one(spark, text.label("position_", F.lit(12345), 4), text.label("position_", F.lit(7), 4))) == ["position_12345", "position_0007"]
+
+
+def test_clipping_planes_golden(spark):
+    near, far = geometry.clip_planes(F.lit(2.0), 0.01, 0.001, 4.0)
+    _, behind = geometry.clip_planes(F.lit(2.0), 0.01, 0.001, 4.0, F.lit(3.0), F.lit(10.0))
+    assert list(one(spark, near, far, behind)) == [0.01, 8.0, 16.0]
+
+
+def test_stop_at_the_last_row_with_the_last_of_the_budget(spark):
+    """Where pool and budget end on the same row, the pool's end is the reason."""
+    df = spark.createDataFrame([(i, 0.1) for i in range(3)], "i int, s double")
+    tried = selection.attempted(df, [F.col("i")], F.col("s").isNotNull(), F.col("s") > 0.65, 2, 3)
+    assert selection.outcome(tried, 2, 3, pool=df).head()["reason"] == "candidate_pool_exhausted"
+    assert selection.outcome(tried, 2, 3, pool=df.union(df)).head()["reason"] == "score_budget_exhausted"
+
+
+@pytest.mark.parametrize("ranges", [4, 256])
+def test_quantiles_against_numpy(spark, monkeypatch, ranges):
+    """Ties, nulls, NaN, empty and single groups, and a group key that is null; no task holds a percentile of raw values."""
+    monkeypatch.setattr(quantiles, "RANGES", ranges)
+    rng = np.random.default_rng(8)
+    rows = [("a", float(v), float(v % 3)) for v in rng.integers(0, 40, 500)] + [(None, float(v), None) for v in rng.normal(size=301)] + [("one", 5.0, 1.0), ("none", None, float("nan"))]
+    df = spark.createDataFrame(rows, "k string, x double, y double").repartition(3)
+    wanted = {"low": (F.col("x"), 0.0), "q": (F.col("x"), 0.37), "mid": (F.col("x"), 0.5), "high": (F.col("x"), 1.0), "other": (F.col("y"), 0.9)}
+    out = quantiles.with_quantiles(df.groupBy("k").agg(F.count("x").alias("n")), df, ["k"], wanted)
+    assert " percentile(" not in out._jdf.queryExecution().optimizedPlan().toString()
+    for r in out.collect():
+        x = [v for k, v, _ in rows if k == r["k"] and v is not None]
+        y = [v for k, _, v in rows if k == r["k"] and v is not None and v == v]
+        want = [float(np.quantile(x, p)) if x else None for p in (0, 0.37, 0.5, 1)] + [float(np.quantile(y, 0.9)) if y else None]
+        assert [r["low"], r["q"], r["mid"], r["high"], r["other"]] == [v if v is None else pytest.approx(v) for v in want], r["k"]
+
+
+def test_robust_bounds_against_numpy(spark):
+    """With scales that widen the box, and for so few points that their quantiles enclose none."""
+    rng = np.random.default_rng(3)
+    p, s = rng.normal(size=(400, 3)), np.exp(rng.normal(size=(400, 3)))
+    df = spark.createDataFrame([(*map(float, a), *map(float, b)) for a, b in zip(p, s, strict=True)], "x double, y double, z double, sx double, sy double, sz double")
+    r = spatial.robust_bounds(df, 0.05, 0.95, tuple(F.col(f"s{c}") for c in "xyz"), 2.0, 0.8).head()
+    low, high = np.quantile(p, 0.05, axis=0), np.quantile(p, 0.95, axis=0)
+    inside = ((p >= low) & (p <= high)).all(1)
+    cap = np.quantile(s[inside], 0.8, axis=0)
+    reach, centre = 2 * np.minimum(s[inside], cap), np.median(p[inside], axis=0)
+    box = np.quantile(p[inside] - reach, 0.05, axis=0), np.quantile(p[inside] + reach, 0.95, axis=0)
+    radius = np.linalg.norm(np.maximum(abs(box[0] - centre), abs(box[1] - centre)))
+    assert r["kept"] == inside.sum() and [r[f"{c}_cap"] for c in "xyz"] == pytest.approx(cap) and [r[f"{c}_min"] for c in "xyz"] == pytest.approx(box[0]) and [r[f"{c}_max"] for c in "xyz"] == pytest.approx(box[1]) and r["radius"] == pytest.approx(radius)
+    few = spark.createDataFrame([(0.0, 2.0, 4.0), (1.0, 0.0, 2.0), (2.0, 1.0, 0.0)], "x double, y double, z double")
+    r = spatial.robust_bounds(few).head()
+    assert (r["kept"], r["x_low"], r["x_high"], r["z_high"]) == (3, 0.0, 2.0, 4.0)
+
+
+def test_structural_loss_of_images():
+    from brindle.functions import numeric
+
+    rng = np.random.default_rng(1)
+    image = rng.random((24, 32, 3))
+    features = numeric.structural_features(image)
+    same = numeric.structural_loss(image, features, 1.0, 1.0, 1.0)
+    brighter = numeric.structural_loss(np.clip(image * 0.6 + 0.1, 0, 1), features, 1.0, 1.0, 1.0)
+    other = numeric.structural_loss(rng.random((24, 32, 3)), features, 0.2, 0.3, 0.5)
+    assert same["weighted_total"] == pytest.approx(0, abs=1e-9) and brighter["weighted_total"] < 0.05 < 0.3 < other["one_minus_ssim"]
+    assert other["weighted_total"] == pytest.approx(0.2 * other["grayscale"] + 0.3 * other["gradient"] + 0.5 * other["one_minus_ssim"])
+    flat = np.full((20, 20), 0.5)
+    assert numeric.ssim(flat, flat) == pytest.approx(1) and np.allclose(numeric.blurred(flat, 1.5, 11), 0.5)
+
+
+def test_bars_and_middle_parts():
+    """Dark and bright bars go, a quarter from each side at most; even grey stays."""
+    from brindle.functions import numeric
+
+    image = np.random.default_rng(0).uniform(50, 200, (40, 60))
+    barred = image.copy()
+    barred[:5], barred[-3:], barred[:, :30] = 2, 2, 3
+    assert numeric.trimmed(barred)[1] == (15, 5, 45, 32) and numeric.trimmed(image)[1] == (0, 0, 60, 40)
+    image[:5] = 128
+    assert numeric.trimmed(image)[1] == (0, 0, 60, 40)
+    assert numeric.centre_cut(200, 100, 1, 1) == (50, 0, 100, 100) and numeric.centre_cut(100, 200, 2, 1) == (0, 75, 100, 50) and numeric.centre_cut(4, 2, 2, 1) == (0, 0, 4, 2)
+
+
+def test_composed_rotation(spark):
+    a, b = ([0.9, 0.1, -0.3, 0.2], [0.2, -0.5, 0.1, 0.8])
+    turn = lambda q: np.array([[1 - 2 * (y * y + z * z), 2 * (x * y - w * z), 2 * (x * z + w * y)] for w, x, y, z in [np.array(q) / np.linalg.norm(q)]] + [[2 * (x * y + w * z), 1 - 2 * (x * x + z * z), 2 * (y * z - w * x)] for w, x, y, z in [np.array(q) / np.linalg.norm(q)]] + [[2 * (x * z - w * y), 2 * (y * z + w * x), 1 - 2 * (x * x + y * y)] for w, x, y, z in [np.array(q) / np.linalg.norm(q)]])
+    r = one(spark, *geometry.composed(tuple(map(F.lit, a)), tuple(map(F.lit, b))))
+    assert np.allclose(turn(list(r)), turn(a) @ turn(b)) and np.linalg.norm(list(r)) == pytest.approx(1)
 
 
 ENTRY = "status string, candidate_index long, score double"
@@ -231,6 +354,3 @@ def test_searches(spark):
     assert np.allclose(r @ r.T, np.eye(3)) and np.linalg.det(r) == pytest.approx(1)
     x = np.array([0.0, 1, 2.5, 4])
     assert np.allclose(numeric.natural_spline(x, x**2, x), x**2) and np.allclose(numeric.natural_spline(x, 3 * x, np.array([0.3, 3.9])), [0.9, 11.7])
-    image = np.zeros((5, 6))
-    image[1:3, 2:5] = [[1, 2, 3], [4, 5, 6]]
-    assert numeric.trimmed(image).shape == (2, 3)

@@ -50,3 +50,12 @@ def test_nothing_else_imports_the_optional_subpackage():
     for path in root.rglob("*.py"):
         if path.parent.name != "llm":
             assert "llm" not in path.read_text(), path
+
+
+@pytest.mark.parametrize("missing", ["zstandard", "corpus_pipeline"])
+def test_other_queries_stay_where_an_optional_part_cannot_be_imported(missing):
+    import subprocess
+    import sys
+
+    code = f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; n = e.queries(); assert 'paired_outcome' in n and 'pipeline' not in n and e.oracle_sql(), n"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=str(__import__("pathlib").Path(entry.__file__).parent))
