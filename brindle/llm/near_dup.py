@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .graph import SALTS, components
-from .shared import claim, cut, holds, join_spread, map_rows, pieces, text_or_empty
+from .shared import claim, cut, heavy_keys, holds, join_spread, map_rows, pieces, text_or_empty
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 16, 4
@@ -37,7 +37,7 @@ CELLS = 1 << CELL_BITS
 LEAST_WEIGHT = 0.75
 
 #: Texts of an open band that meet all its others in the first round; four times as many in each next one.
-PIVOTS = 8
+PIVOTS = 32
 
 _BLOCK = 1 << 14
 _FAN = 64
@@ -354,7 +354,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
             ok = [similarity(cell(x), cell(y), w) >= threshold for x, y in zip(batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist(), strict=True)]
             return [*batch.columns[: len(names)], pa.array(ok, pa.bool_())]
 
-        of = lambda x: pairs.groupBy(x).agg(F.count(F.lit(1)).alias("n"))
+        ends = pairs.select(F.explode(F.array(F.struct(F.lit("a").alias("end"), F.col("a").alias("id")), F.struct(F.lit("b").alias("end"), F.col("b").alias("id")))).alias("e")).groupBy("e.end", "e.id").agg(F.count(F.lit(1)).alias("n"))
+        heavy = heavy_keys(ends, pairs.count())
+        of = lambda end: [(x, parts) for e, x, parts in heavy if e == end]
         with_a = join_spread(pairs, sets.select(F.col("id").alias("a"), F.col("elements").alias("x")), "a", of("a"))
         with_b = join_spread(with_a, sets.select(F.col("id").alias("b"), F.col("elements").alias("y")), "b", of("b")).select(*names, "x", "y")
         return map_rows(with_b, similar, "".join(f"{x} long, " for x in names) + "ok boolean", [*names, "ok"], owner="near_dup")
@@ -363,28 +365,29 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     links = tested.where("ok").select("a", "b")
 
     keyed = named.select("id", text_key("text").alias("key"))
-    copies = texts.select("key", F.col("copies").alias("n"))
+    heavy = heavy_keys(texts.select("key", F.col("copies").alias("n")), n)
     ties = links
-    shared = cut(keyed.where("id IS NOT NULL").groupBy("id").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high").select("id"))
+    shared = keyed.where("id IS NOT NULL").groupBy("id").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high").select("id")
     if shared.limit(1).count():
-        several = join_spread(keyed.join(shared, "id", "left_semi"), texts.select("key", "node"), "key", copies).where("id <> node")
+        several = join_spread(keyed.join(shared, "id", "left_semi"), texts.select("key", "node"), "key", heavy).where("id <> node")
         ties = ties.union(several.select(F.col("node").alias("b"), F.col("id").alias("a")))
     labels = components(ties)
     if (more := _rest(texts, banded, tested, labels, sets, verify)) is not None:
         labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     named_texts = texts.select("key", F.col("node").alias("copy_of")).join(labels, F.col("copy_of") == F.col("node"), "left").select("key", "copy_of", F.coalesce("component", "copy_of").alias("class_id"))
-    return join_spread(keyed, named_texts, "key", copies).select(F.col("id").alias(id_col), "copy_of", "class_id")
+    return join_spread(keyed, named_texts, "key", heavy).select(F.col("id").alias(id_col), "copy_of", "class_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of `docs` without near duplicates: of each class the document with the least id stays, with all its columns. Of rows that repeat an id, one stays. Rows with a null id stay, unless another row has their text."""
     found = cut(classes(docs, id_col, text_col, threshold))
+    most, nulls = found.groupBy(id_col).count().agg(F.max(F.when(F.col(id_col).isNotNull(), F.col("count"))), F.count_if(F.col(id_col).isNull())).head()
     gone = found.where(f"`{id_col}` <> class_id").select(F.col(id_col)).distinct()
     rows = docs.join(gone, id_col, "left_anti")
-    if found.where(f"`{id_col}` IS NULL").limit(1).count():
+    if nulls:
         copied = rows.where(F.col(id_col).isNotNull()).select(text_key(text_col).alias("__key")).distinct()
         lone = docs.where(F.col(id_col).isNull()).withColumn("__key", text_key(text_col)).join(copied, "__key", "left_anti").dropDuplicates(["__key"]).select(*docs.columns)
         rows = rows.where(F.col(id_col).isNotNull()).unionByName(lone)
-    if found.where(f"`{id_col}` IS NOT NULL").groupBy(id_col).count().where("count > 1").limit(1).count():
+    if (most or 0) > 1:
         rows = rows.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(rows.where(F.col(id_col).isNull()))
     return rows

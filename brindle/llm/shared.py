@@ -33,26 +33,27 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-#: No more than so many keys are ever heavy, as one has more than this part of all rows; their list is what `join_spread` broadcasts.
+#: No more than so many keys are ever heavy, as one has more than this part of all rows.
 MOST_HEAVY = 1 << 16
 LIGHT = 256
 
 
-def join_spread(rows: DataFrame, one: DataFrame, key: str, counts: DataFrame) -> DataFrame:
-    """Joins `rows`, of which a key may have any number, with `one`, where it has one row at most, on their column `key`.
-
-    counts: `key` and `n`, the rows of each key. A key of more than LIGHT rows and more than a 65,536th of all rows is
-    heavy: its rows are spread over tasks by their hash, so that about as many as the limit meet a copy of its row in
-    each. Keys that are null match nothing.
-    """
-    total = counts.agg(F.sum("n")).head()[0] or 0
+def heavy_keys(counts: DataFrame, total: int) -> list[tuple]:
+    """Of counts (key columns, then `n`) of `total` rows in all: the keys of more than LIGHT rows and more than a 65,536th of all, each with the number of parts, of about as many rows as the limit, to spread it over. So the driver gets MOST_HEAVY rows at the very most."""
     limit = max(LIGHT, -(-total // MOST_HEAVY))
-    heavy = cut(counts.where((F.col("n") > limit) & F.col(key).isNotNull()).select(key, F.ceil(F.col("n") / limit).cast("int").alias("__parts")))
-    if not heavy.limit(1).count():
+    keys = [c for c in counts.columns if c != "n"]
+    found = counts.where((F.col("n") > limit) & F.col(keys[-1]).isNotNull()).collect() if total > limit else []
+    return [(*(r[c] for c in keys), -(-r["n"] // limit)) for r in found]
+
+
+def join_spread(rows: DataFrame, one: DataFrame, key: str, heavy: list[tuple]) -> DataFrame:
+    """Joins `rows`, of which a key may have any number, with `one`, where it has one row at most, on their column `key`. The rows of heavy keys (key, parts) are spread over tasks by their hash, and meet a copy of its row in each part. Keys that are null match nothing."""
+    if not heavy:
         return rows.join(one, key)
+    listed = F.broadcast(rows.sparkSession.createDataFrame(heavy, f"`{key}` {dict(rows.dtypes)[key]}, __parts int"))
     parts = F.coalesce("__parts", F.lit(1))
-    spread = rows.join(F.broadcast(heavy), key, "left").withColumn("__part", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), parts).cast("int")).drop("__parts")
-    copied = one.join(F.broadcast(heavy), key, "left").withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__parts")
+    spread = rows.join(listed, key, "left").withColumn("__part", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), parts).cast("int")).drop("__parts")
+    copied = one.join(listed, key, "left").withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__parts")
     return spread.join(copied, [key, "__part"]).drop("__part")
 
 
