@@ -54,9 +54,10 @@ def violation_counts(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return counts.unpivot([], list(rules), "rule", "broken") if rules else counts
 
 
-def agree(a: DataFrame, b: DataFrame, on: list[str], compare: list[str], tolerance: float = 0.0) -> DataFrame:
-    """A row for each key and column in which two tables differ; keys of one table alone differ in all. Nulls are equal to nulls."""
-    differs = lambda c: ~F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}")) & ~F.coalesce(F.abs(F.col(f"a_{c}") - F.col(f"b_{c}")) <= tolerance, F.lit(False))
+def agree(a: DataFrame, b: DataFrame, on: list[str], compare: list[str], tolerance: float | None = 0.0) -> DataFrame:
+    """A row for each key and column in which two tables differ; keys of one table alone differ in all. Nulls are equal to nulls. Without a tolerance, columns may be of any type."""
+    near = lambda c: F.lit(False) if tolerance is None else F.coalesce(F.abs(F.col(f"a_{c}") - F.col(f"b_{c}")) <= tolerance, F.lit(False))
+    differs = lambda c: ~F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}")) & ~near(c)
     both = a.select(*on, *[F.col(c).alias(f"a_{c}") for c in compare]).join(b.select(*on, *[F.col(c).alias(f"b_{c}") for c in compare]), on, "full_outer")
     broken = F.filter(F.array(*[F.when(differs(c), F.lit(c)) for c in compare]), lambda x: x.isNotNull())
     return both.select(*on, F.explode(broken).alias("column"))

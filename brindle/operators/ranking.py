@@ -64,3 +64,14 @@ def gap_to_next(df: DataFrame, groups: list[str], loss: str, tie: str, margin: f
 def sample_k(df: DataFrame, key: Column, k: int, seed: int = 0) -> DataFrame:
     """k rows without replacement: those with the least hash of seed and key. Samples of parts merge to the sample of the whole."""
     return df.orderBy(F.xxhash64(F.lit(seed), key), key).limit(k)
+
+
+def coarse_to_fine(df: DataFrame, groups: list[str], loss: Column, refined: Column, tie: str, k: int) -> DataFrame:
+    """The k rows of each group with the least loss, with a better measure `refined` that is only taken of these, and their `place` by it."""
+    best = best_per_group(df, groups, [loss, F.col(tie)], k).withColumn("refined", refined)
+    return best.withColumn("place", F.row_number().over(Window.partitionBy(*groups).orderBy("refined", tie)).cast("long"))
+
+
+def ambiguous(gap: Column, best_loss: Column, margin: float, least_similarity: float) -> Column:
+    """Is a best row not clearly the best: the next one is within the margin, or it isn't similar enough itself?"""
+    return F.coalesce(gap <= margin, F.lit(False)) | (1 / (1 + best_loss) < least_similarity)

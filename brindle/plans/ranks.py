@@ -60,10 +60,11 @@ def lexicographic_argmax(spark, sf):
     return best.select("l_suppkey", "r.*")
 
 
-@query("""SELECT p_brand, p_partkey, p_retailprice, s AS second, round(s - p_retailprice, 6) AS gap, coalesce(s - p_retailprice <= 0.5, false) AS ambiguous FROM (SELECT *, lead(p_retailprice) OVER w AS s, row_number() OVER w AS n FROM part WINDOW w AS (PARTITION BY p_brand ORDER BY p_retailprice, p_partkey)) WHERE n = 1""")
+@query("""SELECT p_brand, p_partkey, p_retailprice, s AS second, round(s - p_retailprice, 6) AS gap, coalesce(s - p_retailprice <= 0.5, false) OR 1 / (1 + p_retailprice / 1000) < 0.5 AS ambiguous FROM (SELECT *, lead(p_retailprice) OVER w AS s, row_number() OVER w AS n FROM part WINDOW w AS (PARTITION BY p_brand ORDER BY p_retailprice, p_partkey)) WHERE n = 1""")
 def ambiguity_gap(spark, sf):
     rows = table(spark, sf, "part").select("p_brand", "p_partkey", "p_retailprice")
-    return ranking.gap_to_next(rows, ["p_brand"], "p_retailprice", "p_partkey", 0.5).withColumn("gap", F.round("gap", 6))
+    found = ranking.gap_to_next(rows, ["p_brand"], "p_retailprice", "p_partkey", 0.5)
+    return found.withColumn("ambiguous", ranking.ambiguous(F.col("gap"), F.col("p_retailprice") / 1000, 0.5, 0.5)).withColumn("gap", F.round("gap", 6))
 
 
 EVENTS = "SELECT *, event_type <> 'error' AS scored, event_type <> 'error' AND value > 60 AS good FROM events"
