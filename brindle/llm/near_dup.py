@@ -9,8 +9,8 @@
    band. Pairs grow in proportion to the texts, however large a band is.
 4. Pairs are verified by their exact weighted Jaccard similarity, and connected components of those that pass are the
    classes. Copies of a text go through all this once.
-5. A band whose texts aren't in one class by then is open. In rounds, more and more of its texts are paired with all the
-   others of other classes, until every two texts that share a band are verified or in one class.
+5. A band whose texts aren't in one class by then is open. Small ones are gone through pair by pair; in large ones the
+   texts with the most links meet all others, in rounds, as long as that links anything.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import SALTS, components
@@ -36,8 +36,8 @@ CELLS = 1 << CELL_BITS
 #: A shingle's weight lies between LEAST_WEIGHT (in every document) and 1 (in almost none). Were frequent ones worth next to nothing, a large group of copies would look less alike than a small one with the same edits.
 LEAST_WEIGHT = 0.75
 
-#: Texts of an open band that meet all its others in the first round; four times as many in each next one.
-PIVOTS = 32
+#: Of an open band of up to SMALL texts all meet all others; of a larger one PIVOTS in each round.
+SMALL, PIVOTS = 24, 4
 
 _BLOCK = 1 << 14
 _FAN = 64
@@ -267,10 +267,10 @@ def _salted(df: DataFrame) -> DataFrame:
 def _rest(texts: DataFrame, banded: DataFrame, tested: DataFrame, labels: DataFrame, sets: DataFrame, verify: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame | None:
     """Links (a, b) between classes that `tested` pairs (a, b, ok) with their classes `labels` have left out; None if there are none.
 
-    Only bands that hold a pair which failed and whose texts are in two classes can be open. In each round about `quota`
-    texts of an open band, and the one with the most links, are its pivots: they meet all others of other classes, and
-    then leave the band. Pairs that have been verified aren't verified again. A band of n texts takes a number of rounds
-    that grows with the logarithm of n, and at most all its pairs.
+    Only bands that hold a pair which failed and whose texts are in two classes can be open. In each round the pivots of
+    an open band meet all its texts of other classes, and then leave it: all texts of a band of SMALL texts at most, and
+    of a larger one the PIVOTS with the most links, since what ties texts that aren't like each other is a text that many
+    are like. Rounds go on as long as they link anything, so their work is in proportion to the texts of open bands.
     """
     where = lambda df, node, to: df.join(labels.select(F.col("node").alias(node), F.col("component").alias(to)), node, "left").withColumn(to, F.coalesce(to, node))
     failed = cut(where(where(tested.where("NOT ok").select("a", "b"), "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b").distinct())
@@ -283,12 +283,12 @@ def _rest(texts: DataFrame, banded: DataFrame, tested: DataFrame, labels: DataFr
     members = where(banded.join(bands, "band", "left_semi").distinct(), "node", "class").join(links, "node", "left").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
     members = cut(members.select("band", "node", "class", F.coalesce("links", F.lit(0)).alias("links"), "salt"))
     sets = cut(sets.join(members.select(F.col("node").alias("id")).distinct(), "id", "left_semi"))
-    found, quota = None, PIVOTS
+    found = None
     while True:
-        state = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("low"), F.max("class").alias("high"), F.max(F.struct("links", "node")).alias("most"))
-        state = state.where("low <> high").select("band", "n", F.col("most.node").alias("most"))
-        drawn = F.pmod(F.xxhash64("node", "band"), F.lit(1 << 30)) * F.col("n") < F.lit(quota << 30)
-        members = cut(members.join(_salted(state), ["band", "salt"]).select("band", "node", "class", "links", "salt", ((F.col("node") == F.col("most")) | drawn).alias("pivot")))
+        state = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("band", "n")
+        most = Window.partitionBy("band").orderBy(F.desc("links"), F.xxhash64("node", "band"))
+        best = members.withColumn("nth", F.row_number().over(most)).where(F.col("nth") <= PIVOTS).groupBy("band").agg(F.collect_list("node").alias("best"))  # PIVOTS rows of each band leave a task
+        members = cut(members.join(_salted(state.join(best, "band")), ["band", "salt"]).select("band", "node", "class", "links", "salt", ((F.col("n") <= SMALL) | F.array_contains("best", F.col("node"))).alias("pivot")))
         if not members.limit(1).count():
             return found
         pivots = _salted(members.where("pivot").select("band", F.col("node").alias("p"), F.col("class").alias("cp")))
@@ -296,13 +296,13 @@ def _rest(texts: DataFrame, banded: DataFrame, tested: DataFrame, labels: DataFr
         met = met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"), F.least("cp", "cq").alias("ca"), F.greatest("cp", "cq").alias("cb")).distinct()
         tested = cut(verify(met.join(failed, ["a", "b"], "left_anti"), sets))
         new = tested.where("ok").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
+        if not new.limit(1).count():
+            return found
         failed = failed.union(tested.where("NOT ok").select("a", "b"))
         members = members.where("NOT pivot").drop("pivot")
-        if new.limit(1).count():
-            found = new if found is None else found.union(new)
-            to = _salted(components(new).select(F.col("node").alias("class"), "component"))
-            members = members.join(to, ["class", "salt"], "left").withColumn("class", F.coalesce("component", "class")).drop("component")
-        quota *= 4
+        found = new if found is None else found.union(new)
+        to = _salted(components(new).select(F.col("node").alias("class"), "component"))
+        members = members.join(to, ["class", "salt"], "left").withColumn("class", F.coalesce("component", "class")).drop("component")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
