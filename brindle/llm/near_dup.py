@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import SALTS, components
-from .shared import claim, cut, heavy_keys, holds, join_spread, map_rows, pieces, text_or_empty
+from .shared import claim, cut, discard, heavy_keys, holds, join_spread, map_rows, pieces, text_or_empty, written
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 16, 4
@@ -273,7 +273,7 @@ def _rest(texts: DataFrame, banded: DataFrame, tested: DataFrame, labels: DataFr
     are like. Rounds go on as long as they link anything, so their work is in proportion to the texts of open bands.
     """
     where = lambda df, node, to: df.join(labels.select(F.col("node").alias(node), F.col("component").alias(to)), node, "left").withColumn(to, F.coalesce(to, node))
-    failed = cut(where(where(tested.where("NOT ok").select("a", "b"), "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b").distinct())
+    failed = written(where(where(tested.where("NOT ok").select("a", "b"), "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b").distinct())
     if not failed.limit(1).count():
         return None
     of = lambda x: texts.where("node IS NOT NULL").select(F.col("node").alias(x), F.col("bands").alias(f"{x}_bands"))
@@ -281,28 +281,29 @@ def _rest(texts: DataFrame, banded: DataFrame, tested: DataFrame, labels: DataFr
     ok = tested.where("ok")
     links = ok.select(F.col("a").alias("node")).union(ok.select(F.col("b").alias("node"))).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
     members = where(banded.join(bands, "band", "left_semi").distinct(), "node", "class").join(links, "node", "left").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
-    members = cut(members.select("band", "node", "class", F.coalesce("links", F.lit(0)).alias("links"), "salt"))
+    members = written(members.select("band", "node", "class", F.coalesce("links", F.lit(0)).alias("links"), "salt"))
     sets = cut(sets.join(members.select(F.col("node").alias("id")).distinct(), "id", "left_semi"))
     found = None
     while True:
         state = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("band", "n")
         most = Window.partitionBy("band").orderBy(F.desc("links"), F.xxhash64("node", "band"))
         best = members.withColumn("nth", F.row_number().over(most)).where(F.col("nth") <= PIVOTS).groupBy("band").agg(F.collect_list("node").alias("best"))  # PIVOTS rows of each band leave a task
-        members = cut(members.join(_salted(state.join(best, "band")), ["band", "salt"]).select("band", "node", "class", "links", "salt", ((F.col("n") <= SMALL) | F.array_contains("best", F.col("node"))).alias("pivot")))
+        last, members = members, written(members.join(_salted(state.join(best, "band")), ["band", "salt"]).select("band", "node", "class", "links", "salt", ((F.col("n") <= SMALL) | F.array_contains("best", F.col("node"))).alias("pivot")))
+        discard(last)
         if not members.limit(1).count():
             return found
         pivots = _salted(members.where("pivot").select("band", F.col("node").alias("p"), F.col("class").alias("cp")))
         met = pivots.join(members.select("band", "salt", F.col("node").alias("q"), F.col("class").alias("cq"), "pivot"), ["band", "salt"]).where("cp <> cq AND (NOT pivot OR p < q)")
         met = met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"), F.least("cp", "cq").alias("ca"), F.greatest("cp", "cq").alias("cb")).distinct()
-        tested = cut(verify(met.join(failed, ["a", "b"], "left_anti"), sets))
+        tested = written(verify(met.join(failed, ["a", "b"], "left_anti"), sets))
         new = tested.where("ok").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
         if not new.limit(1).count():
             return found
-        failed = failed.union(tested.where("NOT ok").select("a", "b"))
+        failed = written(failed.union(tested.where("NOT ok").select("a", "b")))
         members = members.where("NOT pivot").drop("pivot")
         found = new if found is None else found.union(new)
         to = _salted(components(new).select(F.col("node").alias("class"), "component"))
-        members = members.join(to, ["class", "salt"], "left").withColumn("class", F.coalesce("component", "class")).drop("component")
+        members = written(members.join(to, ["class", "salt"], "left").withColumn("class", F.coalesce("component", "class")).drop("component"))
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -335,7 +336,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     found = cut(banded.repartitionByRange(partitions, "band", "node").sortWithinPartitions("band", "node").mapInArrow(_pairs, "a long, b long, band long"))
     heads = found.where("b IS NULL").select("band", "a")  # two for each task
     bridges = heads.join(heads.groupBy("band").agg(F.min("a").alias("m")), "band").where("a <> m").select(F.col("m").alias("a"), F.col("a").alias("b"))
-    pairs = cut(found.where("b IS NOT NULL").select("a", "b").union(bridges).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    pairs = written(found.where("b IS NOT NULL").select("a", "b").union(bridges).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
     def to_elements(batch: pa.RecordBatch) -> list[pa.Array]:
         return [batch.column(0), pa.array([elements(x).tobytes() for x in batch.column(1).to_pylist()], pa.binary())]
@@ -361,7 +362,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
         with_b = join_spread(with_a, sets.select(F.col("id").alias("b"), F.col("elements").alias("y")), "b", of("b")).select(*names, "x", "y")
         return map_rows(with_b, similar, "".join(f"{x} long, " for x in names) + "ok boolean", [*names, "ok"], owner="near_dup")
 
-    tested = cut(verify(pairs, sets))
+    tested = written(verify(pairs, sets))
     links = tested.where("ok").select("a", "b")
 
     keyed = named.select("id", text_key("text").alias("key"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 from itertools import islice
 
@@ -33,6 +34,23 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """As `cut`, by a table in the shared folder, for what is cut again and again in a loop. A checkpoint remembers the estimated size of what it was made of, and that of a join is the product of its sides'; over some rounds these numbers grow until planning takes minutes and the driver's memory. A table's size is that of its files. Partitions aren't kept."""
+    folder = f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    out = df.sparkSession.read.schema(df.schema).parquet(folder)
+    out._folder = folder
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the table of a `written` frame that nothing needs any more."""
+    if folder := getattr(df, "_folder", None):
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 #: No more than so many keys are ever heavy, as one has more than this part of all rows.
 MOST_HEAVY = 1 << 16
 LIGHT = 256
