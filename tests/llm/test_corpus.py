@@ -287,3 +287,43 @@ def test_pipeline_stages(spark):
     labels = near_dup.classes(folder["near_dup"])
     assert labels.where("doc_id <> class_id").count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).select("doc_id").distinct().count() == sizes[3]
+
+
+def test_pipeline_stages_of_odd_rows(spark, odd, none):
+    """Nulls, empty, long and repeated texts, a null id, and columns named like results: every stage but the last returns some of the rows, whole."""
+    before = [tuple(r) for r in odd.collect()]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, odd, SMALL)
+        assert kept.columns == odd.columns, name
+        rows = [tuple(r) for r in kept.collect()]
+        assert set(rows) <= set(before) and len(rows) <= len(before), name
+        assert stage(spark, none, SMALL).count() == 0, name
+    pieces = corpus_pipeline.pack(spark, odd, SMALL).collect()
+    assert sum(1 for r in pieces if r["start"] == 0) == len(before) and corpus_pipeline.pack(spark, none, SMALL).count() == 0
+
+
+def test_language_stage_rejects_what_is_in_no_language(spark):
+    rows = [(i, f"{w} " * 20, "en" if i % 2 else "de", "s") for i, w in enumerate(["the house and the garden", "das haus und der garten"] * 30)]
+    odd = [(100, None, None, "s"), (101, "123 456 !!", "en", "s"), (102, "zxqv kjwz qqxz " * 9, None, "s")]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string, source string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.identify_language(spark, docs, SMALL).collect()) == list(range(60))
+
+
+def test_pipeline_against_its_parts(spark):
+    """The documents of the last stage are those that every operator, applied by hand and by brute force, keeps."""
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    model = language_id.fit(docs, corpus_pipeline.id_class(4) != 2)
+    first = {r["doc_id"] for r in language_id.identify(docs, model).collect() if r["lang_pred"] != "und" and r["known"] >= corpus_pipeline.LEAST_KNOWN}
+    scorer = toxicity.fit(docs.where(F.col("doc_id").isin(sorted(first))), spark.read.parquet(f"{folder}/labels.parquet"), corpus_pipeline.id_class(5) != 0)
+    second = sorted(d for d in first if toxicity.score(scorer, texts[d]) < 0.5)
+    classes = brute_classes([(d, texts[d]) for d in second])
+    third = {d for d in second if classes[d] == d}
+    rows = corpus_pipeline.run(spark, folder).collect()
+    assert {r["doc_id"] for r in rows} == third and 0 < len(third) < len(second) <= len(first) <= len(texts)
+    whole = {}
+    for r in rows:
+        whole[r["doc_id"]] = whole.get(r["doc_id"], 0) + r["length"]
+        assert r["length"] * 4 == len(r["ids"])
+    assert all(whole[r["doc_id"]] == r["doc_tokens"] for r in rows)
