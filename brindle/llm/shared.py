@@ -19,11 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir, which all executors share. Only where the setting is unset, as in tests on one machine, one is made here."""
+    """The folder that the cluster names in spark.checkpoint.dir, which all executors share. Only where the setting is unset on one machine, as in tests, one is made here; a cluster without it is an error."""
     context = spark.sparkContext
     if named := context.getConf().get("spark.checkpoint.dir"):
         return named
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="brindle-checkpoint-"))
     return context.getCheckpointDir()
 
@@ -46,9 +48,12 @@ def written(df: DataFrame) -> DataFrame:
 def discard(df: DataFrame) -> None:
     """Deletes the table of a `written` frame that nothing needs any more."""
     if folder := getattr(df, "_folder", None):
-        spark = df.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(df.sparkSession, folder)
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 #: No more than so many keys are ever heavy, as one has more than this part of all rows.
