@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from brindle.llm import language_id, near_dup, packing, toxicity
 from brindle.llm.queries import id_class, vocabulary
-from brindle.llm.shared import shared_folder, table
+from brindle.llm.shared import delete, shared_folder, table
 
 #: The least share of a document's trigrams that some language has to know.
 LEAST_KNOWN = 0.5
@@ -75,9 +75,12 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`. What a stage returns is written to the shared folder and read from there."""
-    docs, folder = table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    """All stages over `documents`. What a stage returns is written to the shared folder and read from there; what no later stage reads is deleted."""
+    docs, folder, last = table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}", None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if last:
+            delete(spark, f"{folder}/{last}")
+        last = name
     return STAGES[-1][1](spark, docs, sf_dir)
