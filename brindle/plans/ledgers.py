@@ -1,6 +1,7 @@
 """Ledgers, contracts and streams."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -108,35 +109,37 @@ def _stream(spark, sf):
     return streams.tail(spark, sf, table(spark, sf, "events").schema, glob="events.parquet")
 
 
-def _checkpoint(spark):
-    """In the folder the cluster shares; one of this machine only where the setting is unset."""
+def _folder(spark):
+    """In the folder that the cluster shares; one of this machine only where all runs on one machine."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    import uuid
-
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
     return f"{named}/stream-{uuid.uuid4().hex}" if named else tempfile.mkdtemp(prefix="brindle-stream-")
 
 
 @query("SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1")
 def streaming_ledger_rollup(spark, sf):
-    import uuid
-
     rolled = streams.roll_up(_stream(spark, sf), ["event_type"], ["event_id"], n=F.count(F.lit(1)), total=F.round(F.sum("value"), 4))
-    return streams.drain(rolled, f"rollup_{uuid.uuid4().hex}", _checkpoint(spark))
+    return streams.drain(rolled, _folder(spark))
 
 
 @query("SELECT event_type, row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id)::INT AS rank, value, event_id FROM events QUALIFY rank <= 5")
 def streaming_running_top(spark, sf):
-    import uuid
-
     top = streams.running_top(_stream(spark, sf).select("event_type", "value", "event_id"), "event_type", "value", "event_id", 5)
-    return streams.drain(top, f"top_{uuid.uuid4().hex}", _checkpoint(spark), "update").groupBy("event_type", "rank").agg(F.max_by(F.struct("value", "event_id"), F.struct("value", -F.col("event_id"))).alias("r")).select("event_type", "rank", "r.*")
+    return streams.drain(top, _folder(spark), "update").groupBy("event_type", "rank").agg(F.max_by(F.struct("value", "event_id"), F.struct("value", -F.col("event_id"))).alias("r")).select("event_type", "rank", "r.*")
 
 
 @query("SELECT date_trunc('day', ts) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def streaming_windows(spark, sf):
     """An extra: event-time windows aren't among what ledgers need."""
-    import uuid
-
     by = streams.windowed(_stream(spark, sf).withColumn("ts", F.col("ts").cast("timestamp")), "ts", "1 day", "30 days", ["event_type"], n=F.count(F.lit(1)))
-    found = streams.drain(by, f"windows_{uuid.uuid4().hex}", _checkpoint(spark))
+    found = streams.drain(by, _folder(spark))
     return found.select(F.col("window.start").cast("timestamp_ntz").alias("day"), "event_type", "n")
+
+
+@query("""WITH e AS (SELECT user_id, event_id, CAST(floor(value / 50) AS BIGINT) AS completed FROM events), d AS (SELECT *, coalesce(completed <> lag(completed) OVER (PARTITION BY user_id ORDER BY event_id), true)::BIGINT AS changed FROM e), c AS (SELECT *, sum(changed) OVER (PARTITION BY user_id ORDER BY event_id) AS run FROM d)
+    SELECT user_id, event_id, completed, (row_number() OVER (PARTITION BY user_id, run ORDER BY event_id) - 1)::INT AS idle FROM c""")
+def streaming_idle_passes(spark, sf):
+    """Polls in a row without progress, kept from batch to batch."""
+    polls = _stream(spark, sf).select("user_id", "event_id", F.floor(F.col("value") / 50).alias("completed"))
+    return streams.drain(streams.idle_passes(polls, "user_id", "event_id", "completed"), _folder(spark), "append")

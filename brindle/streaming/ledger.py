@@ -15,16 +15,34 @@ def tail(spark: SparkSession, folder: str, schema: str, kind: str = "parquet", g
     return spark.readStream.format(kind).schema(schema).option("pathGlobFilter", glob).load(folder)
 
 
-def drain(stream: DataFrame, name: str, checkpoint: str, mode: str = "complete") -> DataFrame:
-    """Runs a stream over all that is there now and returns its result as a batch. With the same checkpoint folder the next call goes on where this one ended."""
-    spark = stream.sparkSession
-    query = stream.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def drain(stream: DataFrame, folder: str, mode: str = "complete") -> DataFrame:
+    """Runs a stream over all that is there now and returns its result as a table, which is in the folder beside the stream's checkpoint. With the same folder the next call goes on where this one ended.
+
+    The result of mode complete is that of the last batch; of the others, the rows of all batches. A batch that is run
+    again after a failure replaces what it had written. The driver gets no rows.
+    """
+    spark, result = stream.sparkSession, f"{folder}/result"
+
+    def write(rows: DataFrame, number: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{result}/batch={0 if mode == 'complete' else number}")
+
+    query = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.table(name)
+    if not any(x.isDirectory() for x in _listed(spark, result)):
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(result).select(*stream.columns)
+
+
+def _listed(spark: SparkSession, folder: str) -> list:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return list(files.listStatus(path)) if files.exists(path) else []
 
 
-def roll_up(stream: DataFrame, keys: list[str], once: list[str], **measures) -> DataFrame:
-    """Aggregates by key over entries that count once for each value of `once`, also after a restart."""
+def roll_up(stream: DataFrame, keys: list[str], once: list[str], time: str | None = None, late: str = "1 day", **measures) -> DataFrame:
+    """Aggregates by key over entries that count once for each value of `once`, also after a restart. With a time column, an entry is only recognised again for as long as `late`, and the state doesn't grow beyond that; without one it keeps all values of `once`."""
+    if time:
+        return stream.withWatermark(time, late).dropDuplicatesWithinWatermark(once).groupBy(*keys).agg(*[v.alias(k) for k, v in measures.items()])
     return stream.dropDuplicates(once).groupBy(*keys).agg(*[v.alias(k) for k, v in measures.items()])
 
 
