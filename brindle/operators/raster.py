@@ -13,15 +13,25 @@ def coverage(pixels: DataFrame, image: list[str], alpha: Column, threshold: floa
     return pixels.groupBy(*image).agg(F.avg((alpha > threshold).cast("double")).alias("coverage"))
 
 
-def footprints(splats: DataFrame, width: int, height: int) -> DataFrame:
-    """The pixels that each splat (u, v, a, b, c, reach, weight) may touch: its box cut to the image, then the exact ellipse test at three deviations. Adds px, py and `share`, the splat's weight at the pixel's centre."""
+#: Fixed value: what a splat adds to a pixel counts from here on.
+LEAST_SHARE = 0.01
+
+
+def candidates(splats: DataFrame, image: list[str], contribution: Column, tie: str, k: int = 64) -> DataFrame:
+    """Each image's k splats with the largest contribution (opacity times area), with their `place` from 1; of equal ones the smaller tie value is first."""
+    order = Window.partitionBy(*image) if image else Window.partitionBy(F.lit(1))
+    return splats.withColumn("place", F.row_number().over(order.orderBy(contribution.desc(), tie)).cast("long")).where(F.col("place") <= k)
+
+
+def footprints(splats: DataFrame, width: int, height: int, least: float = LEAST_SHARE) -> DataFrame:
+    """The pixels that each splat (u, v, a, b, c, reach, weight) touches: its box cut to the image, then the exact ellipse test at three deviations. Adds px, py and `share`, the splat's weight at the pixel's centre, if it is at least `least`."""
     span = lambda at, size: F.sequence(F.greatest(F.lit(0), F.floor(F.col(at) - F.col("reach")).cast("int")), F.least(F.lit(size - 1), F.floor(F.col(at) + F.col("reach")).cast("int")))
     inside = (F.col("u") + F.col("reach") >= 0) & (F.col("u") - F.col("reach") < width) & (F.col("v") + F.col("reach") >= 0) & (F.col("v") - F.col("reach") < height)
     rows = splats.where(inside).withColumn("px", F.explode(span("u", width))).withColumn("py", F.explode(span("v", height)))
     dx, dy = F.col("px") + 0.5 - F.col("u"), F.col("py") + 0.5 - F.col("v")
     det = F.col("a") * F.col("c") - F.col("b") * F.col("b")
     m = (F.col("c") * dx * dx - 2 * F.col("b") * dx * dy + F.col("a") * dy * dy) / det
-    return rows.withColumn("m", m).where("m <= 9").withColumn("share", F.col("weight") * F.exp(-F.col("m") / 2)).drop("m")
+    return rows.withColumn("m", m).where("m <= 9").withColumn("share", F.col("weight") * F.exp(-F.col("m") / 2)).where(F.col("share") >= least).drop("m")
 
 
 def ownership(touches: DataFrame, image: list[str], splat: str, order: str) -> DataFrame:

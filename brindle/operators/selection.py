@@ -49,10 +49,22 @@ def accept_until(df: DataFrame, order: list[Column], accept: Column, k: int, gro
 
 
 def apportion(df: DataFrame, groups: list[str], weight: str, tie: str, total: int) -> DataFrame:
-    """Largest-remainder shares of `total` by weight; ties go to the smaller tie value. Adds `share` long."""
+    """Largest-remainder shares of `total` by weight; ties go to the smaller tie value. If all weights are 0 they count as equal. Adds `share` long; see `unserved`."""
     over = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(1))
-    exact = F.col(weight) * total / F.sum(weight).over(over)
+    even = F.max(F.abs(F.col(weight))).over(over) == 0
+    exact = F.when(even, F.lit(1.0)).otherwise(F.col(weight)) * total / F.when(even, F.count(F.lit(1)).over(over).cast("double")).otherwise(F.sum(weight).over(over))
     rows = df.withColumn("__exact", exact).withColumn("__floor", F.floor("__exact").cast("long"))
     rows = rows.withColumn("__left", F.lit(total) - F.sum("__floor").over(over))
     nth = F.row_number().over(over.orderBy(F.desc(F.round(F.col("__exact") - F.col("__floor"), 9)), tie))
     return rows.withColumn("share", F.col("__floor") + F.when(nth <= F.col("__left"), 1).otherwise(0)).drop("__exact", "__floor", "__left")
+
+
+def unserved(shares: DataFrame) -> DataFrame:
+    """Rows that got no share at all, where each needs one: the total is too small."""
+    return shares.where("share < 1")
+
+
+def too_few(accepted: DataFrame, pool: DataFrame, k: int, groups: list[str]) -> DataFrame:
+    """Groups of the pool in which fewer than k rows were accepted, with how many."""
+    n = accepted.groupBy(*groups).agg(F.count(F.lit(1)).alias("accepted"))
+    return pool.select(*groups).distinct().join(n, groups, "left").select(*groups, F.coalesce("accepted", F.lit(0)).alias("accepted")).where(F.col("accepted") < k)

@@ -23,4 +23,4 @@ def query(sql: str | None = None):
 
 
 def load() -> None:
-    from . import contracts, experiments, ledgers, ranks, schedules, searches, space  # noqa: F401
+    from . import contracts, experiments, files, ledgers, ranks, schedules, searches, space  # noqa: F401

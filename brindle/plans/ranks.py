@@ -122,3 +122,10 @@ def derived_seeds(spark, sf):
     from ..functions.text import seed64
 
     return table(spark, sf, "pages").select("page_id", seed64(F.lit(7), F.col("url"), F.concat(F.lit("a|"), F.col("page_id").cast("string"))).alias("seed"))
+
+
+@query("""WITH a AS (SELECT user_id, event_id, sum((value > 90)::BIGINT) OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events WHERE value > 90), c AS (SELECT user_id, count(*) AS accepted FROM a WHERE n <= 6 GROUP BY 1)
+    SELECT user_id, coalesce(accepted, 0) AS accepted FROM (SELECT DISTINCT user_id FROM events) LEFT JOIN c USING (user_id) WHERE coalesce(accepted, 0) < 6""")
+def too_few_accepted(spark, sf):
+    events = table(spark, sf, "events")
+    return selection.too_few(selection.accept_until(events, [F.col("event_id")], F.col("value") > 90, 6, ["user_id"]), events, 6, ["user_id"])

@@ -164,16 +164,19 @@ def pose_angles(spark, sf):
     return _points(spark, sf).select("vec_id", F.round(yaw, 6).alias("yaw"), F.round(pitch, 6).alias("pitch"), F.round(zoomed, 6).alias("fov"), F.round(geometry.focal(40 + 20 * F.abs("a"), F.lit(1920.0)), 4).alias("focal"))
 
 
-OWN = f"""WITH {P}, {CAM}, {COV}, g AS (SELECT *, 100 * cx / cz + 60 AS u, 100 * cy / cz + 60 AS v, 3 * sqrt((a + d) / 2 + sqrt((a - d) * (a - d) / 4 + b * b)) AS reach FROM e),
+OWN = f"""WITH {P}, {CAM}, {COV}, g0 AS (SELECT e.*, 0.05 + abs(p.a) AS o, 100 * cx / cz + 60 AS u, 100 * cy / cz + 60 AS v, 3 * sqrt((e.a + d) / 2 + sqrt((e.a - d) * (e.a - d) / 4 + b * b)) AS reach FROM e JOIN p USING (vec_id)),
+    g AS (SELECT *, row_number() OVER (ORDER BY round(o * 9 * pi() * sqrt(a * d - b * b), 6) DESC, vec_id) AS place FROM g0 QUALIFY place <= 64),
     t AS (SELECT g.*, px, py FROM g JOIN range(120) h(px) ON px BETWEEN floor(u - reach) AND floor(u + reach) JOIN range(120) w(py) ON py BETWEEN floor(v - reach) AND floor(v + reach)),
     m AS (SELECT *, (d * (px + 0.5 - u) * (px + 0.5 - u) - 2 * b * (px + 0.5 - u) * (py + 0.5 - v) + a * (py + 0.5 - v) * (py + 0.5 - v)) / (a * d - b * b) AS m FROM t),
-    o AS (SELECT px, py, arg_max(vec_id, struct_pack(s := round(s * exp(-m / 2), 9), i := -vec_id)) AS owner, count(*) AS layers FROM m WHERE m <= 9 GROUP BY 1, 2)"""
+    o AS (SELECT px, py, arg_max(vec_id, struct_pack(s := round(o * exp(-m / 2), 9), i := -place)) AS owner, count(*) AS layers FROM m WHERE m <= 9 AND o * exp(-m / 2) >= 0.01 GROUP BY 1, 2)"""
 
 
 def _owners(spark, sf):
     major, _ = geometry.ellipse_axes(F.col("a"), F.col("b"), F.col("c"))
-    touches = raster.footprints(bind(_projected(spark, sf), reach=major, weight=F.col("s")), 120, 120)
-    return raster.ownership(touches.withColumn("share", F.round("share", 9)), [], "vec_id", "vec_id")
+    splats = bind(_projected(spark, sf), reach=major, weight=(F.col("s") - 0.01) * 20 + 0.05)
+    area = 9 * F.pi() * F.sqrt(F.col("a") * F.col("c") - F.col("b") * F.col("b"))
+    touches = raster.footprints(raster.candidates(splats, [], F.round(F.col("weight") * area, 6), "vec_id"), 120, 120)
+    return raster.ownership(touches.withColumn("share", F.round("share", 9)), [], "vec_id", "place")
 
 
 @query(OWN + " SELECT px::INT AS px, py::INT AS py, owner, layers FROM o")

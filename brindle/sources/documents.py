@@ -76,22 +76,26 @@ def literal_flag(text: str, name: str, default: bool = False) -> bool:
     return found.get(name, default) is True
 
 
-def repair_tail(path: str) -> int:
-    """Cuts an unfinished last line off a local ledger, or ends a finished one; returns the bytes cut. A broken line elsewhere is an error."""
+def repair_tail(path: str, block: int = 1 << 16) -> int:
+    """Cuts an unfinished last line off a local ledger, or ends a finished one; returns the bytes cut. The ledger is read line by line, and only its last line is held. A blank or broken line elsewhere is an error."""
     with open(path, "rb+") as f:
-        data = f.read()
-        body, mark, tail = data.rpartition(b"\n")
-        for i, line in enumerate(body.split(b"\n") if mark else []):
+        start = 0
+        tail = b""
+        for i, line in enumerate(iter(f.readline, b"")):
+            if not line.endswith(b"\n"):
+                tail = line
+                break
             if not line.strip():
                 raise ValueError(f"line {i} of {path} is blank")
             json.loads(line)
+            start += len(line)
         if not tail:
             return 0
         try:
             whole = isinstance(json.loads(tail), dict)
         except ValueError:
             whole = False
-        f.seek(len(data) if whole else len(data) - len(tail))
+        f.seek(start + len(tail) if whole else start)
         if whole:
             f.write(b"\n")
             return 0
@@ -101,6 +105,60 @@ def repair_tail(path: str) -> int:
         return len(tail)
 
 
+def object_of(text: str, name: str) -> dict:
+    """A JSON object; what is wrong with a text that is none, and where."""
+    try:
+        found = json.loads(text)
+    except json.JSONDecodeError as e:
+        raise ValueError(f"{name}: line {e.lineno}, column {e.colno}: {e.msg}") from None
+    if not isinstance(found, dict):
+        raise ValueError(f"{name} is no object")
+    return found
+
+
+def yaml_object(text: str, name: str) -> dict:
+    """A YAML mapping; needs PyYAML."""
+    import yaml
+
+    try:
+        found = yaml.safe_load(text)
+    except yaml.YAMLError as e:
+        raise ValueError(f"{name}: {e}") from None
+    if not isinstance(found, dict):
+        raise ValueError(f"{name} is no mapping")
+    return found
+
+
+def finished(listing: DataFrame, ledger: str, marker: str) -> DataFrame:
+    """Paths of ledgers whose folder also holds the marker that is written at the end; others aren't to be read yet."""
+    done = complete_folders(listing, [ledger, marker])
+    return listing.where(F.col("name") == ledger).join(done, "folder", "left_semi").select("folder", "path")
+
+
+def preferred_file(listing: DataFrame, names: list[str]) -> DataFrame:
+    """Of each folder the file with the first of the names that it has."""
+    place = F.array_position(F.array(*map(F.lit, names)), F.col("name"))
+    return listing.where(place > 0).groupBy("folder").agg(F.min_by("path", place).alias("path"), F.min_by("name", place).alias("name"))
+
+
+def png_headers(images: DataFrame, content: str = "content") -> DataFrame:
+    """Adds `is_png`, `width`, `height` and `mode` (RGB, RGBA, L, LA or P, by the colour type) of images as bytes, from their first 26 bytes. Whether the rest can be decoded isn't looked at."""
+    head = F.hex(F.substring(F.col(content), 1, 26))
+    number = lambda at: F.conv(F.substring(head, 2 * at + 1, 8), 16, 10).cast("long")
+    kinds = F.create_map(*(F.lit(x) for pair in (("02", "RGB"), ("06", "RGBA"), ("00", "L"), ("04", "LA"), ("03", "P")) for x in pair))
+    ok = F.startswith(head, F.lit("89504E470D0A1A0A0000000D49484452")) & (F.length(head) == 52)
+    return images.select("*", ok.alias("is_png"), F.when(ok, number(16)).alias("width"), F.when(ok, number(20)).alias("height"), F.when(ok, kinds[F.substring(head, 51, 2)]).alias("mode"))
+
+
+def scene_slice(listing: DataFrame, name: str, first: int, last: int) -> DataFrame:
+    """The scenes from place `first` to `last` (from 1, both included) in the order of names; fewer than that many is an error when the rows are read."""
+    from pyspark.sql import Window
+
+    rows = listing.select(name).distinct().orderBy(name).limit(last).withColumn("place", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(name)))
+    rows = rows.where(F.col("place") >= first).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(F.lit(1))))
+    return rows.select(F.when(F.col("n") == last - first + 1, F.col(name)).otherwise(F.raise_error(F.lit("the range holds too few scenes"))).alias(name), "place")
+
+
 _object = re.compile(r"\{")
 
 

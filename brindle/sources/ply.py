@@ -66,6 +66,16 @@ def harmonics_degree(names: list[str], prefix: str = "f_rest_") -> int:
     return degree
 
 
+#: What a table of splats has to hold.
+REQUIRED = ("x", "y", "z", "scale_0", "scale_1", "scale_2", "rot_0", "rot_1", "rot_2", "rot_3", "opacity", "f_dc_0", "f_dc_1", "f_dc_2")
+
+
+def require(names: list[str], needed: tuple[str, ...] = REQUIRED) -> None:
+    """An error that names the fields that are lacking."""
+    if lacking := [x for x in needed if x not in names]:
+        raise ValueError(f"fields are missing: {', '.join(lacking)}")
+
+
 @dataclass
 class Span(InputPartition):
     first: int
@@ -73,14 +83,20 @@ class Span(InputPartition):
 
 
 class PlySource(DataSource):
-    """Options: path; rows_per_partition (250,000 by default)."""
+    """Options: path; rows_per_partition (250,000 by default); required: fields that the file must have, separated by commas (`splats`: all of a table of splats); fields: those to read, all by default."""
 
     @classmethod
     def name(cls) -> str:
         return "ply"
 
     def schema(self) -> str:
-        return ", ".join(f"`{n}` {TYPES[t][1]}" for n, t in header(self.options["path"]).fields)
+        fields = header(self.options["path"]).fields
+        names = [n for n, _ in fields]
+        if needed := self.options.get("required"):
+            require(names, REQUIRED if needed == "splats" else tuple(needed.split(",")))
+        wanted = self.options["fields"].split(",") if "fields" in self.options else names
+        require(names, tuple(wanted))
+        return ", ".join(f"`{n}` {TYPES[t][1]}" for n, t in fields if n in wanted)
 
     def reader(self, schema: StructType) -> PlyReader:
         return PlyReader(self.options["path"], int(self.options.get("rows_per_partition", 250_000)), schema)

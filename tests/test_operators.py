@@ -354,3 +354,48 @@ def test_searches(spark):
     assert np.allclose(r @ r.T, np.eye(3)) and np.linalg.det(r) == pytest.approx(1)
     x = np.array([0.0, 1, 2.5, 4])
     assert np.allclose(numeric.natural_spline(x, x**2, x), x**2) and np.allclose(numeric.natural_spline(x, 3 * x, np.array([0.3, 3.9])), [0.9, 11.7])
+
+
+def test_required_fields_and_gates(spark, tmp_path):
+    rows = np.zeros(3, dtype=[("x", "<f4"), ("y", "<f4")])
+    (tmp_path / "p.ply").write_bytes(b"ply\nformat binary_little_endian 1.0\nelement vertex 3\nproperty float x\nproperty float y\nend_header\n" + rows.tobytes())
+    spark.dataSource.register(ply.PlySource)
+    read = lambda **o: spark.read.format("ply").option("path", str(tmp_path / "p.ply")).options(**o).load()
+    assert read(fields="y", required="x,y").columns == ["y"]
+    with pytest.raises(Exception, match="opacity"):
+        read(required="splats")
+    for folder, names in (("a", ("results.jsonl", "summary.json")), ("b", ("results.jsonl",))):
+        (tmp_path / "runs" / folder).mkdir(parents=True)
+        for n in names:
+            (tmp_path / "runs" / folder / n).write_text("{}")
+    found = documents.finished(documents.files(spark, str(tmp_path / "runs")), "results.jsonl", "summary.json").collect()
+    assert [r["folder"].rsplit("/", 1)[1] for r in found] == ["a"]
+    with pytest.raises(ValueError, match="line 2, column 3"):
+        documents.object_of('{"a": 1,\n  x}', "f.json")
+    with pytest.raises(ValueError, match="no object"):
+        documents.object_of("[1]", "f.json")
+
+
+def test_exports(spark, tmp_path):
+    cameras = spark.createDataFrame([(2, 4, 3, 1.5, 2.5, 2.0, 1.5), (1, 4, 3, 1.0, 2.0, 2.0, 1.5)], "camera_id int, width int, height int, fx double, fy double, cx double, cy double")
+    images = spark.createDataFrame([(1, 1.0, 0.0, 0.0, 0.0, 0.5, 0.25, 0.125, 1, "a.png")], "image_id int, qw double, qx double, qy double, qz double, tx double, ty double, tz double, camera_id int, name string")
+    points = spark.createDataFrame([(i, i / 2, 1.0, 2.0, 1, 2, 3) for i in range(1, 41)], "point_id long, x double, y double, z double, red int, green int, blue int").repartition(5)
+    writers.colmap_text(cameras, images, str(tmp_path))
+    writers.colmap_binary(cameras, images, str(tmp_path))
+    writers.colmap_points_text(points, str(tmp_path / "points3D.txt"))
+    assert writers.colmap_points_binary(points, str(tmp_path / "points3D.bin")) == writers.ply_points(points, str(tmp_path / "points3D.ply")) == 40
+    assert (tmp_path / "cameras.bin").stat().st_size == 8 + 2 * 56 and (tmp_path / "images.bin").stat().st_size == 8 + 64 + 6 + 8
+    lines = (tmp_path / "points3D.txt").read_text().splitlines()
+    assert [int(x.split()[0]) for x in lines] == list(range(1, 41)) and lines[0] == "1 0.5 1.0 2.0 1 2 3 0"
+    assert (tmp_path / "points3D.bin").stat().st_size == 8 + 40 * 51
+    spark.dataSource.register(ply.PlySource)
+    back = spark.read.format("ply").option("path", str(tmp_path / "points3D.ply")).load()
+    assert back.agg(F.sum("x")).head()[0] == 410 and back.count() == 40
+    doc = {"a": "/old/x", "b": ["/old", {"c": "/older"}], "d": 3}
+    assert writers.rebased(doc, "/old", "/new") == {"a": "/new/x", "b": ["/new", {"c": "/older"}], "d": 3}
+
+
+def test_shares_of_nothing_and_too_few(spark):
+    even = selection.apportion(spark.createDataFrame([(0, 0.0), (1, 0.0), (2, 0.0)], "i int, w double"), [], "w", "i", 5)
+    assert [r["share"] for r in even.orderBy("i").collect()] == [2, 2, 1] and selection.unserved(even).count() == 0
+    assert selection.unserved(selection.apportion(spark.createDataFrame([(0, 1.0), (1, 0.0)], "i int, w double"), [], "w", "i", 5)).count() == 1
