@@ -37,7 +37,7 @@ CELLS = 1 << CELL_BITS
 LEAST_WEIGHT = 0.75
 
 #: Of an open band of up to SMALL texts all meet all others; of a larger one PIVOTS in each round.
-SMALL, PIVOTS = 24, 4
+SMALL, PIVOTS = 24, 2
 
 _BLOCK = 1 << 14
 _FAN = 64
