@@ -87,6 +87,64 @@ def shrinking(df: DataFrame, objective: Objective, near: str, far: str, target:
     return _run(df, step, **RESULT)
 
 
+FIT = {"distance": DoubleType(), "coverage": DoubleType(), "background": DoubleType(), "score": DoubleType(), "met": BooleanType()}
+
+
+def fitted(df: DataFrame, evaluate: Callable[[pd.DataFrame, np.ndarray], tuple[np.ndarray, np.ndarray]], near: str, far: str, target: float, least_coverage: float, most_background: float, iterations: int = 12) -> DataFrame:
+    """Halves the range from `near` to `far` so often, towards the centre while the coverage is short of the target or the background too large, and keeps the distance with the best score: the distance from the target, and twice what misses either limit. `met`: does it keep to both limits? evaluate gives coverage and largest background."""
+
+    def step(rows: pd.DataFrame) -> dict:
+        low, high = rows[near].to_numpy(float).copy(), rows[far].to_numpy(float).copy()
+        best = {k: np.full(len(rows), np.inf if k == "score" else np.nan) for k in ("distance", "coverage", "background", "score")}
+        for _ in range(iterations):
+            middle = (low + high) / 2
+            coverage, background = (np.asarray(x, float) for x in evaluate(rows, middle))
+            score = np.abs(coverage - target) + 2 * np.maximum(0, background - most_background) + 2 * np.maximum(0, least_coverage - coverage)
+            better = score < best["score"]
+            best = {k: np.where(better, v, best[k]) for k, v in (("distance", middle), ("coverage", coverage), ("background", background), ("score", score))}
+            closer = (coverage < target) | (background > most_background)
+            low, high = np.where(closer, low, middle), np.where(closer, middle, high)
+        return best | {"met": (best["coverage"] >= least_coverage) & (best["background"] <= most_background)}
+
+    return _run(df, step, **FIT)
+
+
+def damped(df: DataFrame, penalty: Callable[[pd.DataFrame, np.ndarray], np.ndarray], attempts: int = 4) -> DataFrame:
+    """Halves a motion's size from 1 on until its penalty is 0, `attempts` times at most; without success the size with the least penalty, the first of equal ones, is kept. Adds `size`, `penalty`, `attempts` and `met`."""
+
+    def step(rows: pd.DataFrame) -> dict:
+        size, used = np.ones(len(rows)), np.zeros(len(rows), int)
+        best, least = size.copy(), np.full(len(rows), np.inf)
+        for _ in range(attempts):
+            go = least > 0
+            found = np.asarray(penalty(rows, size), float)
+            better = go & (found < least)
+            best, least, used = np.where(better, size, best), np.where(better, found, least), used + go
+            size = np.where(go, size / 2, size)
+        return {"size": best, "penalty": least, "attempts": used, "met": least <= 0}
+
+    return _run(df, step, size=DoubleType(), penalty=DoubleType(), attempts=IntegerType(), met=BooleanType())
+
+
+def corrected(df: DataFrame, objective: Objective, distance: str, near: str, target: float, evaluations: int = 3, factor: float = 0.98) -> DataFrame:
+    """A distance found at one resolution, tried at another: moved in by a factor, down to `near`, as long as the ratio there is short of the target. Adds `distance` (moved), `ratio`, `evaluations` and `passes`."""
+
+    def step(rows: pd.DataFrame) -> dict:
+        at, floor = rows[distance].to_numpy(float).copy(), rows[near].to_numpy(float)
+        ratio, used = np.asarray(objective(rows, at), float), np.ones(len(rows), int)
+        while (go := (ratio < target) & (used < evaluations) & (at > floor)).any():
+            at = np.where(go, np.maximum(floor, at * factor), at)
+            ratio = np.where(go, np.asarray(objective(rows, at), float), ratio)
+            used = used + go
+        return {"distance": at, "ratio": ratio, "evaluations": used, "passes": ratio >= target}
+
+    return _run(df, step, **RESULT)
+
+
+#: Strategies by name, each a function of (candidates, objective, near, far, target).
+STRATEGIES: dict[str, Callable[..., DataFrame]] = {"bracket": farthest_passing, "shrink": shrinking}
+
+
 def refine(df: DataFrame, loss: Callable[[pd.DataFrame, np.ndarray], np.ndarray], parameters: list[str], key: str, scale: float, rounds: int = 40, shrink: float = 0.93, seed: int = 0) -> DataFrame:
     """Local search: proposals about the best point so far, with a reach that shrinks; one is taken if its loss is lower. A row's random numbers depend on its whole-number key and the seed alone. Replaces the parameters and adds `loss`."""
 

@@ -52,3 +52,31 @@ def structural_similarity(spark, sf):
     """Each vector as an image of 8 by 8, against itself upside down."""
     image = F.transform("embedding", lambda x: F.abs(x.cast("double")))
     return table(spark, sf, "embeddings").select("vec_id", F.round(numeric.structural_similarity(image, F.reverse(image), 8), 6).alias("ssim"))
+
+
+@query("""WITH RECURSIVE p AS (SELECT p_partkey, p_size::DOUBLE AS s, 1.0::DOUBLE AS lo, p_retailprice / 50 AS hi, 0 AS n, NULL::DOUBLE AS d, NULL::DOUBLE AS cov, NULL::DOUBLE AS bg FROM part),
+    w AS (SELECT * FROM p UNION ALL SELECT p_partkey, s, CASE WHEN least(1, s / (m * m)) < 0.5 OR m / 40 > 0.3 THEN lo ELSE m END, CASE WHEN least(1, s / (m * m)) < 0.5 OR m / 40 > 0.3 THEN m ELSE hi END, n + 1, m, least(1, s / (m * m)), m / 40 FROM (SELECT *, (lo + hi) / 2 AS m FROM w WHERE n < 12)),
+    c AS (SELECT *, abs(cov - 0.5) + 2 * greatest(0, bg - 0.3) + 2 * greatest(0, 0.4 - cov) AS score FROM w WHERE n > 0)
+    SELECT p_partkey, round(d, 8) AS distance, round(score, 8) AS score, cov >= 0.4 AND bg <= 0.3 AS met FROM c QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY score, n) = 1""")
+def fitted_distance(spark, sf):
+    rows = search.fitted(_parts(spark, sf), lambda r, d: (np.minimum(1, r["p_size"].to_numpy() / (d * d)), d / 40), "near", "far", 0.5, 0.4, 0.3)
+    return rows.select("p_partkey", F.round("distance", 8).alias("distance"), F.round("score", 8).alias("score"), "met")
+
+
+@query("""WITH t AS (SELECT p_partkey, k, 1 / pow(2, k) AS size, greatest(0, p_size / pow(2, k) - 5) + CASE WHEN p_partkey % 7 = 0 THEN 1 + k ELSE 0 END AS penalty FROM part, range(4) r(k))
+    SELECT p_partkey, size, round(penalty, 9) AS penalty, penalty <= 0 AS met FROM t QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY CASE WHEN penalty <= 0 THEN 0 ELSE 1 END, penalty, k) = 1""")
+def damped_motion(spark, sf):
+    def penalty(rows, size):
+        stubborn = rows["p_partkey"].to_numpy() % 7 == 0
+        return np.maximum(0, rows["p_size"].to_numpy() * size - 5) + np.where(stubborn, 1 - np.log2(size), 0)
+
+    rows = search.damped(table(spark, sf, "part").select("p_partkey", "p_size"), penalty)
+    return rows.select("p_partkey", "size", F.round("penalty", 9).alias("penalty"), "met")
+
+
+@query("""WITH RECURSIVE p AS (SELECT p_partkey, p_size::DOUBLE AS s, 1 + p_retailprice / 400 AS d, 1 AS n FROM part), w AS (SELECT * FROM p UNION ALL SELECT p_partkey, s, greatest(1, d * 0.98), n + 1 FROM w WHERE s / (d * d) < 1 AND n < 3 AND d > 1)
+    SELECT p_partkey, round(d, 8) AS distance, s / (d * d) >= 1 AS passes, n AS evaluations FROM w QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY n DESC) = 1""")
+def corrected_distance(spark, sf):
+    """A distance that another resolution found, moved in until it passes."""
+    rows = table(spark, sf, "part").select("p_partkey", "p_size", F.lit(1.0).alias("near"), (1 + F.col("p_retailprice") / 400).alias("distance"))
+    return search.corrected(rows, _ratio, "distance", "near", 1.0).select("p_partkey", F.round("distance", 8).alias("distance"), "passes", "evaluations")
