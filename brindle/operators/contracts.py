@@ -124,3 +124,44 @@ def not_falling(rows: DataFrame, groups: list[str], order: str, value: str, tole
     """Rows whose value is above that of the row before it by more than the tolerance."""
     before = F.lag(value).over(Window.partitionBy(*groups).orderBy(order))
     return rows.withColumn("before", before).where(F.col(value) > F.col("before") + tolerance)
+
+
+def camera_rules(matrix: Column, position: Column, fov: Column) -> dict[str, Column]:
+    """Rules of a camera document: a pose as sixteen numbers (camera to world, row by row), a position of three, and a field of view in degrees. Numbers are finite; the last row is 0, 0, 0, 1; the rest turns without stretching or mirroring; its shift is the position; the view is over 1 and under 179 degrees."""
+    m = [[F.get(matrix, F.lit(4 * i + j)) for j in range(4)] for i in range(4)]
+    near = lambda a, b, tolerance: finite(b) & (F.abs(a - b) <= tolerance + 1e-5 * F.abs(b))
+    every = lambda conditions: F.forall(F.array(*conditions), lambda x: F.coalesce(x, F.lit(False)))
+    product = [(sum((m[k][i] * m[k][j] for k in range(3)), F.lit(0.0)), F.lit(1.0 if i == j else 0.0)) for i in range(3) for j in range(i, 3)]
+    det = m[0][0] * (m[1][1] * m[2][2] - m[1][2] * m[2][1]) - m[0][1] * (m[1][0] * m[2][2] - m[1][2] * m[2][0]) + m[0][2] * (m[1][0] * m[2][1] - m[1][1] * m[2][0])
+    return {
+        "shape": (F.size(matrix) == 16) & (F.size(position) == 3),
+        "finite": F.forall(F.concat(matrix, position), finite),
+        "last_row": every([near(m[3][j], F.lit(float(j == 3)), 1e-7) for j in range(4)]),
+        "orthonormal": every([near(a, b, 1e-5) for a, b in product]),
+        "determinant": near(det, F.lit(1.0), 1e-5),
+        "position": every([near(m[i][3], F.get(position, F.lit(i)), 1e-7) for i in range(3)]),
+        "fov": (fov > 1) & (fov < 179),
+    }
+
+
+def lens_faults(lenses: DataFrame, config: str, total_frames: int, jump_frames: int, switch_frames: int) -> DataFrame:
+    """What is wrong with configurations of lenses (config, lens_index, name, zoom_min, zoom_max, frame_count, position of the jump): a row for each lens and rule, with a null lens for the sum of frames.
+
+    Names are unique in a configuration; ranges of zoom rise and don't touch; every lens has a frame, and two if its
+    range has two ends; what is left after a jump holds its transition, and a lens after the first one holds a switch;
+    frames add up to the total.
+    """
+    w = Window.partitionBy(config).orderBy("lens_index")
+    n, jump = F.col("frame_count"), F.rint(F.col("position") * (F.col("frame_count") - 1)).cast("long")
+    rules = {
+        "name": F.count(F.lit(1)).over(Window.partitionBy(config, "name")) > 1,
+        "order": F.col("zoom_min") <= F.lag("zoom_max").over(w),
+        "frames": n < 1,
+        "ends": (n < 2) & (F.col("zoom_max") > F.col("zoom_min")),
+        "jump": F.lit(jump_frames) > n - jump,
+        "switch": (F.row_number().over(w) > 1) & (F.lit(switch_frames) > n),
+    }
+    marked = lenses.select(config, "lens_index", *[F.coalesce(v, F.lit(False)).alias(k) for k, v in rules.items()])
+    each = marked.select(config, "lens_index", F.explode(F.filter(F.array(*[F.when(F.col(k), F.lit(k)) for k in rules]), lambda x: x.isNotNull())).alias("rule"))
+    sums = lenses.groupBy(config).agg(F.sum("frame_count").alias("n")).where(F.col("n") != total_frames)
+    return each.union(sums.select(config, F.lit(None).cast(dict(lenses.dtypes)["lens_index"]).alias("lens_index"), F.lit("total").alias("rule")))

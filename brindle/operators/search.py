@@ -30,6 +30,18 @@ def _run(df: DataFrame, step: Callable[[pd.DataFrame], dict], **kinds) -> DataFr
     return df.mapInPandas(batches, schema)
 
 
+def scored(df: DataFrame, load: Callable[[], Callable[[pd.DataFrame], pd.Series]], name: str) -> DataFrame:
+    """Adds what a scorer says of each row. `load` is called once for each task, so a model is read once, and the scorer gets one Arrow batch after another: the border to renderers and neural scores."""
+    schema = _added(df, **{name: DoubleType()})
+
+    def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        score = load()
+        for rows in parts:
+            yield rows.assign(**{name: np.asarray(score(rows), float)})[schema.names]
+
+    return df.mapInPandas(batches, schema)
+
+
 RESULT = {"distance": DoubleType(), "ratio": DoubleType(), "evaluations": IntegerType(), "passes": BooleanType()}
 
 

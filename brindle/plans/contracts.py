@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import sampling, values
-from ..operators import contracts, ledger, paired, quantiles, ranking, reports
+from ..operators import contracts, ledger, paired, quantiles, ranking, reports, search
 from ..session import table
 from . import query
 from .experiments import rounded, summary_sql
@@ -282,3 +282,43 @@ def score_tails(spark, sf):
     rows, score = _entries(spark, sf), F.col("score")
     by = quantiles.with_quantiles(rows.groupBy("strategy").agg(F.count(F.lit(1)).alias("n")), rows, ["strategy"], {"top": (score, 0.99)})
     return by.withColumn("top", F.round("top", 9))
+
+
+@query("""WITH c AS (SELECT vec_id, embedding[1]::DOUBLE * 3 AS a FROM embeddings)
+    SELECT vec_id, unnest(list_filter([CASE WHEN vec_id % 17 = 0 THEN 'finite' END, CASE WHEN vec_id % 11 = 0 THEN 'last_row' END, CASE WHEN vec_id % 7 = 0 THEN 'orthonormal' END, CASE WHEN vec_id % 7 = 0 THEN 'determinant' END, CASE WHEN vec_id % 5 = 0 OR vec_id % 17 = 0 THEN 'position' END, CASE WHEN vec_id % 13 = 0 THEN 'fov' END], lambda x: x IS NOT NULL)) AS rule FROM c""")
+def camera_contract(spark, sf):
+    """Turned cameras, of which some are stretched, shifted, not finite or too wide."""
+    i, a = F.col("vec_id"), F.get("embedding", F.lit(0)).cast("double") * 3
+    scale = F.when(i % 7 == 0, 1.01).otherwise(1.0)
+    zero, one = F.lit(0.0), F.lit(1.0)
+    matrix = F.array(F.cos(a) * scale, -F.sin(a), zero, one, F.sin(a) * scale, F.cos(a), zero, F.lit(2.0), zero, zero, one, F.lit(3.0), F.when(i % 11 == 0, 0.1).otherwise(0.0), zero, zero, one)
+    position = F.array(F.when(i % 17 == 0, float("inf")).when(i % 5 == 0, 1.001).otherwise(1.0), F.lit(2.0), F.lit(3.0))
+    fov = 60 + F.when(i % 13 == 0, 120.0).otherwise(0.0)
+    rows = table(spark, sf, "embeddings").select("vec_id", matrix.alias("m"), position.alias("p"), fov.alias("fov"))
+    return ledger.violations(rows, contracts.camera_rules(F.col("m"), F.col("p"), F.col("fov")), ["vec_id"])
+
+
+@query("""WITH l AS (SELECT p.p_brand, count(q.p_partkey) AS lens_index, p.p_size AS n FROM part p LEFT JOIN part q ON q.p_brand = p.p_brand AND q.p_partkey < p.p_partkey GROUP BY p.p_brand, p.p_partkey, p.p_size HAVING count(q.p_partkey) < 4),
+    c AS (SELECT *, n % 5 AS name, lens_index + (n % 3) * 0.5 AS lo, lens_index + (n % 3) * 0.5 + 0.6 AS hi, (n % 10) / 10.0 AS position FROM l),
+    r AS (SELECT c.*, (SELECT count(*) FROM c d WHERE d.p_brand = c.p_brand AND d.name = c.name) AS same, b.hi AS before, round_even(c.position * (c.n - 1), 0) AS jump FROM c LEFT JOIN c b ON b.p_brand = c.p_brand AND b.lens_index = c.lens_index - 1),
+    x AS (SELECT p_brand, lens_index, same > 1 AS f1, coalesce(lo <= before, false) AS f2, n < 1 AS f3, n < 2 AND hi > lo AS f4, 6 > n - jump AS f5, lens_index > 0 AND 8 > n AS f6 FROM r)
+    SELECT p_brand, lens_index, 'name' AS rule FROM x WHERE f1 UNION ALL SELECT p_brand, lens_index, 'order' FROM x WHERE f2 UNION ALL SELECT p_brand, lens_index, 'frames' FROM x WHERE f3 UNION ALL SELECT p_brand, lens_index, 'ends' FROM x WHERE f4 UNION ALL SELECT p_brand, lens_index, 'jump' FROM x WHERE f5 UNION ALL SELECT p_brand, lens_index, 'switch' FROM x WHERE f6
+    UNION ALL SELECT p_brand, NULL, 'total' FROM c GROUP BY 1 HAVING sum(n) <> 100""")
+def lens_contract(spark, sf):
+    """The first four parts of a brand stand for the lenses of a configuration."""
+    from pyspark.sql import Window
+
+    rows = table(spark, sf, "part").withColumn("lens_index", (F.row_number().over(Window.partitionBy("p_brand").orderBy("p_partkey")) - 1).cast("long")).where("lens_index < 4")
+    n, start = F.col("p_size"), F.col("lens_index") + (F.col("p_size") % 3) * 0.5
+    lenses = rows.select("p_brand", "lens_index", (n % 5).alias("name"), start.alias("zoom_min"), (start + 0.6).alias("zoom_max"), n.alias("frame_count"), ((n % 10) / 10).alias("position"))
+    return contracts.lens_faults(lenses, "p_brand", 100, 6, 8)
+
+
+@query("SELECT vec_id, round(embedding[1]::DOUBLE * 2 + 1, 6) AS quality FROM embeddings")
+def boundary_scores(spark, sf):
+    """A scorer that is loaded once for each task; a formula takes the place of a model."""
+    def load():
+        return lambda rows: rows["x"] * 2 + 1
+
+    rows = table(spark, sf, "embeddings").select("vec_id", F.get("embedding", F.lit(0)).cast("double").alias("x"))
+    return search.scored(rows, load, "quality").select("vec_id", F.round("quality", 6).alias("quality"))

@@ -399,3 +399,45 @@ def test_shares_of_nothing_and_too_few(spark):
     even = selection.apportion(spark.createDataFrame([(0, 0.0), (1, 0.0), (2, 0.0)], "i int, w double"), [], "w", "i", 5)
     assert [r["share"] for r in even.orderBy("i").collect()] == [2, 2, 1] and selection.unserved(even).count() == 0
     assert selection.unserved(selection.apportion(spark.createDataFrame([(0, 1.0), (1, 0.0)], "i int, w double"), [], "w", "i", 5)).count() == 1
+
+
+def test_configurations_and_plans(tmp_path):
+    from brindle.sources import configuration as c
+
+    assert c.symmetric_range(30) == (-15.0, 15.0) and c.symmetric_range((1, 2)) == (1, 2) and c.symmetric_range(True) is True and c.or_default(None, {}) == {}
+    old = {"initialization": {"scene_type": "object", "x": 1}}
+    assert c.moved_key(old, ("initialization", "scene_type"), ("scene", "scene_type")) == {"initialization": {"x": 1}, "scene": {"scene_type": "object"}} and "scene" not in old
+    assert c.moved_key({"scene": {}}, ("initialization", "scene_type"), ("scene", "scene_type")) == {"scene": {}}
+    with pytest.raises(ValueError, match="conflicts"):
+        c.moved_key(old | {"scene": {"scene_type": "interior"}}, ("initialization", "scene_type"), ("scene", "scene_type"))
+    path, calls = str(tmp_path / "plan.json"), []
+    make = lambda: calls.append(1) or [{"i": i} for i in range(3)]
+    assert c.load_or_create_plan(path, {"a": 1, "b": 2}, make, 3) == c.load_or_create_plan(path, {"b": 2, "a": 1}, make, 3) and len(calls) == 1
+    with pytest.raises(ValueError, match="other settings"):
+        c.load_or_create_plan(path, {"a": 2}, make, 3)
+    (tmp_path / "plan.json").write_text((tmp_path / "plan.json").read_text().replace('"i": 1', '"i": 7'))
+    with pytest.raises(ValueError, match="hash"):
+        c.load_or_create_plan(path, {"a": 1, "b": 2}, make, 3)
+    with pytest.raises(ValueError, match="only 3"):
+        c.load_or_create_plan(str(tmp_path / "other.json"), {}, make, 4)
+    folder = tmp_path / "out"
+    for x in ("frames", "kept"):
+        (folder / x).mkdir(parents=True)
+    with pytest.raises(FileExistsError):
+        c.protect(str(folder), False, ("frames",))
+    assert c.protect(str(folder), True, ("frames", "none")) == ["frames"] and (folder / "kept").exists()
+    (folder / "link").symlink_to(folder / "kept")
+    with pytest.raises(ValueError, match="link"):
+        c.remove_rejected(str(folder), "link")
+    assert c.remove_rejected(str(folder), "kept") and not c.remove_rejected(str(folder), "kept")
+    assert c.base_pose(resolved=None, manual=3, reference=4) == (3, "manual")
+
+
+def test_sampling(spark):
+    from brindle.functions import sampling
+
+    df = spark.range(40)
+    rows = df.select(sampling.stratified(F.col("id"), 40, -90.0, 90.0, 3).alias("y")).collect()
+    assert all(-90 + 4.5 * i <= r["y"] < -90 + 4.5 * (i + 1) for i, r in enumerate(rows))
+    a, b = df.limit(1).select(*(sampling.shuffled(F.sequence(F.lit(0), F.lit(99)), s) for s in (1, 2))).head()
+    assert sorted(a) == list(range(100)) and a != b and a != sorted(a)
