@@ -75,3 +75,16 @@ def with_default(groups: DataFrame, found: DataFrame, on: list[str], **defaults)
     """A row for every group: those that have no metrics get the defaults."""
     rows = groups.select(*on).distinct().join(found, on, "left")
     return rows.select(*on, *[F.coalesce(F.col(c), F.lit(v)).alias(c) if v is not None else F.col(c) for c, v in {c: defaults.get(c) for c in found.columns if c not in on}.items()])
+
+
+def capture_document(threshold: float, least_coverage: float) -> Column:
+    """An entry as a nested document: what was tried, what was found, and whether it passes; without a score its part is null, and it isn't accepted."""
+    c = F.col
+    passes = F.coalesce(c("score") > threshold, F.lit(False))
+    quality = F.when(c("score").isNotNull(), F.struct(c("score"), passes.alias("passes")))
+    return F.struct(
+        F.struct(c("candidate_index").alias("index"), c("strategy")).alias("candidate"),
+        F.struct(c("ratio"), (c("ratio") >= least_coverage).alias("constraints_met"), F.struct(c("preview"), c("output"), c("evaluations").alias("total")).alias("evaluations")).alias("coverage"),
+        quality.alias("image_quality"),
+        (c("coverage_pass") & passes).alias("accepted"),
+    )

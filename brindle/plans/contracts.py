@@ -322,3 +322,32 @@ def boundary_scores(spark, sf):
 
     rows = table(spark, sf, "embeddings").select("vec_id", F.get("embedding", F.lit(0)).cast("double").alias("x"))
     return search.scored(rows, load, "quality").select("vec_id", F.round("quality", 6).alias("quality"))
+
+
+@query(f"""WITH {E_SQL} SELECT strategy, count(*) AS n, count(*) FILTER (coverage_pass AND coalesce(score > 0.7, false)) AS accepted, count(score) AS judged, count(*) FILTER (ratio >= 0.08) AS met, sum(preview + output)::BIGINT AS parts, sum(evaluations)::BIGINT AS total FROM e GROUP BY 1""")
+def nested_documents(spark, sf):
+    """Entries as documents, written as JSON and read again."""
+    document = reports.capture_document(0.7, 0.08)
+    rows = _entries(spark, sf).select(document.alias("d"))
+    schema = rows.schema["d"].dataType
+    read = rows.select(F.from_json(F.to_json("d", {"ignoreNullFields": "false"}), schema).alias("d"))
+    return read.groupBy(F.col("d.candidate.strategy").alias("strategy")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("d.accepted").alias("accepted"), F.count("d.image_quality").alias("judged"), F.count_if("d.coverage.constraints_met").alias("met"),
+        F.sum(F.col("d.coverage.evaluations.preview") + F.col("d.coverage.evaluations.output")).cast("long").alias("parts"), F.sum("d.coverage.evaluations.total").cast("long").alias("total"),
+    )
+
+
+@query("""SELECT label, CASE WHEN min(abs(embedding[1]::DOUBLE)) / 2 < 0.01 AND greatest(max(embedding[1]::DOUBLE) - min(embedding[1]::DOUBLE), max(embedding[2]::DOUBLE) - min(embedding[2]::DOUBLE), max(embedding[3]::DOUBLE) - min(embedding[3]::DOUBLE)) / greatest(least(max(embedding[1]::DOUBLE) - min(embedding[1]::DOUBLE), max(embedding[2]::DOUBLE) - min(embedding[2]::DOUBLE), max(embedding[3]::DOUBLE) - min(embedding[3]::DOUBLE)), 1e-9) < 2 THEN 'object' ELSE 'interior' END AS kind FROM embeddings GROUP BY 1""")
+def inferred_kinds(spark, sf):
+    at = lambda i: F.get("embedding", F.lit(i)).cast("double")
+    span = lambda i: F.max(at(i)) - F.min(at(i))
+    by = table(spark, sf, "embeddings").groupBy("label").agg(F.min(F.abs(at(0))).alias("c"), *(span(i).alias(f"e{i}") for i in range(3)))
+    return by.select("label", sampling.inferred_kind(F.col("c"), F.lit(2.0), tuple(F.col(f"e{i}") for i in range(3))).alias("kind"))
+
+
+@query("""WITH z AS (SELECT a.frame, a.x, b.y FROM (SELECT row_number() OVER (ORDER BY vec_id) AS frame, embedding[1]::DOUBLE AS x FROM embeddings) a JOIN (SELECT row_number() OVER (ORDER BY vec_id DESC) AS frame, embedding[2]::DOUBLE AS y FROM embeddings) b USING (frame)) SELECT frame, round(x, 6) AS x, round(y, 6) AS y FROM z""")
+def zipped_frames(spark, sf):
+    """Two lists of frames, matched by place."""
+    rows = table(spark, sf, "embeddings")
+    side = lambda order, i, name: ranking.rank_all(rows.select("vec_id", F.round(F.get("embedding", F.lit(i)).cast("double"), 6).alias(name)), [order], "frame").select("frame", name)
+    return side(F.col("vec_id"), 0, "x").join(side(F.col("vec_id").desc(), 1, "y"), "frame")
