@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import natural_key
+from ..session import checkpointed
 
 
 def best_per_group(df: DataFrame, groups: list[str], order: list[Column], k: int = 1) -> DataFrame:
@@ -23,14 +24,14 @@ def rank_all(df: DataFrame, order: list[Column], name: str = "rank") -> DataFram
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id())
     part, place = F.shiftright("__at", 33).cast("int"), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
-    placed = placed.withColumn("__part", part).withColumn("__place", place).drop("__at").persist()
+    placed = checkpointed(placed.withColumn("__part", part).withColumn("__place", place).drop("__at"))
     sizes = placed.groupBy("__part").count().orderBy("__part").collect()  # one number for each partition
-    before, total = {}, 0
+    before, total = [], 0
     for r in sizes:
-        before[r[0]], total = total, total + r[1]
-    starts = F.create_map(*[F.lit(x).cast("int" if i % 2 == 0 else "long") for kv in before.items() for i, x in enumerate(kv)]) if before else None
-    start = F.element_at(starts, F.col("__part")) if starts is not None else F.lit(0).cast("long")
-    return placed.withColumn(name, start + F.col("__place") + 1).drop("__part", "__place")
+        before.append((r[0], total))
+        total += r[1]
+    starts = df.sparkSession.createDataFrame(before, "__part int, __start long")
+    return placed.join(F.broadcast(starts), "__part").withColumn(name, F.col("__start") + F.col("__place") + 1).select(*df.columns, name)
 
 
 def top_k(df: DataFrame, order: list[Column], k: int, name: str = "rank") -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.stats import finite
+from ..session import checkpointed
 from .quantiles import quantiles, with_quantiles
 
 XYZ = ("x", "y", "z")
@@ -63,8 +64,9 @@ def nearest(df: DataFrame, id_col: str, k: int = 1, cell: float | None = None) -
         if last:
             out = best
         else:
-            sure = best.groupBy("id").agg(F.max("distance").alias("far"), F.count(F.lit(1)).alias("n")).where((F.col("n") == k) & (F.col("far") <= size)).select("id").persist()
-            out, left = best.join(sure, "id", "left_semi"), left.join(sure, "id", "left_anti").persist()
+            sure = best.groupBy("id").agg(F.max("distance").alias("far"), F.count(F.lit(1)).alias("n")).where((F.col("n") == k) & (F.col("far") <= size)).select("id")
+            sure = checkpointed(sure)
+            out, left = checkpointed(best.join(sure, "id", "left_semi")), checkpointed(left.join(sure, "id", "left_anti"))
         done = out if done is None else done.union(out)
         if last or left.limit(1).count() == 0:
             break

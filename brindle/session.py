@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -21,3 +23,13 @@ def local_session(name: str = "brindle", cores: int | str = "*", partitions: int
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The same rows in the same partitions whenever they are read again, even if an executor is lost: written to the folder that the cluster names in spark.checkpoint.dir. Only on one machine, where it is unset, a folder is made here."""
+    context = df.sparkSession.sparkContext
+    if not context.getConf().get("spark.checkpoint.dir") and context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="brindle-checkpoint-"))
+    return df.checkpoint(eager=True)
