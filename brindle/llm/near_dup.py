@@ -292,8 +292,11 @@ def _rest(texts: DataFrame, banded: DataFrame, tested: DataFrame, labels: DataFr
         discard(last)
         if not members.limit(1).count():
             return found
-        pivots = _salted(members.where("pivot").select("band", F.col("node").alias("p"), F.col("class").alias("cp")))
-        met = pivots.join(members.select("band", "salt", F.col("node").alias("q"), F.col("class").alias("cq"), "pivot"), ["band", "salt"]).where("cp <> cq AND (NOT pivot OR p < q)")
+        own = F.collect_set("band").over(Window.partitionBy("node"))  # BANDS at most
+        pivots = _salted(members.where("pivot").select("band", F.col("node").alias("p"), F.col("class").alias("cp"), own.alias("p_bands")))
+        others = members.select("band", "salt", F.col("node").alias("q"), F.col("class").alias("cq"), "pivot", own.alias("q_bands"))
+        first = F.array_min(F.array_intersect("p_bands", "q_bands")) == F.col("x.band")  # of the bands in which a pivot meets a text
+        met = pivots.alias("x").join(others.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.salt") == F.col("y.salt")) & (F.col("cp") != F.col("cq")) & (~F.col("pivot") | (F.col("p") < F.col("q"))) & first)
         met = met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"), F.least("cp", "cq").alias("ca"), F.greatest("cp", "cq").alias("cb")).distinct()
         tested = written(verify(met.join(failed, ["a", "b"], "left_anti"), sets))
         new = tested.where("ok").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()

@@ -215,6 +215,27 @@ def test_pairs_across_tasks(spark):
     assert near_dup.keep_one(docs).collect()[0]["doc_id"] == 0
 
 
+def test_heavy_keys_are_spread(spark, monkeypatch):
+    """With a limit of a few rows, a text of many copies and a text that many are like are spread over tasks, and classes stay the same."""
+    from brindle.llm import shared
+
+    monkeypatch.setattr(shared, "LIGHT", 6)
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(120)]
+    docs = [(i, " ".join(base)) for i in range(40)]
+    for i in range(40, 90):
+        text = base[:]
+        text[rng.randrange(120)] = f"x{i}"
+        docs.append((i, " ".join(text)))
+    docs += [(100 + i, " ".join(f"v{i}u{j}" for j in range(50))) for i in range(10)] + [(3, " ".join(base[:60]))]
+    got = near_dup.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert len(got) == len(docs) and {r["class_id"] for r in got if r["doc_id"] < 90} == {0} and {r["class_id"] for r in got if r["doc_id"] >= 100} == {100 + i for i in range(10)}
+    heavy = shared.heavy_keys(spark.createDataFrame([(1, 13), (2, 6), (None, 50)], "k long, n long"), 69)
+    assert heavy == [(1, 3)]
+    rows, one = spark.createDataFrame([(1, i) for i in range(13)] + [(2, 0), (None, 1), (4, 1)], "k long, v long"), spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k long, s string")
+    assert sorted(tuple(r) for r in shared.join_spread(rows, one, "k", heavy).collect()) == [*((1, i, "a") for i in range(13)), (2, 0, "b")]
+
+
 def test_near_duplicates_of_odd_rows(spark, odd, none):
     rows = near_dup.classes(odd).collect()
     assert len(rows) == odd.count()
