@@ -39,6 +39,9 @@ LEAST_WEIGHT = 0.75
 #: Of an open band of up to SMALL texts all meet all others; of a larger one PIVOTS in each round.
 SMALL, PIVOTS = 24, 2
 
+#: So many ids of texts in open bands are sent to all tasks, to pick their elements (8 MB); more are joined with these.
+NAMED = 1 << 20
+
 _BLOCK = 1 << 14
 _FAN = 64
 _TABLE = 1 << 15
@@ -282,7 +285,8 @@ def _rest(texts: DataFrame, banded: DataFrame, tested: DataFrame, labels: DataFr
     links = ok.select(F.col("a").alias("node")).union(ok.select(F.col("b").alias("node"))).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
     members = where(banded.join(bands, "band", "left_semi").distinct(), "node", "class").join(links, "node", "left").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
     members = written(members.select("band", "node", "class", F.coalesce("links", F.lit(0)).alias("links"), "salt"))
-    sets = cut(sets.join(members.select(F.col("node").alias("id")).distinct(), "id", "left_semi"))
+    ids = written(members.select(F.col("node").alias("id")).distinct())
+    sets = cut(sets.join(F.broadcast(ids) if ids.count() <= NAMED else ids, "id", "left_semi"))
     found = None
     while True:
         state = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("band", "n")
