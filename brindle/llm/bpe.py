@@ -25,7 +25,7 @@ import regex
 from .shared import Cache, holds
 
 #: Bytes that the results of words may take in a worker; and entries after which the smaller tables are emptied. These change speed and never a result.
-CACHE_BYTES = 160 << 20
+CACHE_BYTES = 96 << 20
 PAIRS, HEADS = 200_000, 30_000
 
 #: Below this code point no character combines with another, and the regex library agrees with the tokenizers library.
