@@ -10,7 +10,7 @@
 4. Pairs are verified by their exact weighted Jaccard similarity, and connected components of those that pass are the
    classes. Copies of a text go through all this once.
 5. A band whose texts aren't in one class by then is open. Small ones are gone through pair by pair; in large ones the
-   texts with the most links meet all others, in rounds, as long as that links anything.
+   texts with the most links meet all others, in rounds, as long as that links more than a few.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ CELLS = 1 << CELL_BITS
 LEAST_WEIGHT = 0.75
 
 #: Of an open band of up to SMALL texts all meet all others; of a larger one PIVOTS in each round.
-SMALL, PIVOTS = 24, 2
+SMALL, PIVOTS, FEW = 24, 2, 100
 
 #: So many ids of texts in open bands are sent to all tasks, to pick their elements (8 MB); more are joined with these.
 NAMED = 1 << 20
@@ -304,11 +304,14 @@ def _rest(texts: DataFrame, banded: DataFrame, tested: DataFrame, labels: DataFr
         met = met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"), F.least("cp", "cq").alias("ca"), F.greatest("cp", "cq").alias("cb")).distinct()
         tested = written(verify(met.join(failed, ["a", "b"], "left_anti"), sets))
         new = tested.where("ok").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
-        if not new.limit(1).count():
+        linked = new.count()
+        if not linked:
+            return found
+        found = new if found is None else found.union(new)
+        if linked * FEW < members.select("band").distinct().count():
             return found
         failed = written(failed.union(tested.where("NOT ok").select("a", "b")))
         members = members.where("NOT pivot").drop("pivot")
-        found = new if found is None else found.union(new)
         to = _salted(components(new).select(F.col("node").alias("class"), "component"))
         members = written(members.join(to, ["class", "salt"], "left").withColumn("class", F.coalesce("component", "class")).drop("component"))
 
