@@ -61,9 +61,9 @@ MOST_HEAVY = 1 << 16
 LIGHT = 256
 
 
-def heavy_keys(counts: DataFrame, total: int) -> list[tuple]:
-    """Of counts (key columns, then `n`) of `total` rows in all: the keys of more than LIGHT rows and more than a 65,536th of all, each with the number of parts, of about as many rows as the limit, to spread it over. So the driver gets MOST_HEAVY rows at the very most."""
-    limit = max(LIGHT, -(-total // MOST_HEAVY))
+def heavy_keys(counts: DataFrame, total: int, light: int | None = None) -> list[tuple]:
+    """Of counts (key columns, then `n`) of `total` rows in all: the keys of more than `light` rows (LIGHT by default) and more than a 65,536th of all, each with the number of parts, of about as many rows as the limit, to spread it over. So the driver gets MOST_HEAVY rows at the very most."""
+    limit = max(LIGHT if light is None else light, -(-total // MOST_HEAVY))
     keys = [c for c in counts.columns if c != "n"]
     found = counts.where((F.col("n") > limit) & F.col(keys[-1]).isNotNull()).collect() if total > limit else []
     return [(*(r[c] for c in keys), -(-r["n"] // limit)) for r in found]

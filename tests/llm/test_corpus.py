@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -131,7 +132,9 @@ def test_toxicity_of_odd_rows(spark, odd, none):
     assert toxicity.fit(odd, labels, F.lit(True)).weights[0] > 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("part", [3, 1 << 16])
+def test_components(spark, monkeypatch, part):
+    monkeypatch.setattr(graph, "PART", part)
     rng = random.Random(4)
     edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(1000 + i, 1001 + i) for i in range(60)] + [(5, 5)]
     parent = {}
