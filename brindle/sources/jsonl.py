@@ -6,18 +6,28 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import stored
+
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """Every line with its file and its number there, from 0.
+    """Every line with its file and its number there, from 0, and whether it is a last one without an end.
 
-    Line numbers need a file's lines in order, so each file is read whole by one task; ledgers are many files of a
-    bounded size.
+    A file is read in blocks, by as many tasks as it has blocks, and no task holds more than a line of it. The lines are
+    stored once with their places in their blocks, and the blocks' counts give their places in the files. A file whose
+    lines, with an end each, are a byte longer than itself has none after its last line.
     """
-    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), F.decode("content", "utf-8").alias("text"))
-    ended = F.endswith("text", F.lit("\n"))
-    parts = F.when(F.length("text") == 0, F.array().cast("array<string>")).otherwise(F.split(F.when(ended, F.substring("text", F.lit(1), F.length("text") - 1)).otherwise(F.col("text")), "\n"))
-    rows = files.select("file", ended.alias("ended"), F.posexplode(parts).alias("line_no", "line"), F.size(parts).alias("__n"))
-    return rows.select("file", "line_no", "line", (~F.col("ended") & (F.col("line_no") == F.col("__n") - 1)).alias("unended"))
+    place = [F.col(f"_metadata.{c}").alias(x) for c, x in (("file_path", "__path"), ("file_block_start", "__block"), ("file_size", "__size"))]
+    kept = stored(spark.read.option("lineSep", "\n").text(path).select(*place, F.monotonically_increasing_id().alias("__at"), F.col("value").alias("line")))
+    blocks = kept.groupBy("__path", "__block").agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__n"), F.sum(F.octet_length("line") + F.lit(1)).alias("__bytes"), F.max("__size").alias("__size"))
+    of_file = Window.partitionBy("__path")
+    before = F.coalesce(F.sum("__n").over(of_file.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    over = F.sum("__bytes").over(of_file) - F.col("__size")  # 1 without a last end; less by 3 if the reader has left out a byte order mark
+    name = F.regexp_replace(F.url_decode(F.replace("__path", F.lit("+"), F.lit("%2B"))), "^file:///", "file:/")
+    blocks = stored(blocks.select("__path", "__block", name.alias("file"), (before - F.col("__first")).alias("__shift"), F.sum("__n").over(of_file).alias("__lines"), over.isin(1, -2).alias("__unended"), over.isin(-2, -3).alias("__marked")))
+    number = F.col("__at") + F.col("__shift")
+    rows = kept.join(blocks, ["__path", "__block"])
+    line = F.when(F.col("__marked") & (number == 0), F.concat(F.lit("\ufeff"), "line")).otherwise(F.col("line"))
+    return rows.select("file", number.alias("line_no"), line.alias("line"), (F.col("__unended") & (number == F.col("__lines") - 1)).alias("unended"))
 
 
 def parsed(rows: DataFrame, schema: StructType | str) -> DataFrame:

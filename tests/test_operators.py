@@ -441,3 +441,19 @@ def test_sampling(spark):
     assert all(-90 + 4.5 * i <= r["y"] < -90 + 4.5 * (i + 1) for i, r in enumerate(rows))
     a, b = df.limit(1).select(*(sampling.shuffled(F.sequence(F.lit(0), F.lit(99)), s) for s in (1, 2))).head()
     assert sorted(a) == list(range(100)) and a != b and a != sorted(a)
+
+
+def test_json_lines_are_numbered_across_the_blocks_of_a_file(spark, tmp_path):
+    texts = {"a b+c.jsonl": "".join(f'{{"score": {i}}}\n' for i in range(3000)), "open.jsonl": "".join(f"é{i}\r\n\n" for i in range(500)) + "last", "empty.jsonl": "", "blank.jsonl": "\n", "marked.jsonl": "\ufeffx\ny"}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text, newline="")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        found = jsonl.lines(spark, str(tmp_path))
+        assert found.rdd.getNumPartitions() > len(texts)  # one file is the work of several tasks
+        rows = sorted((r["file"].rpartition("/")[2], r["line_no"], r["line"], r["unended"]) for r in found.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    expected = [(name, i, line, not text.endswith("\n") and i == text.count("\n")) for name, text in texts.items() if text for i, line in enumerate(text.removesuffix("\n").split("\n"))]
+    assert rows == sorted(expected)
