@@ -28,10 +28,10 @@ def ledger_file(spark, sf):
 
 @query("SELECT event_type, count(*) AS n, round(sum(value + 1), 4) AS total FROM events WHERE event_type <> 'error' GROUP BY 1")
 def ledger_file_lenient(spark, sf):
-    """A ledger in which every event stands twice; the last entry counts, and unknown types are skipped."""
+    """A ledger in which every event stands twice, both times in one file; the last entry counts, and unknown types are skipped."""
     folder, rows = f"{_folder(spark)}/ledger", _events(spark, sf)
     twice = rows.withColumn("k", F.lit(0)).union(rows.withColumn("value", F.col("value") + 1).withColumn("k", F.lit(1)))
-    writers.append(twice.coalesce(1).sortWithinPartitions("k", "event_id").drop("k"), folder)
+    writers.append(twice.repartition("event_id").sortWithinPartitions("k", "event_id").drop("k"), folder)
     found = jsonl.read_lenient(spark, folder, ENTRY, ["event_id"], F.col("event_type") != "error")
     return found.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
 

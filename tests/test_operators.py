@@ -457,3 +457,18 @@ def test_json_lines_are_numbered_across_the_blocks_of_a_file(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     expected = [(name, i, line, not text.endswith("\n") and i == text.count("\n")) for name, text in texts.items() if text for i, line in enumerate(text.removesuffix("\n").split("\n"))]
     assert rows == sorted(expected)
+
+
+def test_lenient_ledger_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    from brindle.plans import files
+
+    monkeypatch.setattr(files, "_folder", lambda spark: f"file:{tmp_path}")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = files.ledger_file_lenient(spark, "/root/testdata/sf0.001").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = [[json.loads(line) for line in p.read_text().splitlines()] for p in (tmp_path / "ledger").glob("part-*")]
+    assert len([p for p in parts if p]) > 1
+    assert all(len(p) == 2 * len({e["event_id"] for e in p}) for p in parts)  # an event's two entries are in one file
+    assert sum(r["n"] for r in found) == sum(len(p) for p in [[e for e in p if e["event_type"] != "error"] for p in parts]) / 2
