@@ -12,8 +12,6 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).head())
 
 
-#: Rows of an open band or a class meet its one row in so many tasks.
-SALTS = 16
 #: Rows of two numbers that one task gets of a hub.
 PART = 1 << 16
 

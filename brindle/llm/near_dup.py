@@ -9,15 +9,17 @@
    band. Pairs grow in proportion to the texts, however large a band is.
 4. Pairs are verified by their exact weighted Jaccard similarity, and connected components of those that pass are the
    classes. Copies of a text go through all this once.
-5. A band whose texts aren't in one class by then is open. Small ones are gone through pair by pair; in large ones the
-   texts with the most links meet all others, in rounds, as long as that links more than a few.
+5. A band whose texts aren't in one class by then is open. All its pairs of texts in two classes are verified too, within
+   tasks: a band's texts are dealt to blocks, every two blocks that can hold a pair meet in one task, and what leaves it
+   are links between classes. So texts of a similarity of THRESHOLD that share a band are always in one class.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -26,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .graph import SALTS, components
-from .shared import claim, cut, discard, heavy_keys, holds, join_spread, map_rows, pieces, text_or_empty, written
+from .graph import components
+from .shared import claim, cut, heavy_keys, holds, join_spread, map_rows, pieces, text_or_empty, written
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 16, 4
@@ -36,11 +38,10 @@ CELLS = 1 << CELL_BITS
 #: A shingle's weight lies between LEAST_WEIGHT (in every document) and 1 (in almost none). Were frequent ones worth next to nothing, a large group of copies would look less alike than a small one with the same edits.
 LEAST_WEIGHT = 0.75
 
-#: Of an open band of up to SMALL texts all meet all others; of a larger one PIVOTS in each round.
-SMALL, PIVOTS, FEW = 24, 2, 100
-
-#: So many ids of texts in open bands are sent to all tasks, to pick their elements (8 MB); more are joined with these.
-NAMED = 1 << 20
+#: Texts, and bytes of elements, that a block of an open band holds, about.
+TEXTS, TEXT_BYTES = 512, 4 << 20
+#: Columns of the matrix by which a task compares many texts at once.
+COLUMNS = 2048
 
 _BLOCK = 1 << 14
 _FAN = 64
@@ -262,58 +263,133 @@ def text_key(column: str) -> Column:
     return F.md5(text_or_empty(column).cast("binary"))
 
 
-def _salted(df: DataFrame) -> DataFrame:
-    """Every row once for each salt, so that the rows of a hot band or class needn't meet it in one task."""
-    return df.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+def _first(own: list[list[int]], band: int) -> np.ndarray:
+    """For every two texts, given by their open bands: is `band` the least one that they share? All of them have it."""
+    owner = np.repeat(np.arange(len(own)), [len(x) for x in own])
+    bands = np.fromiter((x for one in own for x in one), np.int64, len(owner))
+    values, column, count = np.unique(bands, return_inverse=True, return_counts=True)
+    kept = (count > 1) & (values < band)
+    held = np.zeros((len(own), len(values)), np.float32)
+    held[owner, column] = 1
+    held = held[:, kept]
+    return held @ held.T == 0
+
+
+def _common(sets: list[np.ndarray], weights: np.ndarray) -> np.ndarray:
+    """For every two sets of elements the weight of what they have in common."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    values, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    kept = count > 1  # the others are in no two sets
+    place = np.cumsum(kept) - 1
+    owner, column = owner[kept[column]], place[column[kept[column]]]
+    w = weights[values[kept] & np.uint32(CELLS - 1)].astype(np.float64)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(sets), len(sets)))
+    for at in range(0, len(w), COLUMNS):
+        low, high = np.searchsorted(column, (at, at + COLUMNS))
+        x = np.zeros((len(sets), min(COLUMNS, len(w) - at)))
+        x[owner[low:high], column[low:high] - at] = 1
+        out += (x * w[at : at + COLUMNS]) @ x.T
+    return out
+
+
+def links_within(band: int, rows: list[tuple], weights: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Links between classes of an open band's texts. rows: (side, class, open bands, total weight, elements as bytes); texts of sides 0 and 1 meet those of the other side, and texts of side 2 meet all.
+
+    All pairs of two classes count for which this band is the first that both have, and whose total weights don't rule the
+    threshold out. The links tie the classes as all pairs that are alike would, without naming each.
+    """
+    side, label, total = (np.array([r[i] for r in rows]) for i in (0, 1, 3))
+    able = np.triu(label[:, None] != label, 1) & ((side[:, None] != side) | (side == 2))
+    able &= np.minimum(total[:, None], total) >= (threshold - 1e-9) * np.maximum(total[:, None], total)
+    if able.any():
+        able &= _first([r[2] for r in rows], band)
+    a, b = np.nonzero(able)
+    if not len(a):
+        return []
+    sets = {i: np.frombuffer(rows[i][4], np.uint32) for i in np.union1d(a, b).tolist()}
+    if len(a) > 2 * len(sets):
+        place = {i: n for n, i in enumerate(sets)}
+        x, y = (np.array([place[i] for i in v.tolist()]) for v in (a, b))
+        both = _common(list(sets.values()), weights)[x, y]
+        alike = both / (total[a] + total[b] - both)
+        maybe = alike >= threshold - 1e-9
+        a, b, sure = a[maybe], b[maybe], alike[maybe] > threshold + 1e-9
+    else:
+        sure = np.zeros(len(a), bool)
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = up
+        return x
+
+    out = []
+    for i, j, known in zip(a.tolist(), b.tolist(), sure.tolist(), strict=True):
+        x, y = root(int(label[i])), root(int(label[j]))
+        if x != y and (known or similarity(sets[i], sets[j], weights) >= threshold):
+            parent[max(x, y)] = min(x, y)
+            out.append((int(label[i]), int(label[j])))
+    return out
 
 
-def _rest(texts: DataFrame, banded: DataFrame, tested: DataFrame, labels: DataFrame, sets: DataFrame, verify: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame | None:
+def _rest(texts: DataFrame, banded: DataFrame, tested: DataFrame, labels: DataFrame, sets: DataFrame, weights, threshold: float) -> DataFrame | None:
     """Links (a, b) between classes that `tested` pairs (a, b, ok) with their classes `labels` have left out; None if there are none.
 
-    Only bands that hold a pair which failed and whose texts are in two classes can be open. In each round the pivots of
-    an open band meet all its texts of other classes, and then leave it: all texts of a band of SMALL texts at most, and
-    of a larger one the PIVOTS with the most links, since what ties texts that aren't like each other is a text that many
-    are like. Rounds go on as long as they link anything, so their work is in proportion to the texts of open bands.
+    Only bands that hold a pair which failed and whose texts are in two classes can be open. One of up to TEXTS texts is
+    the work of one task. The texts of a larger one are dealt to cells by the logarithm of their total weight, so that
+    texts of the similarity are in the same or in neighbouring cells, and those of a cell to blocks by their hash. Every
+    two blocks that can hold a pair of two classes are the work of one task, so no task holds more than two blocks, and a
+    text's elements go to as many tasks as there are blocks in its cell and the two beside it.
     """
     where = lambda df, node, to: df.join(labels.select(F.col("node").alias(node), F.col("component").alias(to)), node, "left").withColumn(to, F.coalesce(to, node))
-    failed = written(where(where(tested.where("NOT ok").select("a", "b"), "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b").distinct())
+    failed = written(where(where(tested.where("NOT ok").select("a", "b"), "a", "ca"), "b", "cb").where("ca <> cb").select("a", "b"))
     if not failed.limit(1).count():
         return None
+    partitions = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     of = lambda x: texts.where("node IS NOT NULL").select(F.col("node").alias(x), F.col("bands").alias(f"{x}_bands"))
     bands = failed.join(of("a"), "a").join(of("b"), "b").select(F.explode(F.array_intersect("a_bands", "b_bands")).alias("band")).distinct()
-    ok = tested.where("ok")
-    links = ok.select(F.col("a").alias("node")).union(ok.select(F.col("b").alias("node"))).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
-    members = where(banded.join(bands, "band", "left_semi").distinct(), "node", "class").join(links, "node", "left").withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
-    members = written(members.select("band", "node", "class", F.coalesce("links", F.lit(0)).alias("links"), "salt"))
-    ids = written(members.select(F.col("node").alias("id")).distinct())
-    sets = cut(sets.join(F.broadcast(ids) if ids.count() <= NAMED else ids, "id", "left_semi"))
-    found = None
-    while True:
-        state = members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("band", "n")
-        most = Window.partitionBy("band").orderBy(F.desc("links"), F.xxhash64("node", "band"))
-        best = members.withColumn("nth", F.row_number().over(most)).where(F.col("nth") <= PIVOTS).groupBy("band").agg(F.collect_list("node").alias("best"))  # PIVOTS rows of each band leave a task
-        last, members = members, written(members.join(_salted(state.join(best, "band")), ["band", "salt"]).select("band", "node", "class", "links", "salt", ((F.col("n") <= SMALL) | F.array_contains("best", F.col("node"))).alias("pivot")))
-        discard(last)
-        if not members.limit(1).count():
-            return found
-        own = F.collect_set("band").over(Window.partitionBy("node"))  # BANDS at most
-        pivots = _salted(members.where("pivot").select("band", F.col("node").alias("p"), F.col("class").alias("cp"), own.alias("p_bands")))
-        others = members.select("band", "salt", F.col("node").alias("q"), F.col("class").alias("cq"), "pivot", own.alias("q_bands"))
-        first = F.array_min(F.array_intersect("p_bands", "q_bands")) == F.col("x.band")  # of the bands in which a pivot meets a text
-        met = pivots.alias("x").join(others.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.salt") == F.col("y.salt")) & (F.col("cp") != F.col("cq")) & (~F.col("pivot") | (F.col("p") < F.col("q"))) & first)
-        met = met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"), F.least("cp", "cq").alias("ca"), F.greatest("cp", "cq").alias("cb")).distinct()
-        tested = written(verify(met.join(failed, ["a", "b"], "left_anti"), sets))
-        new = tested.where("ok").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct()
-        linked = new.count()
-        if not linked:
-            return found
-        found = new if found is None else found.union(new)
-        if linked * FEW < members.select("band").distinct().count():
-            return found
-        failed = written(failed.union(tested.where("NOT ok").select("a", "b")))
-        members = members.where("NOT pivot").drop("pivot")
-        to = _salted(components(new).select(F.col("node").alias("class"), "component"))
-        members = written(members.join(to, ["class", "salt"], "left").withColumn("class", F.coalesce("component", "class")).drop("component"))
+    step = -1.001 * math.log(threshold) if 0.01 < threshold < 1 else 1e-6 if threshold >= 1 else math.inf
+    own = F.collect_set("band").over(Window.partitionBy("node"))  # BANDS at most
+    members = where(banded.join(bands, "band", "left_semi").distinct(), "node", "class")
+    members = written(members.join(sets.select(F.col("id").alias("node"), "weight", F.octet_length("elements").alias("size")), "node").select("band", "node", "class", own.alias("own"), "weight", "size", F.floor(F.ln("weight") / F.lit(step)).cast("int").alias("cell")))
+    blocks = lambda: F.greatest(F.ceil(F.count(F.lit(1)) / TEXTS), F.ceil(F.sum("size") / TEXT_BYTES)).cast("int")
+    large = members.groupBy("band").agg(blocks().alias("n")).where("n > 1").select("band")
+    cells = members.join(large, "band", "left_semi").groupBy("band", "cell").agg(blocks().alias("n"), F.min("class").alias("low"), F.max("class").alias("high"))
+    cells = written(cells.groupBy("band").agg(F.map_from_entries(F.collect_list(F.struct("cell", F.struct("n", "low", "high")))).alias("cells")))  # some sixty of them at most
+    mine, lower, upper = (F.try_element_at("cells", F.col("cell") + i) for i in (0, -1, 1))
+    block = F.pmod(F.xxhash64("node", "band"), mine["n"]).cast("int")
+    unit = lambda cell, kind, i, j, side: F.struct(F.concat_ws(" ", cell, F.lit(kind), i, j).alias("unit"), side.cast("int").alias("side"))
+    each = lambda n, f: F.transform(F.sequence(F.lit(0), n - 1), f)
+    two = lambda other: other.isNotNull() & (F.least(mine["low"], other["low"]) < F.greatest(mine["high"], other["high"]))
+    none = F.array().cast("array<struct<unit:string,side:int>>")
+    at = F.col("cell")
+    met = F.concat(
+        F.when(mine["low"] < mine["high"], each(mine["n"], lambda j: unit(at, "in", F.least(block, j), F.greatest(block, j), F.when(block == j, 2).when(block < j, 0).otherwise(1)))).otherwise(none),
+        F.when(two(upper), each(upper["n"], lambda j: unit(at, "up", block, j, F.lit(0)))).otherwise(none),
+        F.when(two(lower), each(lower["n"], lambda j: unit(at - 1, "up", j, block, F.lit(1)))).otherwise(none),
+    )
+    dealt = members.join(cells, "band", "left").withColumn("u", F.explode(F.when(F.col("cells").isNull(), F.array(F.struct(F.lit("").alias("unit"), F.lit(2).alias("side")))).otherwise(met)))
+    dealt = dealt.select("band", "u.unit", "u.side", "node", "class", "own", "weight").join(sets.select(F.col("id").alias("node"), "elements"), "node")
+    dealt = dealt.select("band", "unit", "side", "class", "own", "weight", "elements").repartition(partitions, "band", "unit").sortWithinPartitions("band", "unit")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("near_dup")
+        emit = lambda found: pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+        last, rows = None, []
+        for batch in (x for b in batches for x in pieces(b)):
+            for band, unit, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (band, unit) != last:
+                    if len(rows) > 1 and (found := links_within(last[0], rows, weights.value, threshold)):
+                        yield emit(found)
+                    last, rows = (band, unit), []
+                rows.append(row)
+        if len(rows) > 1 and (found := links_within(last[0], rows, weights.value, threshold)):
+            yield emit(found)
+
+    return written(dealt.mapInArrow(run, "a long, b long").distinct())
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -326,7 +402,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     Other columns are not read. An empty table gives an empty table.
 
     Shuffles: a row of 16 bands for each document and text; the texts once, to pick those in pairs; for each pair one
-    text's elements (4 bytes a word). Open bands (see _rest) move the elements of their texts again in each round.
+    text's elements (4 bytes a word). Open bands (see _rest) move the elements of their texts once more for each of them.
     """
     named = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
     spark = docs.sparkSession
@@ -349,14 +425,15 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     pairs = written(found.where("b IS NOT NULL").select("a", "b").union(bridges).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
     def to_elements(batch: pa.RecordBatch) -> list[pa.Array]:
-        return [batch.column(0), pa.array([elements(x).tobytes() for x in batch.column(1).to_pylist()], pa.binary())]
+        w, found = weights.value, [elements(x) for x in batch.column(1).to_pylist()]
+        return [batch.column(0), pa.array([x.tobytes() for x in found], pa.binary()), pa.array([float(w[x & np.uint32(CELLS - 1)].sum(dtype=np.float64)) for x in found], pa.float64())]
 
     nodes = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
     wanted = texts.select(F.col("node").alias("id"), "key").join(nodes, "id", "left_semi")
     chosen = named.select("id", text_key("text").alias("key"), "text").join(wanted, ["id", "key"], "left_semi")
-    sets = cut(map_rows(chosen.select("id", "text"), to_elements, "id long, elements binary", ["id", "elements"], most_bytes=2 << 20, owner="near_dup"))
+    sets = cut(map_rows(chosen.select("id", "text"), to_elements, "id long, elements binary, weight double", ["id", "elements", "weight"], most_bytes=2 << 20, owner="near_dup"))
 
-    def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    def verify(pairs: DataFrame) -> DataFrame:
         """The pairs, with a column `ok`."""
         names = pairs.columns
 
@@ -372,7 +449,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
         with_b = join_spread(with_a, sets.select(F.col("id").alias("b"), F.col("elements").alias("y")), "b", of("b")).select(*names, "x", "y")
         return map_rows(with_b, similar, "".join(f"{x} long, " for x in names) + "ok boolean", [*names, "ok"], owner="near_dup")
 
-    tested = written(verify(pairs, sets))
+    tested = written(verify(pairs))
     links = tested.where("ok").select("a", "b")
 
     keyed = named.select("id", text_key("text").alias("key"))
@@ -383,7 +460,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
         several = join_spread(keyed.join(shared, "id", "left_semi"), texts.select("key", "node"), "key", heavy).where("id <> node")
         ties = ties.union(several.select(F.col("node").alias("b"), F.col("id").alias("a")))
     labels = components(ties)
-    if (more := _rest(texts, banded, tested, labels, sets, verify)) is not None:
+    if (more := _rest(texts, banded, tested, labels, sets, weights, threshold)) is not None:
         labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     named_texts = texts.select("key", F.col("node").alias("copy_of")).join(labels, F.col("copy_of") == F.col("node"), "left").select("key", "copy_of", F.coalesce("component", "copy_of").alias("class_id"))
     return join_spread(keyed, named_texts, "key", heavy).select(F.col("id").alias(id_col), "copy_of", "class_id")

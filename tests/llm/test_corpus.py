@@ -351,3 +351,35 @@ def test_pipeline_against_its_parts(spark):
         whole[r["doc_id"]] = whole.get(r["doc_id"], 0) + r["length"]
         assert r["length"] * 4 == len(r["ids"])
     assert all(whole[r["doc_id"]] == r["doc_tokens"] for r in rows)
+
+
+@pytest.mark.parametrize("texts", [16, 512])
+def test_no_link_is_lost_in_large_bands(spark, monkeypatch, texts):
+    """Some pairs of texts that are alike, amid many that share most of their bands with both and are like none; in one block and in many, of several cells."""
+    monkeypatch.setattr(near_dup, "TEXTS", texts, raising=False)
+    part = lambda name, n: " ".join(f"{name}x{i}" for i in range(n))
+    paired = lambda i: i % 25 == 0  # noqa: E731  with the one 250 further on
+    docs = [(i, f"{part('core', 850)} {part(f'pair{i % 250}', 20)} {part(f'own{i}', 70)}" if paired(i) else f"{part('core', 850)} {part(f'own{i}', 95 + (i % 3) ** 9)}") for i in range(500)]
+    got = {r["doc_id"]: r["class_id"] for r in near_dup.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == brute_classes(docs) == {i: i % 250 if paired(i) else i for i, _ in docs}
+
+
+def test_links_of_a_band_against_every_pair():
+    rng, weights = np.random.default_rng(4), np.random.default_rng(5).uniform(near_dup.LEAST_WEIGHT, 1, near_dup.CELLS).astype(np.float32)
+    core, band = rng.integers(0, 1 << 32, 400, np.uint32), 50
+    for n, sides in ((40, (2,)), (60, (0, 1)), (5, (2,))):
+        sets = [np.unique(np.concatenate([core[: rng.integers(300, 400)], rng.integers(0, 1 << 32, rng.integers(0, 60), np.uint32)])) for _ in range(n)]
+        rows = [(sides[i % len(sides)], i // 2, [band, *({10, 60, 70} if i % 7 == 0 else set())], float(weights[s & np.uint32(near_dup.CELLS - 1)].sum(dtype=np.float64)), s.tobytes()) for i, s in enumerate(sets)]
+        tie = lambda pairs: sorted({frozenset(x) for x in _joined(pairs)}, key=min)
+        meets = lambda i, j: i // 2 != j // 2 and (len(sides) == 1 or i % 2 != j % 2) and not (i % 7 == j % 7 == 0)
+        wanted = [(i // 2, j // 2) for j in range(n) for i in range(j) if meets(i, j) and near_dup.similarity(sets[i], sets[j], weights) >= 0.8]
+        got = near_dup.links_within(band, rows, weights, 0.8)
+        assert wanted and tie(got) == tie(wanted) and len(got) < n
+
+
+def _joined(pairs):
+    groups = []
+    for pair in pairs:
+        hit = [g for g in groups if g & set(pair)]
+        groups = [g for g in groups if g not in hit] + [set(pair).union(*hit)]
+    return groups
