@@ -356,7 +356,7 @@ def _rest(texts: DataFrame, banded: DataFrame, tested: DataFrame, labels: DataFr
     members = where(banded.join(bands, "band", "left_semi").distinct(), "node", "class")
     members = written(members.join(sets.select(F.col("id").alias("node"), "weight", F.octet_length("elements").alias("size")), "node").select("band", "node", "class", own.alias("own"), "weight", "size", F.floor(F.ln("weight") / F.lit(step)).cast("int").alias("cell")))
     blocks = lambda: F.greatest(F.ceil(F.count(F.lit(1)) / TEXTS), F.ceil(F.sum("size") / TEXT_BYTES)).cast("int")
-    large = members.groupBy("band").agg(blocks().alias("n")).where("n > 1").select("band")
+    large = written(members.groupBy("band").agg(blocks().alias("n")).where("n > 1").select("band"))  # few, so no band's texts meet in one task
     cells = members.join(large, "band", "left_semi").groupBy("band", "cell").agg(blocks().alias("n"), F.min("class").alias("low"), F.max("class").alias("high"))
     cells = written(cells.groupBy("band").agg(F.map_from_entries(F.collect_list(F.struct("cell", F.struct("n", "low", "high")))).alias("cells")))  # some sixty of them at most
     mine, lower, upper = (F.try_element_at("cells", F.col("cell") + i) for i in (0, -1, 1))
