@@ -17,7 +17,7 @@ import os
 import re
 from array import array
 from functools import cached_property, lru_cache
-from itertools import chain, filterfalse
+from itertools import chain, repeat
 
 import numpy as np
 import regex
@@ -371,34 +371,56 @@ class LibraryEncoder:
         self.is_end[[i for t, i in vocab.items() if suffix and t.endswith(suffix)]] = True
         self.model, self.letters = Tokenizer(self.library.model), dict(enumerate(byte_letters()))
         self.specials = re.compile("|".join(re.escape(x["content"]) for x in spec["added_tokens"]) or r"(?!)")
-        self.words = Cache(lambda word: self._learn([word])[word], CACHE_BYTES)
+        self._forget()
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", x.ids).tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: list[str]) -> dict[str, bytes]:
-        """Of words that are one pre-token each. They go to the library's model past the preparation of text, which is done."""
-        out: dict[str, bytes] = {}
+    def _forget(self) -> None:
+        """Of each word its number; by number, where its ids begin in `pool` and how many they are."""
+        self.words: dict[str, int] = {}
+        self.used = self.filled = 0
+        self.starts, self.lengths, self.pool = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(4096, np.uint32)
+
+    def _model_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words that are one pre-token each, one after the other, and how many each has. They go to the library's model past the preparation of text, which is done."""
+        letters = [w if w.isascii() and w.isalpha() else w.encode().decode("latin-1").translate(self.letters) for w in words]
+        if not self.marks_ends:
+            found = [x.ids for x in self.model.encode_batch_fast([[w] for w in letters], is_pretokenized=True, add_special_tokens=False)]
+            return np.fromiter(chain.from_iterable(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.array(self.model.encode_batch_fast([letters], is_pretokenized=True, add_special_tokens=False)[0].ids, np.uint32)
+        return ids, np.diff(np.flatnonzero(self.is_end[ids]) + 1, prepend=0)  # every word ends with the one of its tokens that marks an end
+
+    def _learn(self, words: list[str]) -> None:
+        room = lambda x, n: x if n <= len(x) else np.concatenate([x, np.zeros(max(n - len(x), len(x) // 2), x.dtype)])
         for at in range(0, len(words), 5000):
             some = words[at : at + 5000]
-            letters = [w if w.isascii() and w.isalpha() else w.encode().decode("latin-1").translate(self.letters) for w in some]
-            if not self.marks_ends:
-                out.update(zip(some, [array("I", x.ids).tobytes() for x in self.model.encode_batch_fast([[w] for w in letters], is_pretokenized=True, add_special_tokens=False)], strict=True))
-                continue
-            ids = np.array(self.model.encode_batch_fast([letters], is_pretokenized=True, add_special_tokens=False)[0].ids, np.uint32)
-            ends = (4 * (np.flatnonzero(self.is_end[ids]) + 1)).tolist()  # every word ends with the one of its tokens that marks an end
-            data = ids.tobytes()
-            out.update(zip(some, [data[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], strict=True))
-        return out
+            ids, n = self._model_ids(some)
+            first, last = len(self.words), len(self.words) + len(some)
+            self.starts, self.lengths, self.pool = room(self.starts, last), room(self.lengths, last), room(self.pool, self.filled + len(ids))
+            self.starts[first:last], self.lengths[first:last] = self.filled + np.cumsum(n) - n, n
+            self.pool[self.filled : self.filled + len(ids)] = ids
+            self.filled += len(ids)
+            self.used += 240 * len(some) + sum(map(len, some)) + 4 * len(ids)  # with Python's objects and the dictionary's places
+            self.words.update(zip(some, range(first, last), strict=True))
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        """Of each text, as native unsigned 32-bit integers. A text with special strings or with letters that aren't plain goes to the library whole."""
+        """Of each text, as native unsigned 32-bit integers. A text with special strings or with letters that aren't plain goes to the library whole. Words are looked up once; when they take CACHE_BYTES, all are forgotten."""
         plain = [is_plain(t) and not self.specials.search(t) for t in texts]
-        words = [self.pattern.findall(t.lower() if self.marks_ends else t) if p else [] for t, p in zip(texts, plain, strict=True)]
-        cache = self.words
-        cache.add(self._learn(list(set(filterfalse(cache.__contains__, chain.from_iterable(words))))))
+        parts = [self.pattern.findall(t.lower() if self.marks_ends else t) if p else [] for t, p in zip(texts, plain, strict=True)]
+        words = list(chain.from_iterable(parts))
+        if self.used > CACHE_BYTES:
+            self._forget()
+        which = np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, len(words))
+        if len(new := np.flatnonzero(which < 0).tolist()):
+            self._learn(list(dict.fromkeys(words[i] for i in new)))
+            which[new] = [self.words[words[i]] for i in new]
+        n = self.lengths[which]
+        ends = np.cumsum(n)
+        found = self.pool[np.repeat(self.starts[which] - ends + n, n) + np.arange(n.sum())]
+        ends = np.concatenate([[0], ends])[np.cumsum([0, *map(len, parts)])].tolist()  # of texts
         whole = iter(self._encode([t for t, p in zip(texts, plain, strict=True) if not p]))
-        return [b"".join(map(cache.__getitem__, w)) if p else next(whole) for w, p in zip(words, plain, strict=True)]
+        return [found[a:b].tobytes() if p else next(whole) for a, b, p in zip(ends[:-1], ends[1:], plain, strict=True)]
 
 
 @lru_cache(maxsize=2)

@@ -232,3 +232,20 @@ def test_packing_query(spark):
     for r in rows:
         assert r["ids_crc32"] == zlib.crc32(ids[r["doc_id"]][r["start"] : r["start"] + r["length"]].tobytes()) and r["doc_tokens"] == len(ids[r["doc_id"]])
     assert max(r["offset"] + r["length"] for r in rows) <= 4096
+
+
+def test_words_are_looked_up_once():
+    """Each word of a text costs one look into the table, and another only when it is new."""
+    encoder, looks = bpe.LibraryEncoder(WORD), []
+
+    class Counted(dict):
+        get = lambda self, *x: looks.append(x[0]) or dict.get(self, *x)
+        __contains__ = lambda self, x: looks.append(x) or dict.__contains__(self, x)
+        __getitem__ = lambda self, x: looks.append(x) or dict.__getitem__(self, x)
+
+    encoder.words = Counted(encoder.words)
+    text = "one two three " * 50
+    first = encoder.ids([text, "", "four"])
+    looks.clear()
+    assert encoder.ids([text, "", "four"]) == first == [np.array(encoder.library.encode(t, add_special_tokens=False).ids, np.uint32).tobytes() for t in (text, "", "four")]
+    assert len(looks) == 151
