@@ -401,7 +401,7 @@ class LibraryEncoder:
             self.starts[first:last], self.lengths[first:last] = self.filled + np.cumsum(n) - n, n
             self.pool[self.filled : self.filled + len(ids)] = ids
             self.filled += len(ids)
-            self.used += 240 * len(some) + sum(map(len, some)) + 4 * len(ids)  # with Python's objects and the dictionary's places
+            self.used += 260 * len(some) + sum(map(len, some)) + 4 * len(ids)  # with Python's objects and the dictionary's places
             self.words.update(zip(some, range(first, last), strict=True))
 
     def ids(self, texts: list[str]) -> list[bytes]:
@@ -417,7 +417,10 @@ class LibraryEncoder:
             which[new] = [self.words[words[i]] for i in new]
         n = self.lengths[which]
         ends = np.cumsum(n)
-        found = self.pool[np.repeat(self.starts[which] - ends + n, n) + np.arange(n.sum())]
+        place = np.repeat(self.starts[which] - ends + n, n)
+        place += np.arange(len(place))
+        found = self.pool[place]
+        del words, which, n, place
         ends = np.concatenate([[0], ends])[np.cumsum([0, *map(len, parts)])].tolist()  # of texts
         whole = iter(self._encode([t for t, p in zip(texts, plain, strict=True) if not p]))
         return [found[a:b].tobytes() if p else next(whole) for a, b, p in zip(ends[:-1], ends[1:], plain, strict=True)]

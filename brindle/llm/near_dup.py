@@ -39,9 +39,9 @@ CELLS = 1 << CELL_BITS
 LEAST_WEIGHT = 0.75
 
 #: Texts, and bytes of elements, that a block of an open band holds, about.
-TEXTS, TEXT_BYTES = 512, 4 << 20
+TEXTS, TEXT_BYTES = 256, 2 << 20
 #: Columns of the matrix by which a task compares many texts at once.
-COLUMNS = 2048
+COLUMNS = 512
 
 _BLOCK = 1 << 14
 _FAN = 64
@@ -269,10 +269,15 @@ def _first(own: list[list[int]], band: int) -> np.ndarray:
     bands = np.fromiter((x for one in own for x in one), np.int64, len(owner))
     values, column, count = np.unique(bands, return_inverse=True, return_counts=True)
     kept = (count > 1) & (values < band)
-    held = np.zeros((len(own), len(values)), np.float32)
-    held[owner, column] = 1
-    held = held[:, kept]
-    return held @ held.T == 0
+    place = np.cumsum(kept) - 1
+    owner, column = owner[kept[column]], place[column[kept[column]]]
+    out = np.ones((len(own), len(own)), bool)
+    for at in range(0, int(kept.sum()), COLUMNS):
+        here = (column >= at) & (column < at + COLUMNS)
+        held = np.zeros((len(own), COLUMNS), np.float32)
+        held[owner[here], column[here] - at] = 1
+        out &= held @ held.T == 0
+    return out
 
 
 def _common(sets: list[np.ndarray], weights: np.ndarray) -> np.ndarray:
@@ -379,7 +384,7 @@ def _rest(texts: DataFrame, banded: DataFrame, tested: DataFrame, labels: DataFr
         claim("near_dup")
         emit = lambda found: pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
         last, rows = None, []
-        for batch in (x for b in batches for x in pieces(b)):
+        for batch in (x for b in batches for x in pieces(b, 2 << 20)):
             for band, unit, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (band, unit) != last:
                     if len(rows) > 1 and (found := links_within(last[0], rows, weights.value, threshold)):
